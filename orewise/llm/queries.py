@@ -9,6 +9,7 @@ from .bpe import encode
 from .common import table
 from .quality import quality
 from .quality_sql import quality_sql
+from .sharding import bounded_ring
 from .simhash import near_duplicates
 
 
@@ -16,6 +17,13 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality(table(spark, sf_dir, "documents"))
 
 
+def op3_ring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = bounded_ring(table(spark, sf_dir, "documents"))
+    return out.select(
+        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "home_shard"
+    )
+
+
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -31,7 +39,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries():
-    return {"op2_quality": op2_quality, "op7_bpe": op7_bpe, "op10_simhash": op10_simhash}
+    return {"op2_quality": op2_quality, "op3_ring": op3_ring, "op7_bpe": op7_bpe, "op10_simhash": op10_simhash}
 
 
 def oracle_sql() -> dict[str, str]:
