@@ -7,12 +7,17 @@ from pyspark.sql import functions as F
 
 from .bpe import encode
 from .common import table
+from .licenses import scan, scan_sql
 from .quality import quality
 from .quality_sql import quality_sql
 from .sharding import bounded_ring
 from .simhash import near_duplicates
 
 
+def op1_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan(table(spark, sf_dir, "documents")).withColumn("line_licenses", F.array_join("line_licenses", ","))
+
+
 def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality(table(spark, sf_dir, "documents"))
 
@@ -39,8 +44,8 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries():
-    return {"op2_quality": op2_quality, "op3_ring": op3_ring, "op7_bpe": op7_bpe, "op10_simhash": op10_simhash}
+    return {"op1_licenses": op1_licenses, "op2_quality": op2_quality, "op3_ring": op3_ring, "op7_bpe": op7_bpe, "op10_simhash": op10_simhash}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_quality": quality_sql()}
+    return {"op1_licenses": scan_sql(), "op2_quality": quality_sql()}
