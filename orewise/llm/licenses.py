@@ -100,7 +100,7 @@ def scan(docs: DataFrame, known: list[tuple[str, str]] | DataFrame = KNOWN) -> D
     units = units.withColumn("text", canonical(F.col("text")))
     whole = F.coalesce("part", F.lit(0)) == 0
     found = (
-        units.where(whole | (F.col("text") <> ""))
+        units.where(whole | (F.col("text") != ""))
         .select("row", "doc_id", whole.alias("whole"), F.sha2("text", 256).alias("digest"))
         .join(known, "digest", "left")
         .where("whole or license is not null")
