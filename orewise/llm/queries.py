@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .bpe import encode
+from .chat import rotate, rotate_sql
 from .common import table
 from .licenses import scan, scan_sql
 from .quality import quality
@@ -29,6 +30,11 @@ def op3_ring(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spans = F.transform("mask", lambda x: F.concat_ws(":", x.start, x.end))
+    return rotate(table(spark, sf_dir, "conversations")).withColumn("mask", F.array_join(spans, ","))
+
+
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -44,8 +50,8 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries():
-    return {"op1_licenses": op1_licenses, "op2_quality": op2_quality, "op3_ring": op3_ring, "op7_bpe": op7_bpe, "op10_simhash": op10_simhash}
+    return {"op1_licenses": op1_licenses, "op2_quality": op2_quality, "op3_ring": op3_ring, "op4_rotation": op4_rotation, "op7_bpe": op7_bpe, "op10_simhash": op10_simhash}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_licenses": scan_sql(), "op2_quality": quality_sql()}
+    return {"op1_licenses": scan_sql(), "op4_rotation": rotate_sql(), "op2_quality": quality_sql()}
