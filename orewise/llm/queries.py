@@ -13,6 +13,15 @@ from .quality import quality
 from .quality_sql import quality_sql
 from .sharding import bounded_ring
 from .simhash import near_duplicates
+from .warc import archived, payloads
+
+WARC_SQL = """
+WITH d AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages),
+f AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS least FROM d)
+SELECT page_id, payload_bytes::BIGINT AS payload_bytes, payload_digest,
+  CASE WHEN payload_bytes >= 100 AND page_id > least THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN payload_bytes >= 100 AND page_id > least THEN least END AS refers_to
+FROM f"""
 
 
 def op1_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -35,6 +44,10 @@ def op4_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rotate(table(spark, sf_dir, "conversations")).withColumn("mask", F.array_join(spans, ","))
 
 
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return payloads(archived(table(spark, sf_dir, "pages")))
+
+
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -50,8 +63,8 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries():
-    return {"op1_licenses": op1_licenses, "op2_quality": op2_quality, "op3_ring": op3_ring, "op4_rotation": op4_rotation, "op7_bpe": op7_bpe, "op10_simhash": op10_simhash}
+    return {"op1_licenses": op1_licenses, "op2_quality": op2_quality, "op3_ring": op3_ring, "op4_rotation": op4_rotation, "op5_warc": op5_warc, "op7_bpe": op7_bpe, "op10_simhash": op10_simhash}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_licenses": scan_sql(), "op4_rotation": rotate_sql(), "op2_quality": quality_sql()}
+    return {"op1_licenses": scan_sql(), "op4_rotation": rotate_sql(), "op5_warc": WARC_SQL, "op2_quality": quality_sql()}
