@@ -56,3 +56,12 @@ def dropped(df: DataFrame) -> None:
 def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """df with a broadcast hint if it has few rows, else as it is (Spark then shuffles)."""
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
+def small_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Lowers the rows of an Arrow batch, in this session: texts are long, and both the JVM
+    and the Python worker hold whole batches."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    now = int(spark.conf.get(key, "10000"))
+    if now <= 0 or now > rows:
+        spark.conf.set(key, str(rows))

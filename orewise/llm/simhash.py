@@ -16,7 +16,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import small_batches, written
 from .components import connected_components
 
 BITS = 64
@@ -51,6 +51,7 @@ def fingerprints(docs: DataFrame, words: int = 4, seed: int = 42) -> DataFrame:
                 [batch.column(0), pa.array(np.array(out, np.uint64).view(np.int64), pa.int64())], ["doc_id", "fp"]
             )
 
+    small_batches(docs.sparkSession)
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, fp long")
 
 
