@@ -13,6 +13,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import small_batches
+
 #: Window lengths whose coverage is reported, and the percentage of a text's word
 #: characters above which the rule rejects it. Longer windows get lower limits.
 NGRAM_PERCENT = {5: 35, 7: 30, 10: 25}
@@ -164,6 +166,7 @@ def repetition(docs: DataFrame) -> DataFrame:
                     [batch.column(0).slice(lo, hi - lo), *(pa.array(found[x], pa.int64()) for x in MEASURES)], ["doc_id", *MEASURES]
                 )
 
+    small_batches(docs.sparkSession)
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, schema)
 
 
