@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .bpe import encode
 from .chat import rotate, rotate_sql
+from . import pii
 from .common import table
 from .licenses import scan, scan_sql
 from .quality import quality
@@ -57,13 +58,26 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _listed(spans) -> Column:
+    kinds = F.array(*map(F.lit, pii.KINDS))
+    return F.array_join(F.transform(spans, lambda x: F.concat_ws(":", F.element_at(kinds, x.kind + 1), x.start, x.end)), ",")
+
+
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = pii.find(docs, pii.fit(docs))
+    of_kind = lambda k: F.size(F.filter("base", lambda x: x.kind == k)).cast("long")
+    counts = [of_kind(k).alias(f"n_{name}") for k, name in enumerate(pii.KINDS)]
+    return found.select("doc_id", *counts, F.sha2(_listed(F.col("base")), 256).alias("base_sha256"), _listed(F.col("spans")).alias("spans"))
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = near_duplicates(table(spark, sf_dir, "documents"))
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def queries():
-    return {"op1_licenses": op1_licenses, "op2_quality": op2_quality, "op3_ring": op3_ring, "op4_rotation": op4_rotation, "op5_warc": op5_warc, "op7_bpe": op7_bpe, "op10_simhash": op10_simhash}
+    return {"op1_licenses": op1_licenses, "op2_quality": op2_quality, "op3_ring": op3_ring, "op4_rotation": op4_rotation, "op5_warc": op5_warc, "op7_bpe": op7_bpe, "op8_pii": op8_pii, "op10_simhash": op10_simhash}
 
 
 def oracle_sql() -> dict[str, str]:
