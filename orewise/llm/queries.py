@@ -12,6 +12,7 @@ from .common import table
 from .licenses import scan, scan_sql
 from .quality import quality
 from .quality_sql import quality_sql
+from .repeats import without_repeats
 from .sharding import bounded_ring
 from .simhash import near_duplicates
 from .warc import archived, payloads
@@ -71,13 +72,18 @@ def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, F.sha2(_listed(F.col("base")), 256).alias("base_sha256"), _listed(F.col("spans")).alias("spans"))
 
 
+def op9_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = without_repeats(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = near_duplicates(table(spark, sf_dir, "documents"))
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def queries():
-    return {"op1_licenses": op1_licenses, "op2_quality": op2_quality, "op3_ring": op3_ring, "op4_rotation": op4_rotation, "op5_warc": op5_warc, "op7_bpe": op7_bpe, "op8_pii": op8_pii, "op10_simhash": op10_simhash}
+    return {"op1_licenses": op1_licenses, "op2_quality": op2_quality, "op3_ring": op3_ring, "op4_rotation": op4_rotation, "op5_warc": op5_warc, "op7_bpe": op7_bpe, "op8_pii": op8_pii, "op9_repeats": op9_repeats, "op10_simhash": op10_simhash}
 
 
 def oracle_sql() -> dict[str, str]:
