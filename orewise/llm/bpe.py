@@ -11,6 +11,8 @@ tail text), and two of them join to one of the same form, so they join as a tree
 from __future__ import annotations
 
 import os
+import sys
+from array import array
 from functools import lru_cache
 
 import numpy as np
@@ -18,6 +20,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import small_batches
+
 #: Characters of a leaf; longer texts are cut.
 LEAF_CHARS = 16_384
 #: Characters that are encoded in one call, so that memory doesn't follow the batch.
@@ -37,8 +41,52 @@ def tokenizer(path: str):
     return out
 
 
-def _ids(tok, text: str) -> np.ndarray:
-    return np.array(tok.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4") if text else np.zeros(0, "<u4")
+def _plain(run: str) -> tuple[str, str]:
+    """A run's folded body, and the stop or comma at its end."""
+    if not run.isascii() or "<|" in run:
+        return run, ""
+    run = run.lower()
+    return (run[:-1], run[-1]) if run[-1] in ".," and run[-2:-1].isalnum() else (run, "")
+
+
+class Runs:
+    """A tokenizer's ids by runs between white space, which no id crosses: each run is encoded
+    once while it is remembered. Long runs aren't remembered, and at LIMIT runs all are forgotten.
+
+    A new run is looked up by its plain form: the tokenizer folds ASCII case, and a full stop
+    or comma after an ASCII letter or digit is a piece of its own."""
+
+    LIMIT, LONGEST = 400_000, 64
+
+    def __init__(self, tok):
+        self.tok, self.known = tok, {"": b""}
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text, as little-endian unsigned 32-bit integers."""
+        runs = [x.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for x in texts]
+        new = {x: _plain(x) for x in set().union(*runs).difference(self.known)}
+        ask = list({x for x, _ in new.values()}.union(".,").difference(self.known))
+        for run, found in zip(ask, self.tok.encode_batch_fast(ask, add_special_tokens=False)):
+            self.known[run] = array("I", found.ids).tobytes()
+        for run, (body, end) in new.items():
+            self.known[run] = self.known[body] + self.known[end]
+        out = [b"".join(map(self.known.__getitem__, x)) for x in runs]
+        for run in {*new, *ask}:
+            if len(run) > self.LONGEST:
+                del self.known[run]
+        if len(self.known) > self.LIMIT:
+            self.known = {"": b""}
+        return out
+
+
+@lru_cache(4)
+def remembered(path: str) -> Runs:
+    assert sys.byteorder == "little" and array("I").itemsize == 4
+    return Runs(tokenizer(path))
+
+
+def _ids(runs: Runs, text: str) -> np.ndarray:
+    return np.frombuffer(runs.encode([text])[0], "<u4")
 
 
 def _seam(text: str, k: int) -> bool:
@@ -46,9 +94,9 @@ def _seam(text: str, k: int) -> bool:
     return text[k - 1] in " \n\t\r" and text[k].isascii() and text[k].isalnum()
 
 
-def leaf(tok, text: str) -> tuple[str, np.ndarray, str | None]:
+def leaf(runs, text: str) -> tuple[str, np.ndarray, str | None]:
     """head, settled ids, tail; tail None if no seam agrees (the head is then the whole text)."""
-    ids, n = _ids(tok, text), len(text)
+    ids, n = _ids(runs, text), len(text)
     ends = []
     for side in (1, -1):
         window, end = WINDOW, None
@@ -57,7 +105,7 @@ def leaf(tok, text: str) -> tuple[str, np.ndarray, str | None]:
             seams = [k for k in near if _seam(text, k)]
             if seams:
                 k = seams[-1]  # the window's far edge
-                part = _ids(tok, text[:k] if side > 0 else text[k:])
+                part = _ids(runs, text[:k] if side > 0 else text[k:])
                 same = ids[: len(part)] if side > 0 else ids[len(ids) - len(part) :]
                 if np.array_equal(part, same):
                     end = (k, len(part))
@@ -71,21 +119,21 @@ def leaf(tok, text: str) -> tuple[str, np.ndarray, str | None]:
     return text[:a], ids[n_head : len(ids) - n_tail], text[b:]
 
 
-def join(tok, left: tuple, right: tuple) -> tuple:
+def join(runs, left: tuple, right: tuple) -> tuple:
     """Two neighbours of leaf()'s form -> one."""
     if left[2] is None:
         return left[0] + right[0], right[1], right[2]
     if right[2] is None:
         return left[0], left[1], left[2] + right[0]
-    return left[0], np.concatenate((left[1], _ids(tok, left[2] + right[0]), right[1])), right[2]
+    return left[0], np.concatenate((left[1], _ids(runs, left[2] + right[0]), right[1])), right[2]
 
 
-def tree(tok, parts: list[tuple]) -> np.ndarray:
+def tree(runs, parts: list[tuple]) -> np.ndarray:
     """The ids of the whole text from its leaves in order."""
     while len(parts) > 1:
-        parts = [join(tok, *parts[k : k + 2]) if k + 1 < len(parts) else parts[k] for k in range(0, len(parts), 2)]
+        parts = [join(runs, *parts[k : k + 2]) if k + 1 < len(parts) else parts[k] for k in range(0, len(parts), 2)]
     head, ids, tail = parts[0]
-    return np.concatenate((_ids(tok, head), ids, _ids(tok, tail or "")))
+    return np.concatenate((_ids(runs, head), ids, _ids(runs, tail or "")))
 
 
 def _blocks(texts: list[str]):
@@ -110,36 +158,37 @@ def encode(docs: DataFrame, tokenizer_file: str, decoded: bool = True, leaf_char
     schema = "doc_id long, n_tokens long, ids binary, decoded string"
     rows = docs.select(F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
 
-    def result(tok, ids: list[np.ndarray], doc_ids: pa.Array) -> pa.RecordBatch:
-        texts = tok.decode_batch([x.tolist() for x in ids], skip_special_tokens=False) if decoded else [None] * len(ids)
+    def result(runs, ids: list[bytes], doc_ids: pa.Array) -> pa.RecordBatch:
+        lists = [np.frombuffer(x, "<u4").tolist() for x in ids] if decoded else []
+        texts = runs.tok.decode_batch(lists, skip_special_tokens=False) if decoded else [None] * len(ids)
         return pa.RecordBatch.from_arrays(
-            [doc_ids, pa.array([len(x) for x in ids], pa.int64()), pa.array([x.tobytes() for x in ids], pa.binary()), pa.array(texts, pa.string())],
+            [doc_ids, pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(ids, pa.binary()), pa.array(texts, pa.string())],
             ["doc_id", "n_tokens", "ids", "decoded"],
         )
 
     def short(batches):
-        tok = tokenizer(tokenizer_file)
+        runs = remembered(tokenizer_file)
         for batch in batches:
             for lo, hi in _blocks(texts := batch.column(1).to_pylist()):
-                found = tok.encode_batch_fast(texts[lo:hi], add_special_tokens=False)
-                yield result(tok, [np.array(x.ids, "<u4") for x in found], batch.column(0).slice(lo, hi - lo))
+                yield result(runs, runs.encode(texts[lo:hi]), batch.column(0).slice(lo, hi - lo))
 
     def leaves(batches):
-        tok = tokenizer(tokenizer_file)
+        runs = remembered(tokenizer_file)
         for batch in batches:
             for k, text in enumerate(batch.column(3)):
-                head, ids, tail = leaf(tok, text.as_py())
+                head, ids, tail = leaf(runs, text.as_py())
                 yield pa.RecordBatch.from_arrays(
                     [*(batch.column(x).slice(k, 1) for x in range(3)), pa.array([head]), pa.array([ids.tobytes()], pa.binary()), pa.array([tail], pa.string())],
                     ["row", "doc_id", "part", "head", "ids", "tail"],
                 )
 
     def whole(group: pa.Table) -> pa.Table:
-        tok = tokenizer(tokenizer_file)
+        runs = remembered(tokenizer_file)
         group = group.sort_by("part")
         parts = [(x["head"], np.frombuffer(x["ids"], "<u4"), x["tail"]) for x in group.select(["head", "ids", "tail"]).to_pylist()]
-        return pa.Table.from_batches([result(tok, [tree(tok, parts)], group.column("doc_id").chunk(0).slice(0, 1))])
+        return pa.Table.from_batches([result(runs, [tree(runs, parts).tobytes()], group.column("doc_id").chunk(0).slice(0, 1))])
 
+    small_batches(docs.sparkSession)
     is_long = F.length("text") > leaf_chars
     n_parts = F.ceil(F.length("text") / F.lit(leaf_chars)).cast("int")
     parts = (

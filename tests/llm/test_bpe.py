@@ -3,7 +3,7 @@ import hashlib
 import pytest
 from pyspark.sql import functions as F
 
-from orewise.llm.bpe import encode, leaf, tokenizer, tree
+from orewise.llm.bpe import encode, leaf, remembered, tokenizer, tree
 
 PATH = pytest.importorskip("public_tokenizers").path("word_bpe_49k.json")
 TEXTS = [
@@ -22,10 +22,10 @@ TEXTS = [
 
 @pytest.mark.parametrize("cut", [7, 33, 64, 250])
 def test_tree_equals_whole_text(cut):
-    tok = tokenizer(PATH)
+    tok, runs = tokenizer(PATH), remembered(PATH)
     for text in filter(None, TEXTS):
-        parts = [leaf(tok, text[k : k + cut]) for k in range(0, len(text), cut)]
-        assert tree(tok, parts).tolist() == tok.encode(text, add_special_tokens=False).ids
+        parts = [leaf(runs, text[k : k + cut]) for k in range(0, len(text), cut)]
+        assert tree(runs, parts).tolist() == tok.encode(text, add_special_tokens=False).ids
 
 
 def test_encode_rows(spark):
