@@ -9,6 +9,7 @@ from .bpe import encode
 from .chat import rotate, rotate_sql
 from . import pii
 from .common import table
+from .decontaminate import leaks
 from .licenses import scan, scan_sql
 from .quality import quality
 from .quality_sql import quality_sql
@@ -50,6 +51,10 @@ def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return payloads(archived(table(spark, sf_dir, "pages")))
 
 
+def op6_latent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -83,7 +88,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries():
-    return {"op1_licenses": op1_licenses, "op2_quality": op2_quality, "op3_ring": op3_ring, "op4_rotation": op4_rotation, "op5_warc": op5_warc, "op7_bpe": op7_bpe, "op8_pii": op8_pii, "op9_repeats": op9_repeats, "op10_simhash": op10_simhash}
+    return {"op1_licenses": op1_licenses, "op2_quality": op2_quality, "op3_ring": op3_ring, "op4_rotation": op4_rotation, "op5_warc": op5_warc, "op6_latent": op6_latent, "op7_bpe": op7_bpe, "op8_pii": op8_pii, "op9_repeats": op9_repeats, "op10_simhash": op10_simhash}
 
 
 def oracle_sql() -> dict[str, str]:
