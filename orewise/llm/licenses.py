@@ -49,8 +49,8 @@ KNOWN = [
 ]
 #: Equivalent spellings, applied to whole words of the canonical form in this order.
 SPELLINGS = {
-    "licence": "license", "licences": "licenses", "licenced": "licensed", "sub license": "sublicense", "non commercial": "noncommercial",
-    "merchantability": "merchantability", "merchantibility": "merchantability", "organisation": "organization", "favour": "favor",
+    "licence": "license", "licences": "licenses", "licenced": "licensed", "sub license": "sublicense", "sublicence": "sublicense", "non commercial": "noncommercial",
+    "merchantibility": "merchantability", "organisation": "organization", "favour": "favor",
     "honour": "honor", "whilst": "while", "v 2 0": "version 2 0", "v2 0": "version 2 0", "v 3": "version 3", "v3": "version 3",
     "copyright owner": "copyright holder", "per cent": "percent", "cc by": "creative commons attribution",
 }
