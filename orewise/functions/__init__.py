@@ -1 +1 @@
-
+"""Column functions: nothing here runs Python on the executors."""

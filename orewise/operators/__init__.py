@@ -1 +1 @@
-
+"""Operators on pixel tables (row, col, values) and object tables."""

@@ -1 +1 @@
-
+"""Tables in and out: site tables, features, jobs, reports."""
