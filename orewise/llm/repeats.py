@@ -26,7 +26,7 @@ from .common import small_batches, written
 
 LENGTH, GRAM = 50, 26
 #: Bytes of text in a block of documents, and of text for which there is one bucket.
-BLOCK_BYTES, BUCKET_BYTES = 1 << 20, 16 << 20
+BLOCK_BYTES, BUCKET_BYTES = 1 << 20, 4 << 20
 NO_ID = np.iinfo(np.int64).max
 _B, _INV = 0x9E3779B97F4A7C15, pow(0x9E3779B97F4A7C15, -1, 2**64)
 _U = np.uint64
