@@ -59,8 +59,8 @@ def rasterized(segments: DataFrame, grid: Grid) -> DataFrame:
     a = F.greatest(F.ceil((F.element_at("xs", c("k").cast("int")) - grid.x0) / grid.res - 0.5), F.lit(0))
     b = F.least(F.ceil((F.element_at("xs", c("k").cast("int") + 1) - grid.x0) / grid.res - 0.5) - 1, F.lit(grid.width - 1))
     px = spans.select("feature_id", "row", a.alias("a"), b.alias("b")).where("a <= b")
-    px = px.select("feature_id", "row", F.explode(F.sequence("a", "b")).cast("int").alias("col"))
-    return px.groupBy("row", "col").agg(F.max("feature_id").cast("int").alias("label"))
+    px = px.select("feature_id", "row", F.explode(F.sequence("a", "b")).alias("col"))
+    return px.groupBy("row", F.col("col").cast("int").alias("col")).agg(F.max("feature_id").cast("int").alias("label"))
 
 
 def outlines(labels: DataFrame, grid: Grid) -> DataFrame:
