@@ -3,10 +3,12 @@
 Suffixes are never sorted all at once. A cover sample of positions is ranked first: every
 string of LENGTH bytes holds a sampled position, at a place that its bytes alone decide
 (the least hash among its grams of GRAM bytes), so equal strings meet at equal sampled
-grams. Grams of one document only end the search for all strings around them. The suffixes
-at the other sampled positions fall into buckets by their gram; one bucket at a time, its
-strings are sorted with those of the same gram and equal neighbours found, byte for byte.
-Memory follows the bucket and the block of documents, whose sizes are fixed.
+grams. Grams of one block and document only end the search for all strings around them.
+The suffixes at the other sampled positions fall into buckets by their gram. One bucket at
+a time is sorted: the grams get their ranks by their bytes, and a string's long tie with
+others, the gram that they share, is resolved by that rank and the gram's place in the
+string, so that only the bytes before and after it are compared. Memory follows the bucket
+and the block of documents, whose sizes are fixed.
 
 Between the steps travel five bytes for each sampled gram of a block, the surroundings of
 the grams that repeat, and one bit back for each string in question.
@@ -49,14 +51,14 @@ def _hashes(data: np.ndarray, n: int) -> np.ndarray:
 
 
 def cover(data: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Runs of neighbouring strings that share a sampled gram: first start, number, gram's hash, document.
+    """Runs of neighbouring strings that share a sampled gram: first start, number, gram's start, its hash, document.
 
     Every string of LENGTH bytes within a document is in exactly one run.
     """
     starts = LENGTH - GRAM + 1  # grams of a string
     if len(data) < LENGTH:
         none = np.zeros(0, np.int64)
-        return none, none, none.astype(_U), none
+        return none, none, none, none.astype(_U), none
     gram = _hashes(data, GRAM)
     least = (gram & _U(0xFFFFFFFF00000000)) | np.arange(len(gram), dtype=_U)  # the first of equal ones
     width = 1
@@ -72,7 +74,7 @@ def cover(data: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, ...]:
     new[1:] = (np.diff(sampled) != 0) | (np.diff(at) != 1)
     first = np.flatnonzero(new)
     count = np.diff(np.concatenate((first, [len(at)])))
-    return at[first], count, gram[sampled[first]], np.searchsorted(ends, at[first], "right")
+    return at[first], count, sampled[first], gram[sampled[first]], np.searchsorted(ends, at[first], "right")
 
 
 def _bucket(gram: np.ndarray, buckets: int) -> np.ndarray:
@@ -94,7 +96,7 @@ class Block:
         self.ids, self.lengths = np.frombuffer(ids, np.int64), np.frombuffer(lengths, np.int64)
         self.raw = zstandard.decompress(packed) if packed else b""
         self.data = np.frombuffer(self.raw, np.uint8)
-        self.start, self.count, self.gram, self.doc = cover(self.data, self.lengths)
+        self.start, self.count, self.sampled, self.gram, self.doc = cover(self.data, self.lengths)
         self.grams, self.place = np.unique(self.gram, return_inverse=True)
 
     def sample(self, buckets: int):
@@ -123,13 +125,15 @@ class Block:
         np.minimum.at(self.least, self.entry, self.ids[self.doc[self.runs]])
         self.entry_gram, self.entry_count = np.zeros(n, _U), np.zeros(n, np.int64)
         self.entry_gram[self.entry], self.entry_count[self.entry] = self.gram[self.runs], self.count[self.runs]
+        self.entry_place = np.zeros(n, np.int64)
+        self.entry_place[self.entry] = self.sampled[self.runs] - begin
 
     def questions(self, buckets: int):
-        """bucket, then of its entries: gram's top byte, number of strings, least id, surroundings."""
+        """bucket, then of its entries: gram's top byte, number of strings, gram's place, least id, surroundings."""
         for bucket, at in _dealt(_bucket(self.entry_gram, buckets)):
             yield (
                 bucket, (self.entry_gram[at] >> _U(56)).astype(np.uint8).tobytes(), self.entry_count[at].astype(np.uint8).tobytes(),
-                self.least[at].tobytes(), b"".join([self.texts[k] for k in at.tolist()]),
+                self.entry_place[at].astype(np.uint8).tobytes(), self.least[at].tobytes(), b"".join([self.texts[k] for k in at.tolist()]),
             )
 
     def covered(self, buckets: int, answers: dict[int, bytes]) -> np.ndarray:
@@ -173,38 +177,42 @@ def _repeating(blobs: list[bytes]) -> list[bytes]:
     return [np.packbits(x).tobytes() for x in np.split(flags, np.cumsum(sizes)[:-1])]
 
 
-def _same(data: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Whether the strings at a and b are equal, byte for byte."""
-    out = np.ones(len(a), bool)
-    for k in range(LENGTH):
-        out &= data[a + k] == data[b + k]
-    return out
+def _order(*keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Order by keys, the first one first, and where in it a row differs from the one before."""
+    order = np.lexsort(keys[::-1])
+    new = np.zeros(len(order), bool)
+    new[:1] = True
+    for k in keys:
+        new[1:] |= np.diff(k[order]) != 0
+    return order, new
+
+
+def _packed(data: np.ndarray, at: np.ndarray, jump: np.ndarray | None, n: int) -> list[np.ndarray]:
+    """n bytes from each place as integers that compare as the bytes do; from jump bytes on, GRAM bytes are left out."""
+    out = np.zeros((len(at), -(-n // 8) * 8), np.uint8)
+    for k in range(n):
+        out[:, k] = data[at + k if jump is None else at + k + GRAM * (k >= jump)]
+    return list(out.view(">u8").astype(_U).T)
 
 
-def _smaller(tops: np.ndarray, counts: np.ndarray, leasts: np.ndarray, data: np.ndarray) -> np.ndarray:
+def _smaller(tops: np.ndarray, counts: np.ndarray, places: np.ndarray, leasts: np.ndarray, data: np.ndarray) -> np.ndarray:
     """Of each entry's strings in order: an entry with a smaller least id has it too."""
     sizes = counts + LENGTH - 1
     begin, before = np.cumsum(sizes) - sizes, np.cumsum(counts) - counts
     out = np.zeros(int(counts.sum()), bool)
     for top in np.unique(tops):  # a part of the bucket at a time
         mine = np.flatnonzero(tops == top)
-        at, place = _ranges(begin[mine], counts[mine]), _ranges(before[mine], counts[mine])
-        own = np.repeat(leasts[mine], counts[mine])
-        low = int(at[0])
-        text = data[low : int(at[-1]) + LENGTH]
-        key = _hashes(text, LENGTH)[at - low]
-        order = np.argsort(key, kind="stable")
-        new = np.ones(len(order), bool)
-        new[1:] = np.diff(key[order]) != 0
-        pairs = np.flatnonzero(~new)
-        if not _same(data, at[order[pairs - 1]], at[order[pairs]]).all():  # two strings of one hash
-            whole = np.lib.stride_tricks.sliding_window_view(data, LENGTH)[at]
-            key = np.unique(whole, axis=0, return_inverse=True)[1].ravel()
-            order = np.argsort(key, kind="stable")
-            new[1:] = np.diff(key[order]) != 0
+        order, new = _order(*_packed(data, begin[mine] + places[mine], None, GRAM))
+        rank = np.empty(len(mine), np.int64)
+        rank[order] = np.cumsum(new)
+        at, own = _ranges(begin[mine], counts[mine]), np.repeat(leasts[mine], counts[mine])
+        jump = np.repeat(begin[mine] + places[mine], counts[mine]) - at  # the gram's place in the string
+        order, new = _order(np.repeat(rank, counts[mine]) * LENGTH + jump, *_packed(data, at, jump, LENGTH - GRAM))
         group = np.flatnonzero(new)
         least = np.minimum.reduceat(own[order], group)
-        out[place[order]] = np.repeat(least, np.diff(np.concatenate((group, [len(order)])))) < own[order]
+        found = np.empty(len(order), bool)
+        found[order] = np.repeat(least, np.diff(np.concatenate((group, [len(order)])))) < own[order]
+        out[_ranges(before[mine], counts[mine])] = found
     return out
 
 
@@ -266,7 +274,7 @@ def without_repeats(docs: DataFrame, block_bytes: int = BLOCK_BYTES, bucket_byte
 
     sample_schema = pa.schema([("block", pa.int64()), ("bucket", pa.int32()), ("grams", pa.binary())])
     answer_schema = pa.schema([("block", pa.int64()), ("bucket", pa.int32()), ("bits", pa.binary()), ("step", pa.int32())])
-    question_schema = pa.schema([("block", pa.int64()), ("bucket", pa.int32()), ("tops", pa.binary()), ("counts", pa.binary()), ("leasts", pa.binary()), ("texts", pa.binary())])
+    question_schema = pa.schema([("block", pa.int64()), ("bucket", pa.int32()), ("tops", pa.binary()), ("counts", pa.binary()), ("places", pa.binary()), ("leasts", pa.binary()), ("texts", pa.binary())])
     answer_sql = "block long, bucket int, bits binary, step int"
 
     def sample(batches):
@@ -289,14 +297,14 @@ def without_repeats(docs: DataFrame, block_bytes: int = BLOCK_BYTES, bucket_byte
 
     def settle(group: pa.Table) -> pa.Table:
         counts = [np.frombuffer(x, np.uint8).astype(np.int64) for x in group.column("counts").to_pylist()]
-        tops, leasts, texts = (b"".join(group.column(x).to_pylist()) for x in ("tops", "leasts", "texts"))
+        tops, places, leasts, texts = (b"".join(group.column(x).to_pylist()) for x in ("tops", "places", "leasts", "texts"))
         # In the order of the grams' top bytes, so that a part of the bucket is one stretch of text.
         all_counts, all_tops = np.concatenate(counts), np.frombuffer(tops, np.uint8)
         order = np.argsort(all_tops, kind="stable")
         sizes = all_counts + LENGTH - 1
         begin = np.cumsum(sizes) - sizes
         data = np.frombuffer(texts, np.uint8)[_ranges(begin[order], sizes[order])]
-        found = _smaller(all_tops[order], all_counts[order], np.frombuffer(leasts, np.int64)[order], data)
+        found = _smaller(all_tops[order], all_counts[order], np.frombuffer(places, np.uint8).astype(np.int64)[order], np.frombuffer(leasts, np.int64)[order], data)
         flags = np.empty(len(found), bool)
         flags[_ranges((np.cumsum(all_counts) - all_counts)[order], all_counts[order])] = found
         cuts = np.cumsum([int(x.sum()) for x in counts])[:-1]
@@ -324,7 +332,7 @@ def without_repeats(docs: DataFrame, block_bytes: int = BLOCK_BYTES, bucket_byte
         table.mapInArrow(sample, "block long, bucket int, grams binary").groupBy("bucket").applyInArrow(rank, answer_sql), "ranks"
     )
     asked = table.groupBy("block").cogroup(ranked.groupBy("block")).applyInArrow(
-        ask, "block long, bucket int, tops binary, counts binary, leasts binary, texts binary"
+        ask, "block long, bucket int, tops binary, counts binary, places binary, leasts binary, texts binary"
     )
     settled = written(asked.groupBy("bucket").applyInArrow(settle, answer_sql), "settled")
     told = ranked.unionByName(settled)
