@@ -25,8 +25,8 @@ def _tile_labels(mask: np.ndarray, eight: bool) -> np.ndarray:
             a = lab[: h - dr, max(0, -dc) : w - max(0, dc)]
             b = lab[dr:, max(0, dc) : w - max(0, -dc)]
             both = np.where((a < big) & (b < big), np.minimum(a, b), big)
-            np.copyto(a, both, where=both < big)
-            np.copyto(b, both, where=both < big)
+            np.minimum(a, both, out=a)
+            np.minimum(b, both, out=b)
         root = np.append(lab.ravel(), big)  # pointer jumping: a label is a pixel, which has one too
         lab = np.where(mask, root[np.minimum(lab, big)], big)
         if np.array_equal(lab, before):

@@ -63,13 +63,13 @@ def volumes(i):
 @query(
     "a00_pile_volume",
     f"""SELECT label, commodity, {R('v')} AS volume_m3, {R('cover')} AS coverage, {R('p99')} AS p99, {R('v * coalesce(rho, 1)')} AS tonnage_t FROM (
-    SELECT label, sum(greatest(h, 0)) AS v, avg((h > 2)::INT) AS cover, quantile_cont(h, 0.99) AS p99, ['coal', 'coke', 'iron_ore', 'limestone', 'mystery'][label % 5 + 1] AS commodity FROM lpx WHERE label > 0 GROUP BY label)
+    SELECT label, sum(greatest(h, 0)) AS v, avg((h IS NOT NULL)::INT) AS cover, quantile_cont(h, 0.99) AS p99, ['coal', 'coke', 'iron_ore', 'limestone', 'mystery'][label % 5 + 1] AS commodity FROM lpx WHERE label > 0 GROUP BY label)
   LEFT JOIN density USING (commodity) WHERE cover >= 0.8""", "lpx density",
 )
 def pile_volume(i):
     """Volume, coverage, 99th percentile and tonnage of well-seen piles."""
     names = F.array(*map(F.lit, ["coal", "coke", "iron_ore", "limestone", "mystery"]))
-    piles = zonal.zonal(i.lpx, v=F.sum(F.greatest("h", F.lit(0.0))), cover=zonal.share(F.col("h") > 2), p99=F.percentile("h", 0.99))
+    piles = zonal.zonal(i.lpx, v=F.sum(F.greatest("h", F.lit(0.0))), cover=zonal.share(F.col("h").isNotNull()), p99=F.percentile("h", 0.99))
     piles = piles.where("cover >= 0.8").withColumn("commodity", F.element_at(names, F.col("label") % 5 + 1))
     t = plans.with_tonnage(piles, "v")
     return t.select("label", "commodity", r4("v").alias("volume_m3"), r4("cover").alias("coverage"), r4("p99").alias("p99"), r4("tonnage_t").alias("tonnage_t"))
