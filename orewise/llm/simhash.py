@@ -16,7 +16,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import small_batches, written
+from .common import small, small_batches, written
 from .components import connected_components
 
 BITS = 64
@@ -92,11 +92,11 @@ def near_duplicates(docs: DataFrame, distance: int = 4, words: int = 4, segments
     it has no other member). Other columns of docs are not read. An empty table gives none.
     """
     fps = written(fingerprints(docs, words, seed), "fingerprints")
-    classes = fps.groupBy("fp").agg(F.min("doc_id").alias("least"))
+    classes = written(fps.groupBy("fp").agg(F.min("doc_id").alias("least")), "classes")
     nodes = connected_components(links(classes.select("fp"), distance, segments).select(F.col("a").alias("u"), F.col("b").alias("v")))
-    placed = classes.join(nodes, classes.fp == nodes.node, "left").select(
-        "fp", "least", F.coalesce("component", "fp").alias("component")
-    )
-    named = placed.groupBy("component").agg(F.min("least").alias("component_id"))
-    by_class = placed.join(named, "component").select("fp", "component_id")
+    # Only linked classes need their component's name; the others have their own.
+    linked = written(classes.join(nodes, classes.fp == nodes.node).select("fp", "least", "component"), "linked")
+    named = small(linked.groupBy("component").agg(F.min("least").alias("component_id")))
+    names = linked.join(named, "component").select("fp", "component_id")
+    by_class = classes.join(names, "fp", "left").select("fp", F.coalesce("component_id", "least").alias("component_id"))
     return fps.join(by_class, "fp").select("doc_id", "fp", "component_id")
