@@ -74,7 +74,7 @@ def normalised(px: DataFrame, bands: list[str]) -> DataFrame:
     first = long.groupBy("band").agg(F.regr_slope("y", "x").alias("a"), F.regr_intercept("y", "x").alias("b"))
     r = long.join(F.broadcast(first), "band").withColumn("r", F.col("y") - F.col("a") * F.col("x") - F.col("b"))
     spread = r.groupBy("band").agg(F.stddev_pop("r").alias("s"))
-    kept = r.join(F.broadcast(spread), "band").where(F.abs("r") < 2 * F.col("s"))
+    kept = r.join(F.broadcast(spread), "band").where(F.abs("r") < 2 * F.col("s") + 1e-12)
     return kept.groupBy("band").agg(F.regr_slope("y", "x").alias("gain"), F.regr_intercept("y", "x").alias("offset"), F.count("*").alias("n"), F.regr_r2("y", "x").alias("r2"))
 
 
@@ -132,3 +132,64 @@ def downscaled(coarse: DataFrame, fine: DataFrame, features: list[str], k: int,
     residual = pred.groupBy("_row", "_col").agg(F.avg("pred").alias("mean")).join(coarse.select(F.col("row").alias("_row"), F.col("col").alias("_col"), "lst"), ["_row", "_col"])
     residual = residual.select("_row", "_col", F.coalesce(F.col("lst") - F.col("mean"), F.lit(0.0)).alias("r"))
     return pred.join(residual, ["_row", "_col"]).select("row", "col", F.least(F.greatest(F.col("pred") + F.col("r"), F.lit(low)), F.lit(high)).alias("lst"))
+
+
+def parabola(df: DataFrame, x: str, y: str, sigmas: float = 2.5, least: int = 10) -> DataFrame:
+    """Robust y = c0 + c1 x + c2 x2, not below zero, with k that matches the means: one row c0, c1, c2, k.
+
+    Few rows give the mean of y. The fit is repeated without residuals beyond so many sigmas.
+    """
+    from .zonal import solve3
+
+    known = df.where(F.col(x).isNotNull() & F.col(y).isNotNull()).select(F.col(x).alias("x"), F.col(y).alias("y"))
+
+    def fit(d: DataFrame) -> DataFrame:
+        p = [F.sum(F.pow("x", F.lit(k))).alias(f"p{k}") for k in range(5)]
+        q = [F.sum(F.pow("x", F.lit(k)) * F.col("y")).alias(f"q{k}") for k in range(3)]
+        m = d.agg(*p, *q, F.avg("y").alias("mean"), F.count("*").alias("n"))
+        c = solve3([[F.col(f"p{i + j}") for j in range(3)] for i in range(3)], [F.col(f"q{i}") for i in range(3)])
+        return m.select(*[v.alias(f"c{k}") for k, v in enumerate(c)], "mean", "n")
+
+    value = F.col("c0") + F.col("c1") * F.col("x") + F.col("c2") * F.col("x") ** 2
+    first = fit(known)
+    r = known.crossJoin(F.broadcast(first)).withColumn("r", F.col("y") - value)  # one row of coefficients
+    r = r.crossJoin(F.broadcast(r.agg(F.stddev_pop("r").alias("s"))))
+    again = fit(r.where(F.abs("r") < sigmas * F.greatest("s", F.lit(1e-6))).select("x", "y"))
+    second = again.select(*[F.col(k).alias(f"{k}_") for k in ("c0", "c1", "c2", "n")])
+    use = F.coalesce(F.col("n_") > least, F.lit(False))
+    few = F.col("n") < least
+    best = first.crossJoin(second).select(
+        *[F.when(few, F.coalesce("mean", F.lit(0.0)) if k == 0 else F.lit(0.0)).when(use, F.col(f"c{k}_")).otherwise(F.col(f"c{k}")).alias(f"c{k}") for k in range(3)]
+    )
+    mean = known.crossJoin(F.broadcast(best)).agg(F.avg("y").alias("a"), F.avg(F.greatest(value, F.lit(0.0))).alias("b"))
+    return best.crossJoin(mean).select("c0", "c1", "c2", F.when(F.col("b") > 0, F.col("a") / F.col("b")).otherwise(1.0).alias("k"))
+
+
+def calibrated(df: DataFrame, coefficients: DataFrame, x: str) -> DataFrame:
+    """Adds height from parabola()'s row."""
+    value = F.col("c0") + F.col("c1") * F.col(x) + F.col("c2") * F.col(x) ** 2
+    out = df.crossJoin(F.broadcast(coefficients)).withColumn("height", F.col("k") * F.greatest(value, F.lit(0.0)))  # one row
+    return out.drop("c0", "c1", "c2", "k")
+
+
+def pixel_metrics(df: DataFrame, pred: str, true: str) -> DataFrame:
+    """n, rmse, mae, bias and R2 over pixels that both know; no row below two."""
+    from .validation import metrics
+
+    return metrics(df, true, pred).where("n >= 2").select("n", "rmse", "mae", "bias", "r2")
+
+
+def footprint_probability(px: DataFrame, features: list[str], label: str, rounds: int = 20, seed: int = 42):
+    """A classifier of occupied pixels: a function from rows to rows with p."""
+    from pyspark.ml.classification import GBTClassifier
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.functions import vector_to_array
+
+    assemble = VectorAssembler(inputCols=features, outputCol="_v", handleInvalid="skip")
+    model = GBTClassifier(featuresCol="_v", labelCol=label, maxIter=rounds, seed=seed).fit(assemble.transform(px.where(F.col(label).isNotNull())))
+
+    def score(rows: DataFrame) -> DataFrame:
+        out = model.transform(assemble.transform(rows)).withColumn("p", vector_to_array("probability")[1])
+        return out.drop("_v", "probability", "rawPrediction", "prediction")
+
+    return score
