@@ -6,9 +6,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from ..sources.tables import written
+from ..sources.tables import numbered, written
 
 TILE = 256
 
@@ -73,5 +72,4 @@ def labelled(mask: DataFrame, width: int, eight: bool = True, tile: int = TILE)
     seams = moved.join(border.withColumnRenamed("node", "v"), ["row", "col"]).where("u <> v").select("u", "v").distinct()
     roots = merged(seams)
     out = local.join(roots, "node", "left").select("row", "col", F.coalesce("root", "node").alias("node"))
-    numbers = out.select("node").distinct().select("node", F.row_number().over(Window.orderBy("node")).alias("label"))
-    return out.join(numbers, "node").select("row", "col", "label")
+    return out.join(numbered(out, "node", "label"), "node").select("row", "col", "label")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..config import DEFAULT, Settings
+from ..sources.tables import numbered
 
 
 def zonal(px: DataFrame, **aggs: Column) -> DataFrame:
@@ -119,7 +120,7 @@ def robust(df: DataFrame, by: list[str], value: str) -> DataFrame:
 
 def renumbered(objects: DataFrame, keep: Column) -> DataFrame:
     """Kept labels numbered 1.. in their order: label, new."""
-    return objects.where(keep).select("label", F.dense_rank().over(Window.orderBy("label")).alias("new"))
+    return numbered(objects.where(keep), "label", "new")
 
 
 def stretched(px: DataFrame, value: str, low: float = 0.02, high: float = 0.98) -> DataFrame:

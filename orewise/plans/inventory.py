@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from ..config import DEFAULT, Settings
 from ..functions import classes
@@ -12,7 +11,7 @@ from ..operators import focal, zonal
 from ..operators.components import labelled
 from ..operators.grid import Grid
 from ..operators.modelling import nearest_centroid
-from ..sources.tables import written
+from ..sources.tables import numbered, written
 
 
 def densities(df: DataFrame, s: Settings = DEFAULT) -> DataFrame:
@@ -51,7 +50,8 @@ def detect_structures(px: DataFrame, grid: Grid, least: float = 2.5, min_area: f
     c = F.col
     kept = forms.where(classes.is_structure(c("area"), c("ndvi"), c("hmax"), c("hmean"), c("wall"), min_area, s))
     kept = kept.withColumn("class", classes.structure_class(c("area"), c("hmax"), c("elongation")))
-    return kept.withColumn("label", F.dense_rank().over(Window.orderBy("label")))
+    kept = written(kept)
+    return kept.join(numbered(kept, "label", "number"), "label").drop("label").withColumnRenamed("number", "label")
 
 
 def detect_port(px: DataFrame, ground: float, grid: Grid, deck_m: float = 1.0, rules: dict | None = None) -> DataFrame:

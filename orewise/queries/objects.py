@@ -27,7 +27,7 @@ GRAD = """, g AS (SELECT p.row, p.col, p.label, p.h, (p.nir - p.red) / (p.nir +
     CASE WHEN u.dsm IS NOT NULL AND d.dsm IS NOT NULL THEN (d.dsm - u.dsm) / 2 WHEN d.dsm IS NOT NULL THEN d.dsm - p.dsm WHEN u.dsm IS NOT NULL THEN p.dsm - u.dsm END, 0) ^ 2))) AS slope
   FROM lpx p LEFT JOIN px b ON b.row = p.row AND b.col = p.col - 1 LEFT JOIN px a ON a.row = p.row AND a.col = p.col + 1
     LEFT JOIN px u ON u.col = p.col AND u.row = p.row - 1 LEFT JOIN px d ON d.col = p.col AND d.row = p.row + 1),
-forms AS (SELECT label, count(*) * 1.0 AS area, max(h) AS hmax, avg(h) AS hmean, avg((slope > 65)::INT) AS wall, avg(CASE WHEN h >= 0.7 * m THEN (slope < 5)::INT END) AS flat_top, avg(ndvi) AS ndvi
+forms AS (SELECT label, count(*)::DOUBLE AS area, max(h) AS hmax, avg(h) AS hmean, avg((slope > 65)::INT) AS wall, avg(CASE WHEN h >= 0.7 * m THEN (slope < 5)::INT END) AS flat_top, avg(ndvi) AS ndvi
   FROM (SELECT *, max(h) OVER (PARTITION BY label) AS m FROM g WHERE label > 0) GROUP BY label)"""
 
 
@@ -53,7 +53,7 @@ def forms(i):
 
 @query(
     "a03_volumes",
-    f"SELECT label, count(*) * 1.0 AS area_m2, {R('sum(greatest(coalesce(h, 0), 0))')} AS volume_m3, {R('sum(greatest(h, 0)) / count(*)')} AS mean_height_m, {R('max(h)')} AS max_height_m, {R('count(*) * 0.05')} AS sigma_m3 FROM lpx WHERE label > 0 GROUP BY label", "lpx",
+    f"SELECT label, count(*)::DOUBLE AS area_m2, {R('sum(greatest(coalesce(h, 0), 0))')} AS volume_m3, {R('sum(greatest(h, 0)) / count(*)')} AS mean_height_m, {R('max(h)')} AS max_height_m, {R('count(*) * 0.05')} AS sigma_m3 FROM lpx WHERE label > 0 GROUP BY label", "lpx",
 )
 def volumes(i):
     """Volumes and their bands."""
@@ -215,7 +215,7 @@ def probability_area(i):
     return i.lpx.groupBy("label").agg(r4(F.sum("green") * 2.25).alias("area_m2"), r4(iou(F.col("red") > 0.4, F.col("blue") > 0.4)).alias("iou"))
 
 
-@query("w01_renumber", "SELECT label, dense_rank() OVER (ORDER BY label) AS new FROM (SELECT label, avg(h) AS m FROM lpx WHERE label > 0 GROUP BY label) WHERE m > 15", "lpx")
+@query("w01_renumber", "SELECT label, (dense_rank() OVER (ORDER BY label))::INT AS new FROM (SELECT label, avg(h) AS m FROM lpx WHERE label > 0 GROUP BY label) WHERE m > 15", "lpx")
 def renumber(i):
     """Kept labels renumbered."""
     return zonal.renumbered(zonal.zonal(i.lpx, m=F.avg("h")), F.col("m") > 15)

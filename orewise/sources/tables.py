@@ -34,3 +34,18 @@ def ingested(df: DataFrame) -> DataFrame:
     """NaN and infinities of float columns become null."""
     floats = [c for c, t in df.dtypes if t in ("double", "float")]
     return df.withColumns({c: known(F.col(c)) for c in floats}) if floats else df
+
+
+def numbered(keys: DataFrame, key: str, out: str) -> DataFrame:
+    """Distinct, sortable keys numbered from 1 in their order, over many tasks.
+
+    Keys are dealt by range; the counts of the ranges (a row each) give every range its first
+    number, so no task sees all keys.
+    """
+    from pyspark.sql.window import Window
+
+    ranged = written(keys.select(key).distinct().repartitionByRange(key).withColumn("_range", F.spark_partition_id()))
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    first = ranged.groupBy("_range").agg(F.count("*").alias("_n")).select("_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_first"))
+    within = F.row_number().over(Window.partitionBy("_range").orderBy(key))
+    return ranged.join(F.broadcast(first), "_range").select(key, (within + F.col("_first")).cast("int").alias(out))
