@@ -74,7 +74,8 @@ def rotate(turns: DataFrame, part_turns: int = PART_TURNS) -> DataFrame:
     )
     long = base.groupBy("conv_id").agg(F.count("*").alias("n")).where(F.col("n") > part_turns).select(F.col("conv_id").alias("c"))
     same = F.col("conv_id").eqNullSafe(F.col("c"))
-    if long.isEmpty():
+    one_part = long.isEmpty()
+    if one_part:
         ranked = _ranked_small(base)
     else:
         long = small(written(long, "long"))
@@ -88,8 +89,13 @@ def rotate(turns: DataFrame, part_turns: int = PART_TURNS) -> DataFrame:
     length = lambda t: F.length(_header(F.col("speaker"), t.role)) + F.length(t.text) + len(END)
     each = each.withColumn("ends", F.transform("turns", length))
     each = each.withColumn("n_chars", F.aggregate("ends", F.lit(0).cast("long"), lambda a, x: a + x))
-    before = Window.partitionBy("conv_id", "speaker").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    each = each.withColumn("offset", F.coalesce(F.sum("n_chars").over(before), F.lit(0)))
+    if one_part:
+        each = each.withColumn("offset", F.lit(0).cast("long"))
+    else:  # offsets are summed over rows without the turns, which then meet their parts again
+        each = written(each, "parts")
+        before = Window.partitionBy("conv_id", "speaker").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+        light = each.select(F.col("conv_id").alias("c"), F.col("speaker").alias("s"), F.col("part").alias("p"), F.coalesce(F.sum("n_chars").over(before), F.lit(0)).alias("offset"))
+        each = each.join(light, same & (F.col("speaker") == F.col("s")) & (F.col("part") == F.col("p"))).drop("c", "s", "p")
     rendered = F.array_join(F.transform("turns", lambda t: F.concat(_header(F.col("speaker"), t.role), t.text, F.lit(END))), "")
     # Running (place, spans) over the part's turns.
     state = F.struct(F.col("offset").alias("at"), F.array().cast("array<struct<start:bigint,end:bigint>>").alias("spans"))
