@@ -11,6 +11,7 @@ DENSITY = {
 }
 
 
+# The defaults.
 @dataclass(frozen=True)
 class Settings:
     """Thresholds of detection, thermal screening and validation."""

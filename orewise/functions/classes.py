@@ -9,6 +9,9 @@ from ..config import DEFAULT, Settings
 from .columns import brightness, ratio
 
 
+# The thresholds, class names and reasons in the decision lists below.
+
+
 def _true(c: Column) -> Column:
     return F.coalesce(c, F.lit(False))
 
