@@ -58,10 +58,12 @@ def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
-def small_batches(spark: SparkSession, rows: int = 1000) -> None:
-    """Lowers the rows of an Arrow batch, in this session: texts are long, and both the JVM
-    and the Python worker hold whole batches."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    now = int(spark.conf.get(key, "10000"))
-    if now <= 0 or now > rows:
-        spark.conf.set(key, str(rows))
+def small_batches(spark: SparkSession, rows: int = 1000, megabytes: int = 16) -> None:
+    """Lowers the rows and bytes of an Arrow batch, in this session: texts are long, and both
+    the JVM and the Python worker hold whole batches."""
+    limits = {"maxRecordsPerBatch": (rows, ""), "maxBytesPerBatch": (megabytes << 20, "b")}
+    for name, (most, unit) in limits.items():
+        key = f"spark.sql.execution.arrow.{name}"
+        now = spark.conf.get(key).rstrip("b")
+        if not now.lstrip("-").isdigit() or not 0 < int(now) <= most:
+            spark.conf.set(key, f"{most}{unit}")

@@ -158,3 +158,17 @@ def test_sql(spark, name):
     columns = [x[0] for x in con.description]
     got = registered.queries()[name](spark, "/root/testdata/sf0.001").select(*columns).collect()
     assert Counter(map(tuple, got)) == Counter(want)
+
+
+def test_small_batches(spark):
+    from orewise.llm.common import small_batches
+
+    keys = ["spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.execution.arrow.maxBytesPerBatch"]
+    for k in keys:
+        spark.conf.unset(k)
+    small_batches(spark, 300, 8)
+    assert [spark.conf.get(k) for k in keys] == ["300", str(8 << 20) + "b"]
+    small_batches(spark, 1000, 16)  # never raises a limit
+    assert [spark.conf.get(k) for k in keys] == ["300", str(8 << 20) + "b"]
+    for k in keys:
+        spark.conf.unset(k)
