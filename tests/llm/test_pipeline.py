@@ -85,3 +85,14 @@ def test_run(spark, documents):
     for r in rows[:20]:
         if plain[r.doc_id] == text[r.doc_id]:
             assert r.n_tokens == len(tok.encode(text[r.doc_id], add_special_tokens=False).ids)
+
+
+def test_stages_keep_other_columns(spark, documents):
+    """Extra columns, whatever their names, pass through every stage but the last."""
+    extra = {"spans": 1, "base": 2, "fp": 3, "kept": 4, "component_id": 5, "row": 6, "digest": 7, "n_words": 8}
+    docs = documents.limit(40).select("*", *[F.lit(v).alias(k) for k, v in extra.items()])
+    for name, stage in cp.STAGES[:-1]:
+        out = stage(spark, docs, SF)
+        assert out.columns == docs.columns, name
+        assert {tuple(r[k] for k in extra) for r in out.collect()} <= {tuple(extra.values())}, name
+    assert cp.bpe_stage(spark, docs, SF).count() == 40
