@@ -23,7 +23,7 @@ SYMBOLS = "#*$%&|<>"
 MIN_WORDS = 50
 BASE_WINDOW, BASE_PERCENT = 3, 50
 #: Characters of text that are worked on at once (a longer text is worked on alone).
-BLOCK_CHARS = 500_000
+BLOCK_CHARS = 250_000
 
 _B, _C = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93  # odd, so both have inverses mod 2**64
 _U = np.uint64
