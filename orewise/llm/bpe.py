@@ -56,7 +56,7 @@ class Runs:
     A new run is looked up by its plain form: the tokenizer folds ASCII case, and a full stop
     or comma after an ASCII letter or digit is a piece of its own."""
 
-    LIMIT, LONGEST = 150_000, 64
+    LIMIT, LONGEST = 200_000, 64
 
     def __init__(self, tok):
         self.tok, self.known = tok, {"": b""}
