@@ -1,5 +1,7 @@
 """Small tables with nulls, ties, empty and long texts for the operators that SQL or brute force can check."""
 
+import itertools
+import random
 import re
 from collections import Counter, defaultdict
 
@@ -149,6 +151,26 @@ def test_leaks_recall(spark):
     assert leaks(docs.limit(0), items).count() == 0 and leaks(docs, items.limit(0)).count() == 0
 
 
+def _made_up(seed, n_docs, words=120):
+    """n_docs documents of common and rare words, as lists."""
+    rng = random.Random(seed)
+    vocabulary = [f"w{k}" for k in range(20_000)]
+    weights = list(itertools.accumulate(1 / (k + 10) for k in range(20_000)))
+    return rng, [rng.choices(vocabulary, cum_weights=weights, k=words) for _ in range(n_docs)]
+
+
+def test_leaks_of_a_hot_item(spark):
+    """An item in a third of the documents, which makes all its words common ones, is found in each of them."""
+    rng, docs = _made_up(1, 300)
+    items = [(1, " ".join(f"hot{k}" for k in range(36))), (2, " ".join(f"other{k}" for k in range(36)))]
+    rows = [(d, " ".join(w[:50] + (items[0][1].split() if d % 3 == 0 else []) + w[50:])) for d, w in enumerate(docs)]
+    rows.append((900, "before " + items[1][1] + " after"))
+    for some in (items, items[:1]):  # also without any item that has a rare word
+        out = leaks(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(some, "item_id long, text string"))
+        got = sorted((r.doc_id, r.item_id) for r in out.collect())
+        assert got == sorted(brute_force(rows, some)) and len(got) == 99 + len(some)
+
+
 @pytest.mark.parametrize("name", sorted(registered.oracle_sql()))
 def test_sql(spark, name):
     con = duckdb.connect()
