@@ -3,8 +3,8 @@
 Each stage takes (spark, docs, sf_dir), docs having the columns of the documents table, and
 returns a DataFrame; run() writes each stage's result to the shared folder and gives what
 was read back to the next. All stages but the last return the columns of docs, whose n_chars
-they keep true to the text. A document is told by its doc_id: where doc_id repeats, a stage
-decides for all its rows alike, except the near-duplicates, which keep one row.
+they keep true to the text. A stage that drops rows numbers them first, in a table of its own,
+and decides for each row by its own text: doc_ids may repeat or be null.
 """
 
 from __future__ import annotations
@@ -23,30 +23,47 @@ from orewise.llm.quality import quality
 from orewise.llm.simhash import near_duplicates
 
 
+def keyed(docs: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """docs with a number of each row, written so that a number stays with its row; the number's column."""
+    key = "row"
+    while key in map(str.lower, docs.columns):
+        key += "_"
+    return written(docs.withColumn(key, F.monotonically_increasing_id()), name), key
+
+
+def without(rows: DataFrame, key: str, gone: DataFrame, name: str) -> DataFrame:
+    """rows but those whose numbers gone has, without the numbers. The rejected are looked up: they are the fewer."""
+    gone = written(gone, name)
+    return rows.join(small(gone), key, "left_anti").drop(key)
+
+
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejected documents go. The rejected, not the kept, are looked up: they are the fewer."""
-    rejected = written(quality(docs).where("not kept").select("doc_id").distinct(), "rejected")
-    return docs.join(small(rejected), docs["doc_id"].eqNullSafe(rejected["doc_id"]), "left_anti")
+    """Rejected documents go."""
+    rows, key = keyed(docs, "quality-rows")
+    judged = quality(rows.select(F.col(key).alias("doc_id"), "text"))
+    return without(rows, key, judged.where("not kept").select(F.col("doc_id").alias(key)), "rejected").select(docs.columns)
 
 
 def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates the document of least doc_id stays, in one row."""
-    found = near_duplicates(docs.select("doc_id", "text"))
-    gone = written(found.where("doc_id <> component_id").select("doc_id").distinct(), "copies")
-    kept = docs.join(small(gone), "doc_id", "left_anti")
-    again = kept.groupBy("doc_id").count().where("count > 1 and doc_id is not null").select("doc_id")
-    again = written(again, "again")
-    if again.isEmpty():
-        return kept
-    once = kept.join(small(again), "doc_id", "left_semi").groupBy("doc_id").agg(F.min(F.struct(*[c for c in kept.columns if c != "doc_id"])).alias("x"))
-    return kept.join(small(again), "doc_id", "left_anti").unionByName(once.select("doc_id", "x.*").select(kept.columns))
+    """Of each group of near-duplicates the row of least doc_id stays, a null one being the last.
+
+    A row without a text (null) is no copy and stays.
+    """
+    rows, key = keyed(docs, "dedup-rows")
+    found = near_duplicates(rows.where("text is not null").select(F.col(key).alias("doc_id"), "text"))
+    others = written(found.where("doc_id <> component_id").select(F.col("doc_id").alias(key), "component_id"), "others")
+    members = others.unionByName(others.select(F.col("component_id").alias(key), "component_id").distinct())
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", key)
+    least = members.join(rows.select(key, "doc_id"), key).groupBy("component_id").agg(F.min_by(key, order).alias(key)).select(key)
+    return without(rows, key, members.select(key).join(least, key, "left_anti"), "copies").select(docs.columns)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark item go."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    found = written(leaks(docs, benchmark).select("doc_id").distinct(), "leaks")
-    return docs.join(small(found), docs["doc_id"].eqNullSafe(found["doc_id"]), "left_anti")
+    rows, key = keyed(docs, "decontamination-rows")
+    found = leaks(rows.select(F.col(key).alias("doc_id"), "text"), benchmark)
+    return without(rows, key, found.select(F.col("doc_id").alias(key)).distinct(), "leaks").select(docs.columns)
 
 
 def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -96,3 +96,22 @@ def test_stages_keep_other_columns(spark, documents):
         assert out.columns == docs.columns, name
         assert {tuple(r[k] for k in extra) for r in out.collect()} <= {tuple(extra.values())}, name
     assert cp.bpe_stage(spark, docs, SF).count() == 40
+
+
+def test_rows_go_by_their_own_text(spark, documents):
+    """Rows that share a doc_id, or have none, stay or go each by its own text."""
+    texts = [r.text for r in documents.orderBy("doc_id").collect()]
+    fps = [fingerprint(x) for x in texts]
+    alone = [x for k, x in enumerate(texts) if all((fps[k] ^ y).bit_count() > 12 for n, y in enumerate(fps) if n != k)][:8]
+    bad = "line one here\n" * 200
+    item = spark.read.parquet(f"{SF}/benchmark.parquet").first().text
+    made = lambda rows: spark.createDataFrame([(d, x, "en", "s", len(x)) for d, x in rows], documents.schema)
+    # One doc_id and null hold unlike texts, and copies of other rows.
+    rows = [(7, alone[0]), (7, alone[1]), (7, alone[1]), (3, alone[0]), (None, alone[2]), (None, alone[2]), (None, alone[3]), (9, alone[3])]
+    got = [(r.doc_id, r.text) for r in cp.dedup_stage(spark, made(rows), SF).collect()]
+    assert sorted(got, key=str) == sorted([(3, alone[0]), (7, alone[1]), (None, alone[2]), (9, alone[3])], key=str)
+    good = next(r.text for r in cp.quality_stage(spark, documents, SF).collect())
+    rows = [(7, good), (7, bad), (None, good), (None, bad)]
+    assert sorted([(r.doc_id, r.text) for r in cp.quality_stage(spark, made(rows), SF).collect()], key=str) == sorted(rows[::2], key=str)
+    rows = [(7, "nothing of it here"), (7, f"before {item} after"), (None, "nor here"), (None, item)]
+    assert sorted([(r.doc_id, r.text) for r in cp.decontamination_stage(spark, made(rows), SF).collect()], key=str) == sorted(rows[::2], key=str)
