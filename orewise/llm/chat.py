@@ -30,10 +30,10 @@ def _ranked_small(turns: DataFrame) -> DataFrame:
 
 def _ranked_large(turns: DataFrame) -> DataFrame:
     """seq of dialogues of any length: rows are dealt by range, so a long dialogue spans many
-    tasks; counts of its ranges give each range's first seq."""
+    tasks; counts of its ranges give each range's first seq. Only equal rows are told by tie."""
     ranged = written(
         turns.withColumn("tie", F.monotonically_increasing_id())
-        .repartitionByRange("conv_id", "turn", "role", F.xxhash64("text"), "tie")
+        .repartitionByRange("conv_id", "turn", "role", "text", "tie")
         .withColumn("range", F.spark_partition_id()),
         "turns",
     )
@@ -42,7 +42,7 @@ def _ranked_large(turns: DataFrame) -> DataFrame:
         ranged.groupBy("conv_id", "range").agg(F.count("*").alias("n"))
         .select(F.col("conv_id").alias("c"), F.col("range").alias("r"), F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"))
     )
-    within = Window.partitionBy("conv_id", "range").orderBy("turn", "role", F.xxhash64("text"), "tie")
+    within = Window.partitionBy("conv_id", "range").orderBy("turn", "role", "text", "tie")
     ranked = ranged.withColumn("seq", F.row_number().over(within) - 1)
     return ranked.join(first, F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("range") == F.col("r"))).select(
         "conv_id", "turn", "role", "text", (F.col("seq") + F.col("first")).alias("seq")

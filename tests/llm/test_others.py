@@ -130,6 +130,16 @@ def test_rotation(spark, part_turns):
     assert rotate(turns.limit(0)).count() == 0
 
 
+def test_rotation_of_long_ties(spark):
+    """Turns of one number and role are in the order of their texts in long dialogues too."""
+    rows = [(c, k % 2, "user", f"text {k * 7919 % 100}") for c in (1, None) for k in range(100)] + [(1, 0, "Ann", "x")]
+    got = [
+        (r.conv_id, r.speaker, r.part, r.n_turns, r.offset, r.rendered, [tuple(x) for x in r["mask"]])
+        for r in rotate(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"), 8).collect()
+    ]
+    assert sorted(got, key=str) == plain_rotation(rows, 8)
+
+
 def test_common_length():
     assert common_length(list("abcde"), list("xaxcye")) == 3 and common_length([], list("a")) == 0 and common_length(list("aab"), list("aba")) == 2
 
