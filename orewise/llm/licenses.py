@@ -55,7 +55,16 @@ SPELLINGS = {
     "copyright owner": "copyright holder", "per cent": "percent", "cc by": "creative commons attribution",
 }
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-#: A line that only says who holds the copyright, with its line end.
+#: How a licence begins that follows its notice on the same line.
+BEGINS = r"permission (?:is hereby granted|to use)|licen[sc]ed under|released under|spdx-|redistribution and use|the software is provided|this (?:program|work|software|library|file) is"
+#: Words after "copyright" at the beginning of a wrapped line of a licence's sentence, where no holder is named.
+NO_HOLDER = r"notices?|holders?|owners?|laws?|licen[sc]es?|licen[sc]ed|statements?|disclaimers?|interests?|protection|acts?|treat(?:y|ies)|and|or|in|on|is|to|for|of|as|with|shall|may|must|claims?|status|information|infringement|rights?|permission|material|works?"
+#: A notice of who holds the copyright (a sign, a year or a name follows the word), up to its line's end or the licence.
+NOTICE = (
+    r"(?m)^[^a-z0-9\n(©]*(?:copyright[ \t:,]*(?:\(c\)|©|(?:19|20)[0-9]{2})|copyright[ \t:,]+(?!(?:" + NO_HOLDER + r")(?![a-z0-9]))(?=[^\n]*[a-z0-9\x{80}-\x{10FFFF}])"
+    r"|\(c\)[ \t]*(?=(?:19|20)[0-9]{2})|©)[^\n]*?(?=$|(?:" + BEGINS + "))"
+)
+#: The registered SQL's expression, which takes every line that begins with the word; they agree where all such lines are notices.
 COPYRIGHT_LINE = r"(?m)^[^a-z0-9\n]*(copyright|\(c\)|©)[^\n]*$"
 #: What the canonical form keeps; all else is a space.
 OTHER = r"[^a-z0-9\x{80}-\x{10FFFF}]+"
@@ -65,10 +74,10 @@ def canonical(text: Column) -> Column:
     """The canonical form: '' for a text without letters and digits, null for null.
 
     ASCII letters are lower-cased and other characters kept, so that two texts in another
-    script never meet. Only a copyright line that isn't a whole licence sentence goes.
+    script never meet. Only copyright notices go: sentences of a licence stay however they are wrapped.
     """
     out = F.translate(text, _UPPER, _LOWER)
-    out = F.when(out.rlike(r"copyright|\(c\)|©"), F.regexp_replace(out, COPYRIGHT_LINE, "")).otherwise(out)
+    out = F.when(out.rlike(r"copyright|\(c\)|©"), F.regexp_replace(out, NOTICE, "")).otherwise(out)
     out = F.concat(F.lit(" "), F.trim(F.regexp_replace(out, OTHER, " ")), F.lit(" "))
     for a, b in SPELLINGS.items():
         out = F.replace(out, F.lit(f" {a} "), F.lit(f" {b} "))

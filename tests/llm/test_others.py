@@ -1,8 +1,10 @@
 """Small tables with nulls, ties, empty and long texts for the operators that SQL or brute force can check."""
 
+import hashlib
 import itertools
 import random
 import re
+import textwrap
 from collections import Counter, defaultdict
 
 import duckdb
@@ -12,7 +14,7 @@ from pyspark.sql import functions as F
 from orewise.llm import queries as registered
 from orewise.llm.chat import rotate
 from orewise.llm.decontaminate import brute_force, common_length, leaks
-from orewise.llm.licenses import MIT, scan
+from orewise.llm.licenses import GPL3_NOTICE, ISC, MIT, scan
 from orewise.llm.quality import quality
 from orewise.llm.sharding import bounded_ring, plan
 
@@ -161,6 +163,24 @@ def test_leaks_recall(spark):
     assert leaks(docs.limit(0), items).count() == 0 and leaks(docs, items.limit(0)).count() == 0
 
 
+def test_wrapped_licenses(spark):
+    """Licences wrapped at any width, or on one line with their notice, are told; notices aren't part of them."""
+    texts = {"MIT": MIT, "ISC": ISC, "GPL-3.0-or-later": GPL3_NOTICE}
+    notices = ["Copyright (c) 2020 Some One", "COPYRIGHT 2019-2021 The Authors. All rights reserved.", "© Some One", "# Copyright: Jane Doe <j@example.com>", "(c) 2001 X"]
+    rows = []
+    for name, text in texts.items():
+        for width in [*range(60, 81), 10_000]:
+            body = "\n\n".join(textwrap.fill(x, width) for x in text.split("\n\n"))
+            rows += [(name, body), (name, notices[width % 5] + "\n\n" + body)]
+        rows.append((name, notices[0] + ". " + " ".join(text.split())))
+        rows.append((name, re.sub(" (?=copyright )", "\n", text, flags=re.I)))
+    rows.append((None, "copyright law applies to this\ncopyright holders"))
+    docs = spark.createDataFrame([(k, x) for k, (_, x) in enumerate(rows)], "doc_id long, text string")
+    got = {r.doc_id: r for r in scan(docs).collect()}
+    assert [got[k].license for k in range(len(rows))] == [x for x, _ in rows]
+    assert got[len(rows) - 1].digest == hashlib.sha256(b"copyright law applies to this copyright holders").hexdigest()
+
+
 def _made_up(seed, n_docs, words=120):
     """n_docs documents of common and rare words, as lists."""
     rng = random.Random(seed)
