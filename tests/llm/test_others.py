@@ -8,9 +8,11 @@ import textwrap
 from collections import Counter, defaultdict
 
 import duckdb
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from orewise.llm import decontaminate
 from orewise.llm import queries as registered
 from orewise.llm.chat import rotate
 from orewise.llm.decontaminate import brute_force, common_length, leaks
@@ -181,11 +183,11 @@ def test_wrapped_licenses(spark):
     assert got[len(rows) - 1].digest == hashlib.sha256(b"copyright law applies to this copyright holders").hexdigest()
 
 
-def _made_up(seed, n_docs, words=120):
+def _made_up(seed, n_docs, words=120, n_words=20_000):
     """n_docs documents of common and rare words, as lists."""
     rng = random.Random(seed)
-    vocabulary = [f"w{k}" for k in range(20_000)]
-    weights = list(itertools.accumulate(1 / (k + 10) for k in range(20_000)))
+    vocabulary = [f"w{k}" for k in range(n_words)]
+    weights = list(itertools.accumulate(1 / (k + 10) for k in range(n_words)))
     return rng, [rng.choices(vocabulary, cum_weights=weights, k=words) for _ in range(n_docs)]
 
 
@@ -201,6 +203,26 @@ def test_leaks_of_a_hot_item(spark):
         assert got == sorted(brute_force(rows, some)) and len(got) == 99 + len(some)
 
 
+@pytest.mark.parametrize("n_items", [200, 1000, 5000])
+def test_leaks_that_the_latent_space_lost(n_items):
+    """Copies with 30 % of the words replaced are found whatever the space keeps of the items: here two directions."""
+    rng, docs = _made_up(n_items, 300, n_words=4_000)
+    items = [(k, " ".join(w[:36])) for k, w in enumerate(_made_up(-n_items, n_items, n_words=4_000)[1])]
+    rows = []
+    for d, w in enumerate(docs):
+        copy = items[d * n_items // 300][1].split()
+        for k in rng.sample(range(len(copy)), len(copy) * 3 // 10):
+            copy[k] = rng.choice(w)
+        rows.append((d, " ".join(w[: 40 + d % 16] + copy + w[40 + d % 16 :])))
+    words = decontaminate._of_texts([t for _, t in rows])
+    frequency = np.bincount(np.unique(words.doc << 16 | words.term) & 0xFFFF, minlength=decontaminate.FEATURES)
+    space = decontaminate.Space(np.log(301 / (frequency + 1)) + 0.01, frequency <= 45, items)
+    space.place(np.linalg.qr(np.random.default_rng(1).standard_normal((space.n_known, 2)))[0])
+    got = {(d, k) for d, k, *_ in decontaminate._search(words, space)}
+    near = {(d, k) for d, row in enumerate(rows) for k in [d * n_items // 300] if brute_force([row], [items[k]])}
+    assert len(near) > 200 and len(near - got) == 0
+
+
 @pytest.mark.parametrize("name", sorted(registered.oracle_sql()))
 def test_sql(spark, name):
     con = duckdb.connect()
