@@ -1,9 +1,11 @@
 import hashlib
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
-from orewise.llm.bpe import encode, leaf, remembered, tokenizer, tree
+from orewise.llm import bpe
+from orewise.llm.bpe import can_be_cut, encode, leaf, remembered, tokenizer, tree
 
 PATH = pytest.importorskip("public_tokenizers").path("word_bpe_49k.json")
 TEXTS = [
@@ -17,6 +19,10 @@ TEXTS = [
     "word " * 300,
     "!?;:" * 200 + "' s't're " * 60,
     "tail <|startoftext|> " * 40,
+    "!!'reply''s 'LL'd" * 50,
+    "漢字かな交じり文日本語中文的一是不了" * 40,
+    "".join(random.Random(1).choices("абвгдежзийклмноп ", k=900)),
+    "e" + "\u0301\u0323" * 90 + "각한ᄀ\u1161\u11a8" * 30,
 ]
 
 
@@ -24,12 +30,47 @@ TEXTS = [
 def test_tree_equals_whole_text(cut):
     tok, runs = tokenizer(PATH), remembered(PATH)
     for text in filter(None, TEXTS):
-        parts = [leaf(runs, text[k : k + cut]) for k in range(0, len(text), cut)]
-        assert tree(runs, parts).tolist() == tok.encode(text, add_special_tokens=False).ids
+        parts = [leaf(runs, text[k : k + cut], k) for k in range(0, len(text), cut)]
+        assert tree(tok, text, parts).tolist() == tok.encode(text, add_special_tokens=False).ids
+
+
+def test_random_texts():
+    """Any characters, with and without white space, cut anywhere."""
+    rng, tok, runs = random.Random(4), tokenizer(PATH), remembered(PATH)
+    kinds = ["abcdefghijklmnop", "абвгдежзийклмноп", "漢字かな交じり文", "'!?.,-<|", "0123456789", " \n\t\u3000\x0b", "éİßﬁ각ᄀ\u1161\u11a8\u0301\u0323", ["'s", "'RE", "<|endoftext|>", "<|endof", "text|>", "👩\u200d👧"]]
+    for _ in range(400):
+        few = rng.sample(kinds, rng.randrange(1, 4))
+        text = "".join(rng.choice(rng.choice(few)) for _ in range(rng.randrange(1, 500)))
+        cut = rng.choice([5, 20, 90])
+        parts = [leaf(runs, text[k : k + cut], k) for k in range(0, len(text), cut)]
+        assert tree(tok, text, parts).tolist() == tok.encode(text, add_special_tokens=False).ids, (text, cut)
+
+
+@pytest.mark.parametrize("letters", ["abcdefghijklmnopqrstuvwxyz", "漢字かな交じり文日本語中文的一是不了人", "абвгдежзийклмнопрст ", "the cat sat on a mat. "])
+def test_megabyte_is_settled_outside_the_windows(monkeypatch, letters):
+    """A million characters: what joins encode anew is little, whatever the script and without white space."""
+    text = "".join(random.Random(2).choices(letters, k=1_000_000))
+    tok, runs, anew = tokenizer(PATH), remembered(PATH), []
+    parts = [leaf(runs, text[k : k + bpe.LEAF_CHARS], k) for k in range(0, len(text), bpe.LEAF_CHARS)]
+    plain = bpe.spelled
+    monkeypatch.setattr(bpe, "spelled", lambda t, x, k: anew.append(len(x)) or plain(t, x, k))
+    assert tree(tok, text, parts).tolist() == tok.encode(text, add_special_tokens=False).ids
+    assert len(anew) >= len(parts) - 1 and sum(anew) < 0.05 * len(text)
+
+
+def test_other_tokenizer_files(spark):
+    """A file of another make is used whole, also on texts longer than a leaf."""
+    other = pytest.importorskip("public_tokenizers").path("byte_bpe_50k.json")
+    assert can_be_cut(PATH) and not can_be_cut(other)
+    docs = spark.createDataFrame([(k, x) for k, x in enumerate(TEXTS)], "doc_id long, text string")
+    got = {r.doc_id: (bytes(r.ids), r.decoded) for r in encode(docs, other, leaf_chars=50).collect()}
+    for k, x in enumerate(TEXTS):
+        ids = tokenizer(other).encode(x or "", add_special_tokens=False).ids
+        assert got[k] == (b"".join(i.to_bytes(4, "little") for i in ids), tokenizer(other).decode(ids, skip_special_tokens=False))
 
 
 def test_encode_rows(spark):
-    rows = [(k, x, "extra") for k, x in enumerate(TEXTS)] + [(3, TEXTS[3], "again"), (None, "none", "x")]
+    rows = [(k, x, "extra") for k, x in enumerate(TEXTS)] + [(3, TEXTS[3], "again"), (None, "none", "x"), (7, TEXTS[7], "again"), (7, TEXTS[7] + "x", "y")] + [(None, TEXTS[6], "x")] * 3
     docs = spark.createDataFrame(rows, "doc_id long, text string, ids string")
     found = sorted(map(tuple, encode(docs, PATH, leaf_chars=50).collect()), key=str)
     tok = tokenizer(PATH)
