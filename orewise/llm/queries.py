@@ -22,8 +22,8 @@ WARC_SQL = """
 WITH d AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages),
 f AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS least FROM d)
 SELECT page_id, payload_bytes::BIGINT AS payload_bytes, payload_digest,
-  CASE WHEN payload_bytes >= 100 AND page_id > least THEN 'revisit' ELSE 'response' END AS record_type,
-  CASE WHEN payload_bytes >= 100 AND page_id > least THEN least END AS refers_to
+  CASE WHEN payload_bytes >= 100 AND coalesce(page_id > least, least IS NOT NULL) THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN payload_bytes >= 100 AND coalesce(page_id > least, least IS NOT NULL) THEN least END AS refers_to
 FROM f"""
 
 

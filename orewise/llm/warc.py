@@ -2,7 +2,8 @@
 
 Payloads are written to and read from archives as rows of at most ``chunk_bytes`` bytes,
 told apart by record identifier and chunk number, each with the SHA-256 of the payload up
-to its end. Writer and reader hold one chunk at a time. A record longer than its archive
+to its end. The reader holds one chunk at a time, the writer the payloads of one small batch
+of rows (Spark's own rows hold a payload whole) and packs them chunk by chunk. A record longer than its archive
 still has room for goes into it whole; archives are closed at ``archive_bytes``.
 
 Archives are files of the shared folder, opened through pyarrow's file systems, so its URI
@@ -29,6 +30,8 @@ CHUNK_BYTES = 1 << 20
 ARCHIVE_BYTES = 64 << 20
 #: Payloads below this length never are revisits.
 REVISIT_BYTES = 100
+#: Tasks that read archives, at most; each takes its archives one after another.
+READERS = 20_000
 #: Level of the records' own gzip members.
 LEVEL = 1
 MANIFEST = "archive string, records long, bytes long"
@@ -39,21 +42,35 @@ def _open(uri: str) -> tuple[pa.fs.FileSystem, str]:
     return pa.fs.FileSystem.from_uri(uri)
 
 
-def revisits(pages: DataFrame, least_bytes: int = REVISIT_BYTES) -> DataFrame:
-    """pages(page_id, html) -> page_id, digest, refers_to of the rows whose payload, of least_bytes
-    or more, a smaller page_id has too. Payloads are compared by length and SHA-256; a group of
-    copies of any size is one partial minimum, and only its ids are joined back."""
-    payload = F.encode(F.col("html").cast("string"), "utf-8")
-    ids = pages.where(F.octet_length(payload) >= least_bytes).select(F.col("page_id").cast("long"), F.sha2(payload, 256).alias("digest"))
-    ids = written(ids, "digests")
-    first = ids.groupBy("digest").agg(F.min("page_id").alias("refers_to"), F.count("*").alias("n")).where("n > 1")
-    return ids.join(first, "digest").where("page_id > refers_to").select("page_id", "digest", "refers_to").distinct()
+def notes(pages: DataFrame, least_bytes: int = REVISIT_BYTES) -> DataFrame:
+    """pages(page_id, html) -> page_id, digest, refers_to, repeated, to_repeated: what is special about rows of a page_id and payload.
+
+    refers_to is the smallest page_id that has the payload, of least_bytes or more, if that
+    is another one (a null page_id is another one); repeated says that several rows are equal
+    in page_id and payload, to_repeated that several are so in refers_to and payload. Rows
+    with nothing of it have no line. Payloads are compared by SHA-256; groups of copies of
+    any size are partial aggregates, and texts aren't shuffled.
+    """
+    payload = F.coalesce(F.encode(F.col("html").cast("string"), "utf-8"), F.lit("").cast("binary"))
+    ids = pages.select(F.col("page_id").cast("long"), F.sha2(payload, 256).alias("digest"), (F.octet_length(payload) >= least_bytes).alias("long"))
+    same = written(ids.groupBy("page_id", "digest", "long").agg(F.count("*").alias("n")), "digests")
+    first = (
+        same.where("long").groupBy("digest")
+        .agg(F.min("page_id").alias("least"), F.min_by("n", "page_id").alias("n_least"), F.count("*").alias("pages"))
+        .where("pages > 1 and least is not null").drop("pages")
+    )
+    other = F.coalesce(F.col("page_id") > F.col("least"), F.col("least").isNotNull())
+    out = same.join(first, "digest", "left").select(
+        "page_id", "digest", F.when(other, F.col("least")).alias("refers_to"), (F.col("n") > 1).alias("repeated"), (other & (F.col("n_least") > 1)).alias("to_repeated")
+    )
+    return out.where("refers_to is not null or repeated")
 
 
 def _header(kind: str, rid: str, url: str | None, length: int, sha: str, refers: str | None) -> bytes:
     fields = [("WARC-Type", kind), ("WARC-Record-ID", f"<urn:uuid:{rid}>"), ("WARC-Date", "1970-01-01T00:00:00Z")]
     fields += [("WARC-Target-URI", " ".join(url.split()))] if url else []
-    fields += [("WARC-Refers-To", f"<urn:uuid:{refers}>"), ("WARC-Profile", "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest")] if refers else []
+    fields += [("WARC-Refers-To", f"<urn:uuid:{refers}>")] if refers else []
+    fields += [("WARC-Profile", "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest")] if kind == "revisit" else []
     fields += [("WARC-Payload-Digest", f"sha256:{sha}"), ("Content-Type", "text/html"), ("Content-Length", str(length))]
     return b"WARC/1.1\r\n" + "".join(f"{a}: {b}\r\n" for a, b in fields).encode() + b"\r\n"
 
@@ -84,34 +101,42 @@ class _Archive:
         return self.uri, self.records, self.bytes
 
 
-def record_id(page_id: int | None) -> str:
-    return str(uuid.uuid5(uuid.NAMESPACE_URL, f"page:{page_id}"))
+def record_id(page_id: int | None, digest: str) -> str:
+    """The identifier of the only record of a page_id and payload."""
+    return str(uuid.uuid5(uuid.NAMESPACE_URL, f"page:{page_id}:{digest}"))
 
 
 def write(pages: DataFrame, folder: str, chunk_bytes: int = CHUNK_BYTES, archive_bytes: int = ARCHIVE_BYTES) -> DataFrame:
     """pages(page_id, url, html) -> the manifest (archive, records, bytes) of the archives below folder.
 
     A record for a row; the payload is the html in UTF-8 (null: empty). Revisits hold the
-    payload's digest and length and no payload. A null page_id is a response, as are rows
-    equal in page_id and payload to the smallest page_id's.
+    payload's digest and length and no payload. Rows equal in page_id and payload to the
+    smallest page_id's are responses, and a null page_id revisits any other of its payload.
+    Every record has an identifier of its own: it follows from page_id and payload where one
+    row alone has them, and is drawn at random where rows repeat. A revisit names its response's
+    identifier, if there is but one, and always its page_id.
     """
     small_batches(pages.sparkSession, 200)
-    back = written(revisits(pages), "revisits")
-    few = back.count() <= BROADCAST_ROWS
+    known = written(notes(pages), "notes").select(F.col("page_id").alias("p"), F.col("digest").alias("d"), "refers_to", "repeated", "to_repeated")
+    few = known.count() <= BROADCAST_ROWS
     source = pages.select(F.col("page_id").cast("long"), F.col("url").cast("string"), F.col("html").cast("string"))
     source = source.withColumn("digest", F.sha2(F.coalesce(F.encode("html", "utf-8"), F.lit("").cast("binary")), 256))
-    source = source.join(F.broadcast(back) if few else back, ["page_id", "digest"], "left").select("page_id", "url", "refers_to", "digest", "html")
+    same = F.col("page_id").eqNullSafe(F.col("p")) & (F.col("digest") == F.col("d"))
+    source = source.join(F.broadcast(known) if few else known, same, "left").select("page_id", "url", "refers_to", "digest", "html", "repeated", "to_repeated")
 
     def run(batches):
         archive = None
         for batch in batches:
-            for page_id, url, refers, digest, html in zip(*(batch.column(k) for k in range(5))):
+            for page_id, url, refers, digest, html, repeated, to_repeated in zip(*(batch.column(k) for k in range(7))):
                 payload = memoryview(html.as_buffer() if html.is_valid else b"")
                 page, to, sha = page_id.as_py(), refers.as_py(), digest.as_py()
                 archive = archive or _Archive(folder)
-                head = _header("response" if to is None else "revisit", record_id(page), url.as_py(), len(payload) if to is None else 0, sha, to and record_id(to))
-                if page is not None:
-                    head = head[:-2] + f"X-Page-ID: {page}\r\n".encode() + (b"" if to is None else f"X-Refers-To-Page: {to}\r\nX-Payload-Length: {len(payload)}\r\n".encode()) + b"\r\n"
+                own = str(uuid.uuid4()) if repeated.as_py() else record_id(page, sha)
+                other = None if to is None or to_repeated.as_py() else record_id(to, sha)
+                head = _header("response" if to is None else "revisit", own, url.as_py(), len(payload) if to is None else 0, sha, other)
+                more = [] if page is None else [f"X-Page-ID: {page}"]
+                more += [] if to is None else [f"X-Refers-To-Page: {to}", f"X-Payload-Length: {len(payload)}"]
+                head = head[:-2] + "".join(f"{x}\r\n" for x in more).encode() + b"\r\n"
                 body = () if to is not None else (payload[k : k + chunk_bytes] for k in range(0, len(payload), chunk_bytes))
                 archive.add(chain((head,), body, (b"\r\n\r\n",)))
                 if archive.bytes >= archive_bytes:
@@ -216,7 +241,7 @@ def read(manifest: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
                         yield batch(rows)
 
     files = manifest.select("archive")
-    return files.repartition(max(1, files.count()), "archive").mapInArrow(run, CHUNKS)
+    return files.repartition(min(READERS, max(1, files.count())), "archive").mapInArrow(run, CHUNKS)
 
 
 def payloads(chunks: DataFrame) -> DataFrame:

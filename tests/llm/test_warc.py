@@ -10,7 +10,7 @@ def _expect(rows):
     for page, _, html, *_ in rows:
         data = (html or "").encode()
         same = [p for p, _, h, *_ in rows if p is not None and (h or "") == (html or "")]
-        to = min(same) if page is not None and len(data) >= 100 and min(same) < page else None
+        to = min(same) if same and len(data) >= 100 and (page is None or min(same) < page) else None
         out.append((page, len(data), hashlib.sha256(data).hexdigest(), "response" if to is None else "revisit", to))
     return sorted(out, key=str)
 
@@ -33,6 +33,22 @@ def test_round_trip(spark, tmp_path):
     assert [x.sha256 for x in one] == [hashlib.sha256(b"y" * x.end).hexdigest() for x in one]
 
 
+def test_records_have_keys_of_their_own(spark, tmp_path):
+    """Repeated and null page_ids, with equal and other payloads: each record is rebuilt by its identifier, byte for byte."""
+    texts = ["a" * 150, "b" * 333, "é" * 90, "", None, "short"]
+    rows = [(p, f"http://{k}/", t) for p in (1, None, 2) for k, t in enumerate(texts + texts[:2])]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    chunks = read(write(pages, f"file://{tmp_path}/k", chunk_bytes=64, archive_bytes=300), chunk_bytes=64).collect()
+    assert len({(c.record_id, c.chunk) for c in chunks}) == len(chunks)
+    records = {}
+    for c in sorted(chunks, key=lambda c: c.chunk):
+        records.setdefault(c.record_id, [c.page_id, c.record_type, c.refers_to, c.url, b""])[4] += bytes(c.data)
+    want = [(p, "revisit", 1, u, b"") if t and len(t.encode()) >= 100 and p != 1 else (p, "response", None, u, (t or "").encode()) for p, u, t in rows]
+    assert sorted(map(tuple, records.values()), key=str) == sorted(want, key=str)
+    alone = spark.createDataFrame([(None, "u", "z" * 200)] * 2, "page_id long, url string, html string")
+    assert [tuple(r)[2:] for r in payloads(read(write(alone, f"file://{tmp_path}/n"))).distinct().collect()] == [(hashlib.sha256(b"z" * 200).hexdigest(), "response", None)]
+
+
 def test_empty(spark, tmp_path):
     pages = spark.createDataFrame([], "page_id long, url string, html string")
     assert payloads(read(write(pages, f"file://{tmp_path}/e"))).count() == 0
