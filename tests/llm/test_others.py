@@ -2,6 +2,7 @@
 
 import hashlib
 import itertools
+import os
 import random
 import re
 import textwrap
@@ -16,7 +17,8 @@ from orewise.llm import decontaminate
 from orewise.llm import queries as registered
 from orewise.llm.chat import rotate
 from orewise.llm.decontaminate import brute_force, common_length, leaks
-from orewise.llm.licenses import GPL3_NOTICE, ISC, MIT, scan
+from orewise.llm import licenses
+from orewise.llm.licenses import BSD2, BSD3, GPL3_NOTICE, ISC, MIT, scan
 from orewise.llm.quality import quality
 from orewise.llm.sharding import bounded_ring, plan
 
@@ -167,7 +169,7 @@ def test_leaks_recall(spark):
 
 def test_wrapped_licenses(spark):
     """Licences wrapped at any width, or on one line with their notice, are told; notices aren't part of them."""
-    texts = {"MIT": MIT, "ISC": ISC, "GPL-3.0-or-later": GPL3_NOTICE}
+    texts = {"MIT": MIT, "ISC": ISC, "GPL-3.0-or-later": GPL3_NOTICE, "BSD-2-Clause": BSD2, "BSD-3-Clause": BSD3}
     notices = ["Copyright (c) 2020 Some One", "COPYRIGHT 2019-2021 The Authors. All rights reserved.", "© Some One", "# Copyright: Jane Doe <j@example.com>", "(c) 2001 X"]
     rows = []
     for name, text in texts.items():
@@ -176,6 +178,8 @@ def test_wrapped_licenses(spark):
             rows += [(name, body), (name, notices[width % 5] + "\n\n" + body)]
         rows.append((name, notices[0] + ". " + " ".join(text.split())))
         rows.append((name, re.sub(" (?=copyright )", "\n", text, flags=re.I)))
+    rows += [("MIT", "The MIT License (MIT)\n\n" + notices[0] + "\n\n" + textwrap.fill(MIT, 78)), ("MIT", "MIT License\n\n" + notices[1] + "\n" + MIT), ("ISC", "ISC License\n\n" + notices[0] + "\n" + ISC)]
+    rows += [("BSD-3-Clause", "BSD 3-Clause License\n\n" + notices[0] + "\n\n" + BSD3.replace("HOLDER", "OWNER")), (None, "The MIT License\n\nand other words")]
     rows.append((None, "copyright law applies to this\ncopyright holders"))
     docs = spark.createDataFrame([(k, x) for k, (_, x) in enumerate(rows)], "doc_id long, text string")
     got = {r.doc_id: r for r in scan(docs).collect()}
@@ -183,6 +187,28 @@ def test_wrapped_licenses(spark):
     assert got[len(rows) - 1].digest == hashlib.sha256(b"copyright law applies to this copyright holders").hexdigest()
 
 
+def test_published_licenses(spark):
+    """Whole published files, in their own wrapping and in another, are found by their digests."""
+    folder = "/usr/share/common-licenses/"
+    files = {"Apache-2.0": "Apache-2.0", "GPL-2.0-only": "GPL-2", "GPL-3.0-only": "GPL-3", "LGPL-2.1-only": "LGPL-2.1", "LGPL-3.0-only": "LGPL-3", "MPL-2.0": "MPL-2.0", "CC0-1.0": "CC0-1.0"}
+    if not os.path.exists(folder + "GPL-3"):
+        pytest.skip("no published texts here")
+    rows, wrapped = [], lambda x: x if "opyright (" in x or "(c)" in x else textwrap.fill(x, 61)  # a notice ends with its line
+    for name, file in files.items():
+        text = open(folder + file, encoding="utf-8").read()
+        rows += [(name, text), (name, "\n".join(map(wrapped, text.split("\n\n")))), (None, text[: len(text) // 2])]
+        rows += [(name, x) for x in [text.partition("END OF TERMS AND CONDITIONS")[0]] if x != text]
+    got = {r.doc_id: r.license for r in scan(spark.createDataFrame([(k, x) for k, (_, x) in enumerate(rows)], "doc_id long, text string")).collect()}
+    assert [got[k] for k in range(len(rows))] == [x for x, _ in rows]
+
+
+def test_spellings_of_neighbours(spark):
+    forms = ["Licence LICENCE, sub-licence whilst", "license license sublicense while", "v2.0 v3 CC-BY", "version 2.0 version 3 Creative Commons Attribution"]
+    docs = spark.createDataFrame([(k, x) for k, x in enumerate(forms)], "doc_id long, text string")
+    got = [r.c for r in docs.orderBy("doc_id").select(licenses.canonical(F.col("text")).alias("c")).collect()]
+    assert got[0] == got[1] == "license license sublicense while" and got[2] == got[3]
+
+
 def _made_up(seed, n_docs, words=120, n_words=20_000):
     """n_docs documents of common and rare words, as lists."""
     rng = random.Random(seed)
