@@ -69,7 +69,7 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data is replaced by the names of its kinds."""
     rows = docs.select("text", F.struct(*docs.columns).alias("row"))  # so that no column of docs can clash
-    found = pii.find(rows, pii.fit(docs.select("text")))
+    found = pii.find(rows, pii.fit(spark))
     clean = found.select("row", pii.redact(F.col("text"), F.col("spans")).alias("clean"))
     new = {"text": F.col("clean"), "n_chars": F.length("clean").cast("long")}
     return clean.select(*[new.get(c, F.col("row").getField(c)).alias(c) for c in docs.columns])

@@ -71,9 +71,9 @@ def _listed(spans) -> Column:
 
 def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    found = pii.find(docs, pii.fit(docs))
+    found = pii.find(docs, pii.fit(spark))
     of_kind = lambda k: F.size(F.filter("base", lambda x: x.kind == k)).cast("long")
-    counts = [of_kind(k).alias(f"n_{name}") for k, name in enumerate(pii.KINDS)]
+    counts = [of_kind(k).alias(f"n_{name}") for k, name in enumerate(pii.BASE)]
     return found.select("doc_id", *counts, F.sha2(_listed(F.col("base")), 256).alias("base_sha256"), _listed(F.col("spans")).alias("spans"))
 
 

@@ -1,5 +1,7 @@
 import hashlib
+import random
 import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -45,7 +47,7 @@ HARD = [
 
 @pytest.fixture(scope="module")
 def model(spark):
-    return pii.fit(spark.read.parquet("/root/testdata/sf0.001/documents.parquet"))
+    return pii.fit(spark)
 
 
 def test_base_is_the_plain_patterns(spark, model):
@@ -54,8 +56,10 @@ def test_base_is_the_plain_patterns(spark, model):
     found = pii.find(docs, model).select("doc_id", "text", "base", "spans").collect()
     assert len(found) == len(rows)
     for r in found:
-        assert [tuple(x) for x in r.base] == brute(r.text), r.text
+        assert [tuple(x)[:3] for x in r.base] == brute(r.text), r.text
         assert set(map(tuple, r.base)) <= set(map(tuple, r.spans))
+        for x in r.spans:
+            assert (r.text or "").encode()[x.start_byte : x.end_byte].decode() == r.text[x.start : x.end]
 
 
 def test_query_over_a_table(spark):
@@ -71,27 +75,81 @@ def test_query_over_a_table(spark):
         assert (r.n_email, r.n_ip, r.n_card, r.n_phone) == tuple(sum(k == x[0] for x in base) for k in range(4))
 
 
-def test_model_adds_and_leaves(spark, model):
-    texts = ["Please call (017) 555-7713 before noon", "write to jane (at) example.com today", "version 3.11.2.1 of 2024", "from 1990 to 2005"]
-    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    found = {r.doc_id: r for r in pii.find(docs, model).withColumn("clean", pii.redact(F.col("text"), F.col("spans"))).collect()}
-    assert found[0].clean == "Please call <PHONE> before noon" and not found[0].base
-    assert found[3].clean == texts[3]
+def test_query_adds_spans(spark):
+    """Keys in the documents of the table, which no base rule sees, are added, and nothing else is."""
+    from orewise.llm.queries import op8_pii
+
+    text = {r.doc_id: r.text or "" for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()}
+    added, want = set(), {(d, m.start(1), m.end(1)) for d, t in text.items() for m in re.finditer(r"(?i)token = \"([0-9a-f]{40})\"", t)}
+    for r in op8_pii(spark, "/root/testdata/sf0.01").collect():
+        base = {f"{pii.KINDS[k]}:{a}:{b}" for k, a, b in brute(text[r.doc_id])}
+        assert base <= set(filter(None, r.spans.split(",")))
+        for x in set(filter(None, r.spans.split(","))) - base:
+            kind, a, b = x.split(":")
+            added.add((kind, r.doc_id, int(a), int(b)))
+    assert len(want) > 5 and added == {("secret", *x) for x in want}
+
+
+# Sentences and forms of their own: nothing here is made by the operator's planter.
+HELD_OUT = {
+    "email": (["please drop {} a line", "Questions go to {}, thanks", "our inbox is {} (office)", "e-mail {} for a quote"], ["anna.lind(at)fjord.example", "sales [at] quarry [dot] com", "m_otto (at) heap.org", "info[at]yard.net"]),
+    "ip": (["the machine at {} is down", "host {} refused", "server {} answered late"], ["10[.]2[.]33[.]4", "172(.)16(.)9(.)200", "192[.]168[.]0[.]17"]),
+    "card": (["she gave her card {} yesterday", "Visa {} exp 12/27", "paid by credit card {} in full"], ["4111.1111.1111.1111", "5500/0000/0000/0004", "4012.8888.8888.1881"]),
+    "phone": (["call me on {} tonight", "Tel: {}", "his mobile is {}, ask", "fax {} or write"], ["(030) 555-1234", "0171 555 8899", "212-555-0187", "030 1234 5678"]),
+    "secret": (["export API_KEY={} first", "password: {}", "the access token {} leaked", 'secret = "{}"'], ["9f86d081884c7d659a2feaa0c55ad015a3bf4f1b", "hJ7kQ2mX9pL4vT8wZ1cR6bN3", "A94A8FE5CCB19BA61C4C0873D391E987982FBBD3"]),
+}
+CLEAN = [
+    "order 100200300400 was sent on 2024-05-17", "ISBN 978-3-16-148410-0 of 1999 to 2005", "section 1.2.3 and figure 12-34", "commit 9f86d081884c7d659a2feaa0c55ad015a3bf4f1b fixes it", "meet us (at) noon by the gate",
+    "serial 4111 1111 1111 1112 was scrapped", "sha256: 9f86d081884c7d659a2feaa0c55ad015a3bf4f1b9f86d081884c7d659a2feaa0", "a total of 1000 2000 3000 4000 tonnes", "invoice no 2024-0001-3321 is due",
+    "the file heap_volume_report_final_2 is new", "card 1234567890123456 is a sample", "version 12[.]400[.]3[.]1 is odd", "user@localhost and @one@two", "number 9807915762804490 stands alone", "ueadoos 9807915762804491 raie",
+]
 
 
-def test_held_out_accuracy(spark):
-    """The trees, fitted on the larger table, tell base spans from contradicted ones in another."""
-    model = pii.fit(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"))
-    rows = pii.training_rows(spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("text"))
-    r = rows.withColumn("p", model.score(F.struct(*pii.FEATURES))).agg(F.avg(((F.col("p") > 0.5) == (F.col("label") > 0.5)).cast("double"))).first()
-    assert r[0] > 0.95
+def test_added_spans_on_planted_text(spark, model):
+    """Recall and precision of added spans on sentences that aren't the planter's."""
+    rng, rows, want = random.Random(3), [], set()
+    for kind, (sentences, values) in HELD_OUT.items():
+        for s in sentences:
+            for v in values:
+                before = " ".join(rng.choices(["heap", "größe", "of", "the", "yard", "😀"], k=rng.randrange(9))) + " "
+                start = len(before) + s.index("{}")
+                want.add((len(rows), kind, start, start + len(v)))
+                rows.append(before + s.replace("{}", v))
+    rows += CLEAN
+    found = pii.find(spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string"), model).collect()
+    got = {(r.doc_id, pii.KINDS[x.kind], x.start, x.end) for r in found for x in r.spans if x not in r.base}
+    right = len(got & want)
+    assert right >= 0.9 * len(want), sorted(want - got)
+    assert right >= 0.9 * len(got), [(x, rows[x[0]][x[2] : x[3]]) for x in got - want]
+
+
+def test_held_out_examples(spark, model):
+    """Planted examples of another seed: every kind's added spans are found, and few others."""
+    rows = pii.training_rows(spark, 2_000, seed=77).withColumn("hit", model.score(F.struct(*pii.FEATURES)) >= model.threshold(F.col("kind")))
+    for r in rows.groupBy("kind").agg(F.sum("label").alias("n"), F.count_if("hit").alias("found"), F.count_if(F.col("hit") & (F.col("label") > 0)).alias("right")).collect():
+        assert r.n > 50 and r.right >= 0.9 * r.n and r.right >= 0.9 * r.found, r
+
+
+def test_time_follows_the_text(spark, model):
+    """A contact list of four times the length doesn't take anything like sixteen times as long."""
+    line, seconds = "write to jane.doe@mail.example.com or call +1 (017) 555-7713, card 4111 1111 1111 1111, token = 0123456789abcdef0123456789abcdef01234567. ", []
+    for k in (1_000, 4_000):
+        docs = spark.createDataFrame([(1, line * k)], "doc_id long, text string")
+        for _ in range(2):  # the second run has the compiled plan
+            began = time.time()
+            r = pii.find(docs, model).select(F.size("base"), F.size("spans"), pii.redact(F.col("text"), F.col("spans"))).first()
+        seconds.append(time.time() - began)
+        assert r[0] == 3 * k and r[1] == 4 * k
+        assert r[2] == "write to <EMAIL> or call <PHONE>, card <CARD>, token = <SECRET>. " * k
+    assert seconds[1] < 8 * seconds[0]
 
 
 def test_redact_overlaps(spark):
-    spans = F.from_json(F.lit('[{"kind":0,"start":2,"end":5},{"kind":3,"start":4,"end":7},{"kind":1,"start":8,"end":9}]'), "array<struct<kind:int,start:int,end:int>>")
+    places = '[{"kind":0,"start_byte":2,"end_byte":8},{"kind":3,"start_byte":7,"end_byte":10},{"kind":1,"start_byte":11,"end_byte":12}]'
+    spans = F.from_json(F.lit(places), "array<struct<kind:int,start_byte:bigint,end_byte:bigint>>")
     assert spark.range(1).select(pii.redact(F.lit("ab😀cdefghij"), spans)).first()[0] == "ab<EMAIL>g<IP>ij"
 
 
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
-    assert pii.find(docs, pii.fit(docs)).count() == 0
+    assert pii.find(docs, pii.fit(spark, 300)).count() == 0

@@ -78,7 +78,7 @@ def test_run(spark, documents):
     rows = out.collect()
     assert len({r.doc_id for r in rows}) == len(rows) and 0 < len(rows) < documents.count()
     text = {r.doc_id: r.text for r in documents.collect()}
-    plain = {r.doc_id: r.text for r in pii.find(documents, pii.fit(documents)).withColumn("text", pii.redact(F.col("text"), F.col("spans"))).collect()}
+    plain = {r.doc_id: r.text for r in pii.find(documents, pii.fit(spark)).withColumn("text", pii.redact(F.col("text"), F.col("spans"))).collect()}
     import public_tokenizers
 
     tok = tokenizer(public_tokenizers.path("word_bpe_49k.json"))
