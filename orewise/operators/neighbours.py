@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..sources.tables import numbered
 from .focal import offsets, spread
 
 
@@ -70,4 +71,5 @@ def new_outlines(candidates: DataFrame, existing: DataFrame, most: float = 0.3)
     """Candidates (row, col, label) that existing(row, col) covers by at most that share, named N001.. by size."""
     hit = candidates.join(existing.select("row", "col", F.lit(1.0).alias("hit")), ["row", "col"], "left")
     sizes = hit.groupBy("label").agg(F.count("*").alias("n_px"), F.avg(F.coalesce("hit", F.lit(0.0))).alias("share")).where(F.col("share") <= most)
-    return sizes.withColumn("name", F.format_string("N%03d", F.row_number().over(Window.orderBy(F.desc("n_px"), "label"))))
+    order = numbered(sizes.select(F.struct((-F.col("n_px")).alias("n"), "label").alias("k")), "k", "place")
+    return sizes.join(order.select("k.label", "place"), "label").withColumn("name", F.format_string("N%03d", "place")).drop("place")

@@ -9,21 +9,23 @@ from pyspark.sql.window import Window
 from ..config import DEFAULT, Settings
 from ..functions import classes
 from ..functions.columns import binomial_tail, detectable_celsius, hotspot_celsius, ratio
+from .zonal import robust
 
 MONTH = 30.44
 
 
-def contrasts(obs: DataFrame, background: DataFrame, s: Settings = DEFAULT) -> DataFrame:
+def contrasts(obs: DataFrame, background: DataFrame, s: Settings = DEFAULT, rings: DataFrame | None = None) -> DataFrame:
     """obs(scene_id, label, row, col, lst, cover) and background(scene_id, label, lst) -> a contrast per scene and object.
 
     The object's pixel is the one that it covers most, the hotter one of equals; the ring's
     centre and spread are median and 1.4826 MAD, and rings of under three pixels give nothing.
+    Where objects share their background, rings(scene_id, label, ring) names each one's and
+    background is (scene_id, ring, lst): centre and spread are then made once a ring, and no
+    pixel is copied for each object.
     """
     keys = ["scene_id", "label"]
-    known = background.where("lst is not null")
-    mid = known.groupBy(keys).agg(F.median("lst").alias("t_background"), F.count("*").alias("n_background"))
-    mad = known.join(mid, keys).groupBy(keys).agg((1.4826 * F.median(F.abs(F.col("lst") - F.col("t_background")))).alias("sigma"))
-    ring = mid.join(mad, keys).where("n_background >= 3")
+    ring = robust(background, keys if rings is None else ["scene_id", "ring"], "lst").where("n >= 3")
+    ring = (ring if rings is None else rings.join(ring, ["scene_id", "ring"])).select(*keys, F.col("med").alias("t_background"), F.col("mad").alias("sigma"), F.col("n").alias("n_background"))
     score = F.struct((F.col("cover") + 1e-3 * F.col("lst")).alias("score"), (-F.col("row")).alias("r"), (-F.col("col")).alias("c"))
     best = obs.where("lst is not null and cover > 0").groupBy(keys).agg(F.max_by(F.struct("lst", "cover"), score).alias("b"))
     out = best.join(ring, keys).select(*keys, F.col("b.lst").alias("t_object"), F.col("b.cover").alias("cover"), "t_background", "sigma", "n_background")

@@ -4,19 +4,33 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 
-def _others(c: Column, fold: Window) -> Column:
-    """Sum over all rows less that of the row's fold."""
-    return F.coalesce(F.sum(c).over(Window.partitionBy()), F.lit(0.0)) - F.coalesce(F.sum(c).over(fold), F.lit(0.0))
+#: Folds of the corrections that have no closed form: each fold's fit meets the rows of all other folds.
+MOST_FOLDS = 1_000
 
 
 def _totals(df: DataFrame, moments: dict[str, Column], fold: str) -> DataFrame:
-    """Moments of all folds but the row's own: summed by fold, then a complement over the few folds."""
+    """Moments of all folds but the row's own: summed by fold, less from the sum over the folds (one row)."""
     by = df.groupBy(fold).agg(*[F.coalesce(F.sum(c), F.lit(0.0)).alias(k) for k, c in moments.items()])
-    rest = by.select(fold, *[(F.sum(k).over(Window.partitionBy()) - F.col(k)).alias(k) for k in moments])
-    return rest
+    every = by.agg(*[F.sum(k).alias(f"_all{k}") for k in moments])
+    return by.crossJoin(F.broadcast(every)).select(fold, *[(F.col(f"_all{k}") - F.col(k)).alias(k) for k in moments])  # every: one row
+
+
+def _few(folds: DataFrame) -> DataFrame:
+    """A row for each fold, broadcast: counted first."""
+    if folds.limit(MOST_FOLDS + 1).count() > MOST_FOLDS:
+        raise ValueError(f"over {MOST_FOLDS} folds: group the rows into fewer")
+    return F.broadcast(folds)
+
+
+def mean_of_others(df: DataFrame, value: Column) -> DataFrame:
+    """Adds others: the mean of value over all other rows, null ones aside; null without another. One aggregate of one row is joined back."""
+    known = df.withColumn("_v", value)
+    every = known.agg(F.sum("_v").alias("_s"), F.count("_v").alias("_n"))
+    own = F.col("_v").isNotNull().cast("int")
+    mean = (F.col("_s") - F.coalesce("_v", F.lit(0.0))) / F.nullif(F.col("_n") - own, F.lit(0))
+    return known.crossJoin(F.broadcast(every)).withColumn("others", mean).drop("_v", "_s", "_n")  # every: one row
 
 
 def ratio_corrected(df: DataFrame, fold: str = "fold", actual: str = "actual", pred: str = "pred") -> DataFrame:
@@ -24,7 +38,7 @@ def ratio_corrected(df: DataFrame, fold: str = "fold", actual: str = "actual", p
     ok = F.col(actual).isNotNull() & F.col(pred).isNotNull()
     rest = _totals(df, {"_n": ok.cast("double"), "_a": F.when(ok, F.col(actual)), "_p": F.when(ok, F.col(pred))}, fold)
     usable = (F.col("_n") >= 3) & (F.col("_p") > 0)
-    out = df.join(F.broadcast(rest), fold)  # a row for each fold
+    out = df.join(rest, fold)  # Spark broadcasts it if it is small
     return out.withColumn("corrected", F.when(usable, F.col(pred) * F.col("_a") / F.when(usable, F.col("_p")))).drop("_n", "_a", "_p")
 
 
@@ -32,8 +46,8 @@ def power_corrected(df: DataFrame, fold: str = "fold", actual: str = "actual", p
     """Adds corrected and exponent: c * pred ** b fitted in logs on the other folds, b within 0.5 and 2.5, sums matched.
 
     Needs four usable rows in the other folds. The mean match sums c * pred ** b, which has no
-    closed form, so those sums are made once b is known, by pairs of a fold and another's rows
-    already summed by fold.
+    closed form, so those sums are made once b is known, by pairs of a row and another fold's
+    fit: at most MOST_FOLDS fits, counted before they are broadcast.
     """
     ok = F.col(actual).isNotNull() & (F.col(pred) > 0) & (F.col(actual) > 0)
     x, y = F.ln(F.when(ok, F.col(pred))), F.ln(F.when(ok, F.col(actual)))
@@ -44,9 +58,9 @@ def power_corrected(df: DataFrame, fold: str = "fold", actual: str = "actual", p
     )
     used = df.where(ok).select(F.col(fold).alias("_g"), F.col(pred).alias("_v"))
     raw = F.exp("_c") * F.pow("_v", "exponent")
-    match = used.crossJoin(F.broadcast(fits)).where("_g <> _f").groupBy("_f").agg((F.first("_a") / F.greatest(F.sum(raw), F.lit(1e-9))).alias("_k"))  # fits: a row for each fold
-    fits = fits.join(match, "_f")
-    out = df.join(F.broadcast(fits), df[fold] == fits["_f"], "left")
+    match = used.join(_few(fits), F.col("_g") != F.col("_f")).groupBy("_f").agg((F.first("_a") / F.greatest(F.sum(raw), F.lit(1e-9))).alias("_k"))
+    fits = _few(fits.join(match, "_f"))
+    out = df.join(fits, df[fold] == fits["_f"], "left")
     return out.withColumn("corrected", F.col("_k") * F.exp("_c") * F.pow(F.greatest(F.col(pred), F.lit(0.0)), "exponent")).drop("_f", "_c", "_a", "_k")
 
 
@@ -57,7 +71,10 @@ def quadratic_corrected(df: DataFrame, fold: str = "fold", actual: str = "actual
     m = {"_n": ok.cast("double"), "_x": x, "_y": y, "_x2": x**2, "_x3": x**3, "_x4": x**4, "_xy": x * y, "_x2y": x * x * y}
     rest = _totals(df, m, fold)
     tops = df.groupBy(fold).agg(F.max(x).alias("_m"))
-    top = tops.select(F.col(fold).alias("_g"), F.col("_m").alias("_gm")).crossJoin(F.broadcast(tops.select(fold))).where(f"_g <> {fold}").groupBy(fold).agg(F.max("_gm").alias("_top"))
+    first = tops.agg(F.max(F.struct("_m", fold)).alias("_1"))
+    second = tops.crossJoin(F.broadcast(first)).where(F.col(fold) != F.col(f"_1.{fold}")).agg(F.max("_m").alias("_2"))
+    both = first.crossJoin(F.broadcast(second))  # one row: the greatest and what is greatest without its fold
+    top = tops.crossJoin(F.broadcast(both)).select(fold, F.when(F.col(fold) == F.col(f"_1.{fold}"), F.col("_2")).otherwise(F.col("_1._m")).alias("_top")).where("_top is not null")
     det = F.nullif(F.col("_x2") * F.col("_x4") - F.col("_x3") ** 2, F.lit(0.0))
     a = (F.col("_xy") * F.col("_x4") - F.col("_x2y") * F.col("_x3")) / det
     b = (F.col("_x2") * F.col("_x2y") - F.col("_x3") * F.col("_xy")) / det
@@ -65,12 +82,12 @@ def quadratic_corrected(df: DataFrame, fold: str = "fold", actual: str = "actual
     bends = F.coalesce((F.col("_a") <= 0) | (F.col("_a") + 2 * F.col("_b") * F.col("_top") * 1.5 <= 0), F.lit(True))
     k = F.col("_y") / F.greatest(F.col("_a") * F.col("_x") + F.col("_b") * F.col("_x2"), F.lit(1e-9))
     fits = fits.select(F.col(fold).alias("_f"), F.when(bends, F.col("_y") / F.col("_x")).otherwise(k * F.col("_a")).alias("_p"), F.when(bends, 0.0).otherwise(k * F.col("_b")).alias("_q"))
-    out = df.join(F.broadcast(fits), df[fold] == fits["_f"], "left")
+    out = df.join(fits, df[fold] == fits["_f"], "left")
     return out.withColumn("corrected", F.col("_p") * F.col(pred) + F.col("_q") * F.col(pred) ** 2).drop("_f", "_p", "_q")
 
 
 def leave_one_out(df: DataFrame, key: str, **how) -> DataFrame:
-    """power_corrected() with every row a fold of its own: for few rows."""
+    """power_corrected() with every row a fold of its own: for at most MOST_FOLDS rows, as each fit meets all other rows."""
     return power_corrected(df, fold=key, **how)
 
 

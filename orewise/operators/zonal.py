@@ -98,7 +98,7 @@ def toe_volumes(px: DataFrame, fits: DataFrame, pixel_area: float) -> DataFrame:
     """px(label, x, y, dsm) above the planes: volume and top by label."""
     base = F.col("a") * (F.col("x") - F.col("xm")) + F.col("b") * (F.col("y") - F.col("ym")) + F.col("c")
     h = F.greatest(F.coalesce(F.col("dsm") - base, F.lit(0.0)), F.lit(0.0))
-    return zonal(px.join(F.broadcast(fits), "label"), volume_m3=F.sum(h) * F.lit(pixel_area), max_height_m=F.max(h))
+    return zonal(px.join(fits, "label"), volume_m3=F.sum(h) * F.lit(pixel_area), max_height_m=F.max(h))
 
 
 def elongation(px: DataFrame) -> DataFrame:

@@ -107,15 +107,15 @@ def ring(i):
     "j10_as_of",
     """SELECT o_orderkey, scene_id, apart FROM (SELECT o_orderkey, s.o2 AS scene_id, abs(datediff('day', d, d2)) AS apart,
     row_number() OVER (PARTITION BY o_orderkey ORDER BY abs(datediff('day', d, d2)), cloud, s.o2) AS n
-  FROM (SELECT o_orderkey, o_custkey % 50 AS k, o_orderdate::DATE AS d FROM orders WHERE o_orderkey % 3 = 0) a
-  JOIN (SELECT o_orderkey AS o2, o_custkey % 50 AS k, o_orderdate::DATE AS d2, o_orderkey % 17 AS cloud FROM orders WHERE o_orderkey % 3 = 1) s USING (k) WHERE abs(datediff('day', d, d2)) <= 20) WHERE n = 1""",
+  FROM (SELECT o_orderkey, o_custkey % 50 AS k, o_orderdate::DATE AS d FROM orders WHERE o_orderkey % 2 = 0) a
+  JOIN (SELECT o_orderkey AS o2, o_custkey % 50 AS k, o_orderdate::DATE AS d2, o_orderkey % 17 AS cloud FROM orders WHERE o_orderkey % 2 = 1) s USING (k) WHERE abs(datediff('day', d, d2)) <= 20) WHERE n = 1""",
 )
 def as_of(i):
-    """The nearest scene in time within 20 days, the clearer one of equals."""
+    """The nearest scene (odd orders) in time within 20 days of each survey (even orders), the clearer one of equals."""
     o = i.table("orders")
     k, d = (F.col("o_custkey") % 50).alias("k"), F.to_date("o_orderdate")
-    left = o.where("o_orderkey % 3 = 0").select("o_orderkey", k, d.alias("d"))
-    right = o.where("o_orderkey % 3 = 1").select(F.col("o_orderkey").alias("scene_id"), k, d.alias("d2"), (F.col("o_orderkey") % 17).alias("cloud"))
+    left = o.where("o_orderkey % 2 = 0").select("o_orderkey", k, d.alias("d"))
+    right = o.where("o_orderkey % 2 = 1").select(F.col("o_orderkey").alias("scene_id"), k, d.alias("d2"), (F.col("o_orderkey") % 17).alias("cloud"))
     out = neighbours.as_of(left, right, "k", "d", "d2", 20, [F.col("cloud"), F.col("scene_id")])
     return out.select("o_orderkey", "scene_id", F.col("apart").cast("long").alias("apart"))
 

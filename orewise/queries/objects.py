@@ -8,6 +8,7 @@ from ..functions import classes
 from ..operators import focal, zonal
 from ..operators.grid import Grid
 from ..plans import inventory as plans
+from ..sources.tables import numbered
 from . import query
 from .inputs import r4
 
@@ -227,8 +228,8 @@ def renumber(i):
 def cumulative(i):
     """Kept objects numbered by a running sum."""
     o = zonal.zonal(i.lpx, keep=F.avg("h") > 15)
-    running = F.sum(F.col("keep").cast("int")).over(Window.orderBy("label"))
-    return o.select("label", F.when(F.col("keep"), running).otherwise(0).alias("new"))
+    order = numbered(o.where("keep"), "label", "place")
+    return o.join(order, "label", "left").select("label", F.coalesce(F.col("place").cast("long"), F.lit(0)).alias("new"))
 
 
 @query(

@@ -15,10 +15,10 @@ def _rows(i):
     """A contrast per object and day: its warmest cover against the other tenth of objects that day."""
     o = i.obs
     obs = o.select(F.col("date").alias("scene_id"), "label", F.col("event_id").alias("row"), F.lit(0).alias("col"), "lst", "cover")
-    ring = o.select(F.col("date").alias("scene_id"), (F.col("label") % 10).alias("g"), "lst")
-    background = o.select(F.col("date").alias("scene_id"), "label").distinct().withColumn("g", (F.col("label") + 1) % 10).join(ring, ["scene_id", "g"])
+    background = o.select(F.col("date").alias("scene_id"), (F.col("label") % 10).alias("ring"), "lst")
+    rings = o.select(F.col("date").alias("scene_id"), "label").distinct().withColumn("ring", (F.col("label") + 1) % 10)
     night = o.groupBy(F.col("date").alias("scene_id"), "label").agg(F.max("night").alias("night"))
-    rows = thermal.contrasts(obs, background.select("scene_id", "label", "lst"))
+    rows = thermal.contrasts(obs, background, rings=rings)
     rows = rows.join(night, ["scene_id", "label"]).withColumn("native_m", F.lit(100.0)).withColumn("date", F.col("scene_id"))
     return thermal.flagged(rows)
 

@@ -339,3 +339,25 @@ def test_streams(spark, tmp_path):
     assert {r.label: r.share for r in spark.table("p").collect()} == {1: 1.0, 2: 0.0}
     q = scenes.daily(stream).writeStream.outputMode("append").format("memory").queryName("d").trigger(availableNow=True).start()
     q.awaitTermination(120)
+
+
+def test_mean_of_others(spark):
+    """Against each row's own loop: null values, one row, ties and an empty table."""
+    values = [1.0, 2.0, None, 2.0, -5.0]
+    df = spark.createDataFrame(list(enumerate(values)), "k int, v double")
+    got = {r.k: r.others for r in validation.mean_of_others(df, F.col("v")).collect()}
+    for k in range(len(values)):
+        rest = [v for j, v in enumerate(values) if j != k and v is not None]
+        assert abs(got[k] - sum(rest) / len(rest)) < 1e-12
+    assert validation.mean_of_others(df.where("k = 1"), F.col("v")).first().others is None
+    assert validation.mean_of_others(df.limit(0), F.col("v")).count() == 0
+
+
+def test_shared_rings(spark):
+    """Objects that share a ring get what each would get from a copy of it."""
+    obs = spark.createDataFrame([(s, k, k, 0, 20.0 + k * s, 0.1 * k) for s in (1, 2) for k in range(1, 7)], "scene_id int, label int, row int, col int, lst double, cover double")
+    rings = obs.select("scene_id", "label", (F.col("label") % 2).alias("ring")).distinct()
+    shared = spark.createDataFrame([(s, g, float(10 * g + v * v)) for s in (1, 2) for g in (0, 1) for v in range(5)], "scene_id int, ring int, lst double")
+    one = thermal.contrasts(obs, rings.join(shared, ["scene_id", "ring"]).drop("ring"))
+    two = thermal.contrasts(obs, shared, rings=rings)
+    assert sorted(map(tuple, one.collect())) == sorted(map(tuple, two.select(*one.columns).collect())) and one.count() == 12
