@@ -20,7 +20,7 @@ from orewise.llm.bpe import encode
 from orewise.llm.common import small, written
 from orewise.llm.decontaminate import leaks
 from orewise.llm.quality import quality
-from orewise.llm.simhash import near_duplicates
+from orewise.llm.similar import similar
 
 
 def keyed(docs: DataFrame, name: str) -> tuple[DataFrame, str]:
@@ -45,12 +45,12 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates the row of least doc_id stays, a null one being the last.
+    """Of each group of near-duplicates (five words, similarity 0.8) the row of least doc_id stays, a null one being the last.
 
     A row without a text (null) is no copy and stays.
     """
     rows, key = keyed(docs, "dedup-rows")
-    found = near_duplicates(rows.where("text is not null").select(F.col(key).alias("doc_id"), "text"))
+    found = similar(rows.where("text is not null").select(F.col(key).alias("doc_id"), "text"))
     others = written(found.where("doc_id <> component_id").select(F.col("doc_id").alias(key), "component_id"), "others")
     members = others.unionByName(others.select(F.col("component_id").alias(key), "component_id").distinct())
     order = F.struct(F.col("doc_id").isNull(), "doc_id", key)

@@ -23,22 +23,31 @@ BITS = 64
 _LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 
 
-def fingerprint(text: str | None, words: int = 4, seed: int = 42, block: int = 65_536) -> int:
-    """SimHash of the text's word shingles, as an unsigned integer; 0 without any word."""
+def shingle_hashes(text: str | None, words: int = 4, seed: int = 42) -> np.ndarray:
+    """XXH64 of each of the text's word shingles, repeats included; the whole sequence if it is shorter, none without a word."""
     data = b" ".join((text or "").encode().translate(_LOWER).split())
     if not data:
-        return 0
+        return np.zeros(0, "<u8")
     gaps = np.flatnonzero(np.frombuffer(data, np.uint8) == 32)
     starts = np.concatenate(([0], gaps + 1))
     ends = np.concatenate((gaps, [len(data)]))
     n = max(1, len(starts) - words + 1)
-    first, last = starts[:n].tolist(), (ends[words - 1 :] if len(ends) >= words else ends[-1:]).tolist()
+    last = ends[words - 1 :] if len(ends) >= words else ends[-1:]
     view, h = memoryview(data), xxhash.xxh64_intdigest
+    return np.fromiter((h(view[a:b], seed) for a, b in zip(starts[:n].tolist(), last.tolist())), "<u8", n)
+
+
+def simhash(hashes: np.ndarray, block: int = 65_536) -> int:
+    """The bits that are set in over half of the hashes; 0 of none."""
     ones = np.zeros(BITS, np.int64)
-    for k in range(0, n, block):
-        part = np.fromiter((h(view[a:b], seed) for a, b in zip(first[k : k + block], last[k : k + block])), "<u8")
-        ones += np.unpackbits(part.view(np.uint8), bitorder="little").reshape(-1, BITS).sum(0, dtype=np.int64)
-    return int(np.packbits(ones * 2 > n, bitorder="little").view("<u8")[0])
+    for k in range(0, len(hashes), block):
+        ones += np.unpackbits(hashes[k : k + block].view(np.uint8), bitorder="little").reshape(-1, BITS).sum(0, dtype=np.int64)
+    return int(np.packbits(ones * 2 > len(hashes), bitorder="little").view("<u8")[0])
+
+
+def fingerprint(text: str | None, words: int = 4, seed: int = 42, block: int = 65_536) -> int:
+    """SimHash of the text's word shingles, as an unsigned integer; 0 without any word."""
+    return simhash(shingle_hashes(text, words, seed), block)
 
 
 def fingerprints(docs: DataFrame, words: int = 4, seed: int = 42) -> DataFrame:

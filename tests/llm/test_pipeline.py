@@ -7,7 +7,8 @@ import corpus_pipeline as cp
 from orewise.llm import pii
 from orewise.llm.bpe import tokenizer
 from orewise.llm.decontaminate import brute_force
-from orewise.llm.simhash import fingerprint
+
+from test_similar import components
 
 SF = "/root/testdata/sf0.001"
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -34,16 +35,11 @@ def test_dedup_stage(spark, documents):
     rows += [rows[5] | {"doc_id": 9000}, rows[5] | {"doc_id": -4}, rows[6], {k: None for k in COLUMNS}, {k: None for k in COLUMNS} | {"doc_id": 9001}]
     docs = spark.createDataFrame(rows, documents.schema)
     got = [r.doc_id for r in cp.dedup_stage(spark, docs, SF).collect()]
-    fps = [fingerprint(r["text"]) for r in rows]
-    at = list(range(len(rows)))
-    for _ in range(5):
-        for a in range(len(rows)):
-            near = [at[b] for b in range(len(rows)) if (fps[a] ^ fps[b]).bit_count() <= 4]
-            at[a] = min(near)
+    at = components([(k, r["text"]) for k, r in enumerate(rows) if r["text"] is not None])
     groups = {}
-    for r, k in zip(rows, at):
-        groups.setdefault(k, []).append(r["doc_id"])
-    want = [min(x for x in g if x is not None) for g in groups.values() if any(x is not None for x in g)] + [None]
+    for k, r in enumerate(rows):
+        groups.setdefault(at.get(k, -1 - k), []).append(r["doc_id"])
+    want = [min(x for x in g if x is not None) for g in groups.values() if any(x is not None for x in g)] + [None] * sum(all(x is None for x in g) for g in groups.values())
     assert sorted(got, key=str) == sorted(want, key=str)
 
 
@@ -101,8 +97,8 @@ def test_stages_keep_other_columns(spark, documents):
 def test_rows_go_by_their_own_text(spark, documents):
     """Rows that share a doc_id, or have none, stay or go each by its own text."""
     texts = [r.text for r in documents.orderBy("doc_id").collect()]
-    fps = [fingerprint(x) for x in texts]
-    alone = [x for k, x in enumerate(texts) if all((fps[k] ^ y).bit_count() > 12 for n, y in enumerate(fps) if n != k)][:8]
+    at = components(list(enumerate(texts)), 0.3)
+    alone = [x for k, x in enumerate(texts) if list(at.values()).count(at[k]) == 1][:8]
     bad = "line one here\n" * 200
     item = spark.read.parquet(f"{SF}/benchmark.parquet").first().text
     made = lambda rows: spark.createDataFrame([(d, x, "en", "s", len(x)) for d, x in rows], documents.schema)
