@@ -182,5 +182,6 @@ def judged(measures: DataFrame) -> DataFrame:
 
 
 def quality(docs: DataFrame) -> DataFrame:
-    """doc_id, the counts, base_failed and kept (never null) for each row of docs."""
-    return judged(repetition(docs))
+    """doc_id, the base counts, base_failed and kept (never null), then the coverages, for each row of docs."""
+    base = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+    return judged(repetition(docs)).select("doc_id", *base, "base_failed", "kept", *[x for x in MEASURES if x not in base])

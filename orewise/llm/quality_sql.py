@@ -16,6 +16,7 @@ def quality_sql() -> str:
     over = " OR ".join(
         [f"dup_line_chars * 100 > word_chars * {LINE_PERCENT}", *(f"dup{n}_chars * 100 > word_chars * {p}" for n, p in NGRAM_PERCENT.items())]
     )
+    coverages = ", ".join(f"dup{n}_chars" for n in NGRAM_PERCENT)
     word = r"[^\x20\x09-\x0D]+"
     return f"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
@@ -39,4 +40,4 @@ measured AS (
     coalesce(dup_line_chars, 0) AS dup_line_chars, {names}
   FROM d LEFT JOIN counts USING (r) LEFT JOIN repeats USING (r)),
 base AS (SELECT *, n_words < {MIN_WORDS} OR n_repeat_words * 100 > n_words * {BASE_PERCENT} AS base_failed FROM measured)
-SELECT *, NOT (base_failed OR {over}) AS kept FROM base"""
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT (base_failed OR {over}) AS kept, dup_line_chars, {coverages} FROM base"""

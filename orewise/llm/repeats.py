@@ -78,7 +78,7 @@ def cover(data: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, ...]:
 
 
 def _bucket(gram: np.ndarray, buckets: int) -> np.ndarray:
-    return (gram & _U(0xFFFFFF)) % _U(buckets)
+    return (gram & _U(0xFFFFFFFFFF)) % _U(buckets)  # 40 bits: enough for any number of buckets
 
 
 def _dealt(buckets: np.ndarray):
