@@ -29,6 +29,8 @@ from .common import small_batches, written
 LENGTH, GRAM = 50, 26
 #: Bytes of text in a block of documents, and of text for which there is one bucket.
 BLOCK_BYTES, BUCKET_BYTES = 1 << 20, 4 << 20
+#: A gram in more blocks than this has its strings dealt one by one.
+HOT_BLOCKS = 2_000
 NO_ID = np.iinfo(np.int64).max
 _B, _INV = 0x9E3779B97F4A7C15, pow(0x9E3779B97F4A7C15, -1, 2**64)
 _U = np.uint64
@@ -106,46 +108,60 @@ class Block:
             yield bucket, high[at].tobytes()
 
     def entries(self, buckets: int, answers: dict[int, bytes]) -> None:
-        """Picks the runs whose gram repeats; equal surroundings are one entry with the least id."""
-        repeats = np.zeros(len(self.grams), bool)
+        """Picks the runs whose gram repeats; equal surroundings are one entry with the least id.
+
+        A run whose gram is in very many blocks is taken apart: each of its strings is an entry,
+        dealt by its own bytes, so that what stands around a hot gram doesn't meet in one bucket.
+        """
+        repeats, hot = np.zeros(len(self.grams), bool), np.zeros(len(self.grams), bool)
         for bucket, at in _dealt(_bucket(self.grams, buckets)):
-            repeats[at] = np.unpackbits(np.frombuffer(answers[bucket], np.uint8), count=len(at)).astype(bool)
+            bits = np.frombuffer(answers[bucket], np.uint8).reshape(2, -1)
+            repeats[at], hot[at] = (np.unpackbits(x, count=len(at)).astype(bool) for x in bits)
         low, high = np.full(len(self.grams), NO_ID), np.full(len(self.grams), np.iinfo(np.int64).min)
         np.minimum.at(low, self.place, self.doc)
         np.maximum.at(high, self.place, self.doc)
-        self.runs = np.flatnonzero((repeats | (low < high))[self.place])
+        runs = np.flatnonzero((repeats | (low < high))[self.place])
+        apart = hot[self.place[runs]]
+        pieces = np.where(apart, self.count[runs], 1)
+        run = np.repeat(runs, pieces)
+        self.run_start, self.run_count = self.start[run] + _ranges(np.zeros(len(runs), np.int64), pieces), np.where(np.repeat(apart, pieces), 1, self.count[run])
+        self.run_doc = self.doc[run]
         known: dict[bytes, int] = {}
-        self.entry = np.zeros(len(self.runs), np.int64)
-        begin, end = self.start[self.runs], self.start[self.runs] + self.count[self.runs] + LENGTH - 1
-        for k, (a, b) in enumerate(zip(begin.tolist(), end.tolist())):
+        self.entry = np.zeros(len(run), np.int64)
+        for k, (a, b) in enumerate(zip(self.run_start.tolist(), (self.run_start + self.run_count + LENGTH - 1).tolist())):
             self.entry[k] = known.setdefault(self.raw[a:b], len(known))
         self.texts = list(known)
         n = len(known)
         self.least = np.full(n, NO_ID)
-        np.minimum.at(self.least, self.entry, self.ids[self.doc[self.runs]])
-        self.entry_gram, self.entry_count = np.zeros(n, _U), np.zeros(n, np.int64)
-        self.entry_gram[self.entry], self.entry_count[self.entry] = self.gram[self.runs], self.count[self.runs]
-        self.entry_place = np.zeros(n, np.int64)
-        self.entry_place[self.entry] = self.sampled[self.runs] - begin
-
-    def questions(self, buckets: int):
+        np.minimum.at(self.least, self.entry, self.ids[self.run_doc])
+        self.entry_gram, self.entry_count, self.entry_place = np.zeros(n, _U), np.zeros(n, np.int64), np.zeros(n, np.int64)
+        self.entry_gram[self.entry], self.entry_count[self.entry] = self.gram[run], self.run_count
+        self.entry_place[self.entry] = self.sampled[run] - self.run_start
+        own = self.gram[run]
+        if apart.any():
+            alone = np.repeat(apart, pieces)
+            own[alone] = _hashes(self.data, LENGTH)[self.run_start[alone]]
+        self.entry_bucket = np.zeros(n, _U)
+        self.entry_bucket[self.entry] = _bucket(own, buckets)
+
+    def questions(self):
         """bucket, then of its entries: gram's top byte, number of strings, gram's place, least id, surroundings."""
-        for bucket, at in _dealt(_bucket(self.entry_gram, buckets)):
+        for bucket, at in _dealt(self.entry_bucket):
             yield (
                 bucket, (self.entry_gram[at] >> _U(56)).astype(np.uint8).tobytes(), self.entry_count[at].astype(np.uint8).tobytes(),
                 self.entry_place[at].astype(np.uint8).tobytes(), self.least[at].tobytes(), b"".join([self.texts[k] for k in at.tolist()]),
             )
 
-    def covered(self, buckets: int, answers: dict[int, bytes]) -> np.ndarray:
+    def covered(self, answers: dict[int, bytes]) -> np.ndarray:
         """Which bytes go: those of strings that a smaller id has too."""
         before = np.concatenate(([0], np.cumsum(self.entry_count)))
         smaller = np.zeros(before[-1], bool)  # of each entry's strings: an id below the entry's least has it
-        for bucket, at in _dealt(_bucket(self.entry_gram, buckets)):
+        for bucket, at in _dealt(self.entry_bucket):
             bits = np.unpackbits(np.frombuffer(answers[bucket], np.uint8), count=int(self.entry_count[at].sum())).astype(bool)
             smaller[_ranges(before[at], self.entry_count[at])] = bits
-        count = self.count[self.runs]
-        hit = smaller[_ranges(before[self.entry], count)] | np.repeat(self.ids[self.doc[self.runs]] > self.least[self.entry], count)
-        at = _ranges(self.start[self.runs], count)[hit]
+        count = self.run_count
+        hit = smaller[_ranges(before[self.entry], count)] | np.repeat(self.ids[self.run_doc] > self.least[self.entry], count)
+        at = _ranges(self.run_start, count)[hit]
         edge = np.zeros(len(self.data) + 1, np.int32)
         np.add.at(edge, at, 1)
         np.add.at(edge, at + LENGTH, -1)
@@ -161,20 +177,14 @@ def _ranges(first: np.ndarray, count: np.ndarray) -> np.ndarray:
     return np.arange(total) - np.repeat(ends - count - first, count)
 
 
-def _repeating(blobs: list[bytes]) -> list[bytes]:
-    """Of each block's sampled grams, a bit: another block has it."""
+def _repeating(blobs: list[bytes], hot_blocks: int) -> list[bytes]:
+    """Of each block's sampled grams, a bit: another block has it; and then a bit: over hot_blocks blocks have it."""
     sizes = [len(x) // 5 for x in blobs]
     wide = np.zeros((sum(sizes), 8), np.uint8)
     wide[:, :5] = np.frombuffer(b"".join(blobs), np.uint8).reshape(-1, 5)
-    values = wide.view("<u8").ravel()
-    order = np.argsort(values, kind="stable")
-    same = values[order][1:] == values[order][:-1]
-    hit = np.zeros(len(values), bool)
-    hit[1:] = same
-    hit[:-1] |= same
-    flags = np.empty(len(values), bool)
-    flags[order] = hit
-    return [np.packbits(x).tobytes() for x in np.split(flags, np.cumsum(sizes)[:-1])]
+    _, place, blocks = np.unique(wide.view("<u8").ravel(), return_inverse=True, return_counts=True)
+    blocks = blocks[place]
+    return [np.packbits(x > 1).tobytes() + np.packbits(x > hot_blocks).tobytes() for x in np.split(blocks, np.cumsum(sizes)[:-1])]
 
 
 def _order(*keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -260,13 +270,18 @@ def _answers(table: pa.Table, step: int) -> dict[int, bytes]:
     return {b: x for b, x, s in zip(table.column("bucket").to_pylist(), table.column("bits").to_pylist(), table.column("step").to_pylist()) if s == step}
 
 
-def without_repeats(docs: DataFrame, block_bytes: int = BLOCK_BYTES, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
+def without_repeats(docs: DataFrame, block_bytes: int = BLOCK_BYTES, bucket_bytes: int = BUCKET_BYTES, hot_blocks: int = HOT_BLOCKS) -> DataFrame:
     """docs(doc_id, text) -> doc_id, n_bytes, n_removed, n_spans, kept binary: a row for a row.
 
     A byte goes if a string of LENGTH bytes over it also starts in a document of a smaller
     doc_id; n_spans counts the maximal runs of bytes that went, kept is what remains (it may
     end within a character). A null text is empty, a null doc_id larger than any other, and
     documents of equal doc_id never count against each other. Other columns aren't read.
+
+    A bucket holds about bucket_bytes of text by its hash, besides what repeats: a string that
+    is in every block has one entry a block in its bucket, 50 to 74 bytes each, so block_bytes
+    should grow with the corpus (16 MB at 100 TB: six million blocks). What stands around a gram of
+    over hot_blocks blocks is dealt by each string's own bytes.
     """
     spark = docs.sparkSession
     table = written(blocks(docs, block_bytes), "blocks")
@@ -285,7 +300,7 @@ def without_repeats(docs: DataFrame, block_bytes: int = BLOCK_BYTES, bucket_byte
                 yield _rows(sample_schema, [(number, *x) for x in _block(part).sample(buckets)])
 
     def rank(group: pa.Table) -> pa.Table:
-        bits = _repeating(group.column("grams").to_pylist())
+        bits = _repeating(group.column("grams").to_pylist(), hot_blocks)
         n = group.num_rows
         return pa.Table.from_arrays([group.column("block"), group.column("bucket"), pa.array(bits, pa.binary()), pa.array([1] * n, pa.int32())], schema=answer_schema)
 
@@ -293,7 +308,7 @@ def without_repeats(docs: DataFrame, block_bytes: int = BLOCK_BYTES, bucket_byte
         out = _block(block)
         out.entries(buckets, _answers(told, 1))
         number = block.column("block")[0].as_py()
-        return pa.Table.from_batches([_rows(question_schema, [(number, *x) for x in out.questions(buckets)])])
+        return pa.Table.from_batches([_rows(question_schema, [(number, *x) for x in out.questions()])])
 
     def settle(group: pa.Table) -> pa.Table:
         counts = [np.frombuffer(x, np.uint8).astype(np.int64) for x in group.column("counts").to_pylist()]
@@ -315,7 +330,7 @@ def without_repeats(docs: DataFrame, block_bytes: int = BLOCK_BYTES, bucket_byte
     def cut(block: pa.Table, told: pa.Table) -> pa.Table:
         out = _block(block)
         out.entries(buckets, _answers(told, 1))
-        gone = out.covered(buckets, _answers(told, 2))
+        gone = out.covered(_answers(told, 2))
         ends = np.cumsum(out.lengths)
         first = ends - out.lengths
         edge = gone.copy()
