@@ -9,16 +9,16 @@ from pyspark.sql.window import Window
 
 from ..config import DEFAULT, Settings
 from ..sources.tables import written
-from .grid import Grid
+from .grid import Lattice
 
 
-def spatial_folds(px: DataFrame, grid: Grid, s: Settings = DEFAULT) -> DataFrame:
+def spatial_folds(px: DataFrame, grid: Lattice, s: Settings = DEFAULT) -> DataFrame:
     """Adds fold: blocks of ground, permuted by seed, dealt round the folds. The table of blocks follows the grid's extent alone."""
-    across = -int(-(grid.width * grid.res) // s.fold_block_m)
-    down = -int(-(grid.height * grid.res) // s.fold_block_m)
+    across = -int(-(grid.cols * grid.step) // s.fold_block_m)
+    down = -int(-(grid.rows * grid.step) // s.fold_block_m)
     order = np.random.default_rng(s.seed).permutation(across * down)
     table = px.sparkSession.createDataFrame([(k, int(order[k]) % s.folds) for k in range(across * down)], "block int, fold int")
-    x, y = (F.col("col") + 0.5) * grid.res, (F.col("row") + 0.5) * grid.res
+    x, y = (F.col("col") + 0.5) * grid.step, (F.col("row") + 0.5) * grid.step
     block = (F.floor(y / s.fold_block_m) * across + F.floor(x / s.fold_block_m)).cast("int")
     return px.withColumn("block", block).join(F.broadcast(table), "block").drop("block")
 
@@ -35,6 +35,20 @@ def balanced(df: DataFrame, stratum: Column, each: int, keys: list[str], seed: i
     return df.withColumn("_s", stratum).withColumn("_n", n).where(F.col("_n") <= each).drop("_s", "_n")
 
 
+def stratified(rows: DataFrame, by: str, most: int, keys: list[str]) -> DataFrame:
+    """At most so many rows of each class, those of least hash of their keys.
+
+    A class's rows are first thinned by hash to about 4 * most + 200, so no task ranks a whole
+    class; that this leaves fewer than most of them has odds of under 1e-40.
+    """
+    h = F.xxhash64(*keys)
+    counts = rows.groupBy(by).agg(F.count("*").alias("_n"))
+    share = F.least(F.lit(1.0), (4.0 * most + 200) / F.col("_n"))
+    near = rows.join(F.broadcast(counts), by).withColumn("_h", h).where(F.pmod("_h", F.lit(1 << 20)) < F.ceil(share * (1 << 20)))  # a row a class
+    order = Window.partitionBy(by).orderBy(F.pmod("_h", F.lit(1 << 20)), "_h", *keys)
+    return near.withColumn("_k", F.row_number().over(order)).where(F.col("_k") <= most).drop("_k", "_h", "_n")
+
+
 def line(df: DataFrame, x: str, y: str, by: list[str] | None = None, sigmas: float = 2.5, least: int = 10) -> DataFrame:
     """Robust y = a x + b: fitted again without residuals beyond so many sigmas; below least rows a = 0 and b is the mean."""
     by = by or []
@@ -104,17 +118,19 @@ def out_of_fold(df: DataFrame, features: list[str], label: str, folds: int, kind
     return out
 
 
-def fitted(df: DataFrame, features: list[str], label: str, rounds: int = 20, seed: int = 42):
-    """The production model: assembler and trees as one pipeline model, which can be saved."""
+def fitted(df: DataFrame, features: list[str], label: str, rounds: int = 20, seed: int = 42, kind: str = "gbt"):
+    """The production model: assembler and boosted trees ("gbt") or a forest ("rf") as one pipeline model, which can be saved."""
     from pyspark.ml import Pipeline
     from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.regression import GBTRegressor
+    from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
 
-    steps = [VectorAssembler(inputCols=features, outputCol="_v", handleInvalid="skip"), GBTRegressor(featuresCol="_v", labelCol=label, maxIter=rounds, seed=seed, predictionCol="pred")]
+    own = {"featuresCol": "_v", "labelCol": label, "seed": seed, "predictionCol": "pred"}
+    trees = RandomForestRegressor(numTrees=rounds, **own) if kind == "rf" else GBTRegressor(maxIter=rounds, **own)
+    steps = [VectorAssembler(inputCols=features, outputCol="_v", handleInvalid="skip"), trees]
     return Pipeline(stages=steps).fit(df.where(F.col(label).isNotNull()))
 
 
-def downscaled(coarse: DataFrame, fine: DataFrame, features: list[str], k: int, least: int = 50, low: float = -40.0, high: float = 80.0) -> DataFrame:
+def downscaled(coarse: DataFrame, fine: DataFrame, features: list[str], k: int, least: int = 50, low: float = -40.0, high: float = 80.0, kind: str = "gbt", rounds: int = 20) -> DataFrame:
     """coarse(row, col, lst) and fine(row, col, features), k fine pixels a coarse one -> fine row, col, lst.
 
     Trees learn lst from the features' block means; each coarse pixel's mean is kept by adding
@@ -127,7 +143,7 @@ def downscaled(coarse: DataFrame, fine: DataFrame, features: list[str], k: int,
     if means.count() < least:
         c = coarse.select(F.col("row").alias("_row"), F.col("col").alias("_col"), "lst")
         return fine.select("row", "col", *cell).join(c, ["_row", "_col"]).select("row", "col", "lst")
-    model = fitted(means, features, "lst")
+    model = fitted(means, features, "lst", rounds, kind=kind)
     pred = written(model.transform(fine).select("row", "col", *cell, "pred"))
     residual = pred.groupBy("_row", "_col").agg(F.avg("pred").alias("mean")).join(coarse.select(F.col("row").alias("_row"), F.col("col").alias("_col"), "lst"), ["_row", "_col"])
     residual = residual.select("_row", "_col", F.coalesce(F.col("lst") - F.col("mean"), F.lit(0.0)).alias("r"))

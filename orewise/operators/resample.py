@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import tiles
-from .grid import Grid
+from .grid import Lattice
 
 
 def block_mean(px: DataFrame, values: list[str], k: int) -> DataFrame:
@@ -15,22 +15,22 @@ def block_mean(px: DataFrame, values: list[str], k: int) -> DataFrame:
     return px.groupBy(cell("row"), cell("col")).agg(*[F.avg(v).alias(v) for v in values])
 
 
-def interpolated(px: DataFrame, value: str, src: Grid, dst: Grid, order: int = 1) -> DataFrame:
+def interpolated(px: DataFrame, value: str, src: Lattice, dst: Lattice, order: int = 1) -> DataFrame:
     """src pixels at dst's centres: nearest (0), bilinear (1), edges held; missing pixels count as the mean.
 
     A target is null if less than half of its bilinear weight lies on known pixels. Targets
     look up their two or four sources by an equi-join; sources are not gathered.
     """
     mean = px.agg(F.avg(value).alias("mean"))
-    target = px.sparkSession.range(dst.width * dst.height).select((F.col("id") / dst.width).cast("int").alias("row"), (F.col("id") % dst.width).cast("int").alias("col"))
-    x, y = dst.xy(F.col("row"), F.col("col"))
-    target = target.withColumns({"y": (src.y1 - y) / src.res - 0.5, "x": (x - src.x0) / src.res - 0.5})
+    target = px.sparkSession.range(dst.cols * dst.rows).select((F.col("id") / dst.cols).cast("int").alias("row"), (F.col("id") % dst.cols).cast("int").alias("col"))
+    x, y = dst.centre(F.col("row"), F.col("col"))
+    target = target.withColumns({"y": (src.extent.north - y) / src.step - 0.5, "x": (x - src.extent.west) / src.step - 0.5})
     hold = lambda c, n: F.least(F.greatest(c, F.lit(0)), F.lit(n - 1)).cast("int")
     corners = target.withColumn("c", F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (0, 1) for j in (0, 1)])))
     r, c = F.floor("y") + F.col("c.i"), F.floor("x") + F.col("c.j")
     w = (1 - F.abs(r - F.col("y"))) * (1 - F.abs(c - F.col("x")))
     near = F.struct(F.abs(r - F.col("y")) + F.abs(c - F.col("x")), r, c)
-    corners = corners.select("row", "col", hold(r, src.height).alias("sr"), hold(c, src.width).alias("sc"), w.alias("w"), near.alias("near"))
+    corners = corners.select("row", "col", hold(r, src.rows).alias("sr"), hold(c, src.cols).alias("sc"), w.alias("w"), near.alias("near"))
     source = px.where(F.col(value).isNotNull()).select(F.col("row").alias("sr"), F.col("col").alias("sc"), F.col(value).alias("v"))
     joined = corners.join(source, ["sr", "sc"], "left").crossJoin(F.broadcast(mean))
     v = F.coalesce("v", "mean")
@@ -75,11 +75,11 @@ def cubic(px: DataFrame, value: str, factor: int, grid: tuple[int, int], tile: i
     return dealt.groupBy("tr", "tc").applyInArrow(run, f"row int, col int, {value} double")
 
 
-def to_grid(px: DataFrame, value: str, src: Grid, dst: Grid, order: int = 1) -> DataFrame:
+def to_grid(px: DataFrame, value: str, src: Lattice, dst: Lattice, order: int = 1) -> DataFrame:
     """Coarser: block mean (whole ratios) or bilinear; finer: interpolation; the same: as it is."""
     if src == dst:
         return px.select("row", "col", value)
-    k = dst.res / src.res
+    k = dst.step / src.step
     if k > 1 and abs(k - round(k)) < 1e-6:
         return block_mean(px, [value], round(k))
     return interpolated(px, value, src, dst, order)

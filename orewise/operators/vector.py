@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .grid import Grid
+from .grid import Lattice
 
 #: Rings of up to this many vertices are expected in a row; longer ones still work, edge by edge.
 GEOMETRY = "type string, coordinates string, geometries array<string>"
@@ -40,30 +40,30 @@ def edges(polys: DataFrame) -> DataFrame:
     return e.select("feature_id", *[F.col(f"e.{k}")[i].alias(n) for k, i, n in (("p", 0, "xa"), ("p", 1, "ya"), ("q", 0, "xb"), ("q", 1, "yb"))])
 
 
-def rasterized(segments: DataFrame, grid: Grid) -> DataFrame:
+def rasterized(segments: DataFrame, grid: Lattice) -> DataFrame:
     """edges() of features -> row, col, label: the greatest feature_id whose polygon holds the pixel's centre.
 
     Each edge meets the rows that it spans; between the crossings of a row, in pairs, lie the
     pixels inside. Only rows and pixels that polygons touch are made.
     """
     c = F.col
-    line = lambda y: (grid.y1 - y) / grid.res - 0.5
+    line = lambda y: (grid.extent.north - y) / grid.step - 0.5
     top, low = line(F.greatest("ya", "yb")), line(F.least("ya", "yb"))
-    first, last = F.greatest(F.ceil(top), F.lit(0)), F.least(F.ceil(low) - 1, F.lit(grid.height - 1))
+    first, last = F.greatest(F.ceil(top), F.lit(0)), F.least(F.ceil(low) - 1, F.lit(grid.rows - 1))
     crossed = segments.where(c("ya") != c("yb")).withColumns({"first": first, "last": last}).where("first <= last")
-    rows = crossed.withColumn("row", F.explode(F.sequence("first", "last"))).withColumn("y", grid.y1 - (c("row") + 0.5) * grid.res)
+    rows = crossed.withColumn("row", F.explode(F.sequence("first", "last"))).withColumn("y", grid.extent.north - (c("row") + 0.5) * grid.step)
     x = c("xa") + (c("y") - c("ya")) / (c("yb") - c("ya")) * (c("xb") - c("xa"))
     at = rows.select("feature_id", c("row").cast("int").alias("row"), x.alias("x"))
     sorted_x = at.groupBy("feature_id", "row").agg(F.array_sort(F.collect_list("x")).alias("xs"))
     spans = sorted_x.select("feature_id", "row", F.explode(F.sequence(F.lit(1), F.greatest(F.size("xs") - 1, F.lit(1)), F.lit(2))).alias("k"), "xs").where(F.size("xs") > 1)
-    a = F.greatest(F.ceil((F.element_at("xs", c("k").cast("int")) - grid.x0) / grid.res - 0.5), F.lit(0))
-    b = F.least(F.ceil((F.element_at("xs", c("k").cast("int") + 1) - grid.x0) / grid.res - 0.5) - 1, F.lit(grid.width - 1))
+    a = F.greatest(F.ceil((F.element_at("xs", c("k").cast("int")) - grid.extent.west) / grid.step - 0.5), F.lit(0))
+    b = F.least(F.ceil((F.element_at("xs", c("k").cast("int") + 1) - grid.extent.west) / grid.step - 0.5) - 1, F.lit(grid.cols - 1))
     px = spans.select("feature_id", "row", a.alias("a"), b.alias("b")).where("a <= b")
     px = px.select("feature_id", "row", F.explode(F.sequence("a", "b")).alias("col"))
     return px.groupBy("row", F.col("col").cast("int").alias("col")).agg(F.max("feature_id").cast("int").alias("label"))
 
 
-def outlines(labels: DataFrame, grid: Grid) -> DataFrame:
+def outlines(labels: DataFrame, grid: Lattice) -> DataFrame:
     """row, col, label -> label, rings json: the borders of each label's pixels, outer rings and holes.
 
     Border edges come from neighbours that differ; an object's edges are chained in one task.
@@ -102,7 +102,7 @@ def outlines(labels: DataFrame, grid: Grid) -> DataFrame:
                 at, way = to, step
                 if at == start:
                     break
-            rings.append([[grid.x0 + c * grid.res, grid.y1 - r * grid.res] for r, c in ring])
+            rings.append([[grid.extent.west + c * grid.step, grid.extent.north - r * grid.step] for r, c in ring])
         return pa.table({"label": table.column("label")[:1], "rings": [json.dumps(rings)]})
 
     return border.groupBy("label").applyInArrow(chain, "label int, rings string")

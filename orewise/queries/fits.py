@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from ..operators import modelling, validation
-from ..operators.grid import Grid
+from ..operators.grid import sheet
 from . import query
 from .inputs import r4
 
@@ -129,7 +129,7 @@ def centroids(i):
 @query("m02_spatial_folds")
 def folds(i):
     """Ground blocks dealt to folds by a seeded permutation."""
-    return modelling.spatial_folds(i.px.select("row", "col"), Grid(0.0, 960.0, 10.0, 96, 96))
+    return modelling.spatial_folds(i.px.select("row", "col"), sheet(96, 96, 10.0))
 
 
 @query("m03_balanced_sample")
@@ -139,7 +139,7 @@ def sample(i):
 
 
 def _modelled(i):
-    return modelling.spatial_folds(i.lpx.where("h is not null"), Grid(0.0, 960.0, 10.0, 96, 96))
+    return modelling.spatial_folds(i.lpx.where("h is not null"), sheet(96, 96, 10.0))
 
 
 @query("m04_out_of_fold")

@@ -3,13 +3,13 @@
 from pyspark.sql import functions as F
 
 from ..operators import focal, neighbours, vector
-from ..operators.grid import Grid
+from ..operators.grid import sheet
 from . import query
 from .inputs import r4
 
 N = "3.1415926e-8"
 R = ("(round({} + " + N + ", 4) + 0.0)").format
-G = Grid(0.0, 96.0, 1.0, 96, 96)
+G = sheet(96, 96)
 
 
 @query(

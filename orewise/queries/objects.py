@@ -6,7 +6,7 @@ from pyspark.sql.window import Window
 from ..config import DENSITY
 from ..functions import classes
 from ..operators import focal, zonal
-from ..operators.grid import Grid
+from ..operators.grid import sheet
 from ..plans import inventory as plans
 from ..sources.tables import numbered
 from . import query
@@ -14,7 +14,7 @@ from .inputs import r4
 
 N = "3.1415926e-8"
 R = ("(round({} + " + N + ", 4) + 0.0)").format
-G = Grid(0.0, 96.0, 1.0, 96, 96)
+G = sheet(96, 96)
 
 
 @query("a01_zonal", f"SELECT label, {R('sum(h)')} AS total, {R('avg(h)')} AS mean, {R('max(h)')} AS top, count(*) AS n FROM lpx WHERE label > 0 GROUP BY label", "lpx")

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from ..functions import classes, columns, geo
 from ..operators import focal, resample, tiles, zonal
-from ..operators.grid import Grid
+from ..operators.grid import sheet
 from . import query
 from .inputs import SIDE, r4
 
@@ -294,7 +294,7 @@ def block_mean(i):
     return resample.block_mean(i.px, ["dsm", "red"], 8).select("row", "col", r4("dsm").alias("dsm"), r4("red").alias("red"))
 
 
-FINE, COARSE = Grid(0.0, 96.0, 1.0, 96, 96), Grid(0.0, 96.0, 1.5, 64, 64)
+FINE, COARSE = sheet(96, 96), sheet(64, 64, 1.5)
 
 
 @query(

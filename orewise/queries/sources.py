@@ -82,7 +82,7 @@ def synthetic_volumes(i):
 @query("c01_synthetic_inventory")
 def synthetic_inventory(i):
     """The inventory of the synthetic yard."""
-    from ..operators.grid import Grid
+    from ..operators.grid import sheet
 
-    out = plans.inventory(synthetic.site(i.spark), Grid(0.0, 450.0, 1.0, 600, 450))
+    out = plans.inventory(synthetic.site(i.spark), sheet(450, 600))
     return out.select("label", "commodity", r4("volume_m3").alias("volume_m3"), r4("tonnage_t").alias("tonnage_t"))

@@ -146,8 +146,8 @@ def object_folds(i):
 @query("c15_port_detection")
 def port_detection(i):
     """Port objects over a flat level: opening, components, half-widths, roughness, classes, materials."""
-    from ..operators.grid import Grid
+    from ..operators.grid import sheet
 
     px = i.px.select("row", "col", "dsm", F.lit(0.0).alias("ndvi"), ((F.col("red") + F.col("green") + F.col("blue")) / 3).alias("bright"))
-    out = plans.detect_port(px, 15.0, Grid(0.0, 96.0, 1.0, 96, 96), 4.0)
+    out = plans.detect_port(px, 15.0, sheet(96, 96), 4.0)
     return out.select("label", "class", "material", *[r4(c).alias(c) for c in ("area", "half_width", "rough", "bright")])

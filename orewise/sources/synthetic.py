@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.columns import kelvin, radiance
-from ..operators.grid import Grid
+from ..operators.grid import Lattice, sheet
 
 #: x, y, radius along and across, height, angle, flat top (share of the height), material colour.
 PILES = [
@@ -33,10 +33,10 @@ def cone(x: Column, y: Column, cx: float, cy: float, rx: float, ry: float, h: fl
     return F.least(F.greatest(h * (1 - F.sqrt(u * u + v * v)), F.lit(0.0)), F.lit(h * flat))
 
 
-def site(spark: SparkSession, grid: Grid = Grid(0.0, 450.0, 1.0, 600, 450), seed: int = 42) -> DataFrame:  # noqa: B008
+def site(spark: SparkSession, grid: Lattice = sheet(450, 600), seed: int = 42) -> DataFrame:  # noqa: B008
     """row, col, dtm, dsm, label, blue, green, red, nir of the yard; a sloping pad with small noise."""
-    px = spark.range(grid.width * grid.height).select((F.col("id") / grid.width).cast("int").alias("row"), (F.col("id") % grid.width).cast("int").alias("col"))
-    x, y = (F.col("col") + 0.5) * grid.res, (F.col("row") + 0.5) * grid.res
+    px = spark.range(grid.cols * grid.rows).select((F.col("id") / grid.cols).cast("int").alias("row"), (F.col("id") % grid.cols).cast("int").alias("col"))
+    x, y = (F.col("col") + 0.5) * grid.step, (F.col("row") + 0.5) * grid.step
     dtm = 180 + 0.01 * x + 0.004 * y
     heights = [cone(x, y, *p[:7]) for p in PILES]
     pile = F.greatest(*heights)

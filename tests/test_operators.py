@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from orewise.functions import classes, columns, geo
 from orewise.operators import focal, modelling, neighbours, resample, thermal, tiles, validation, vector, zonal
 from orewise.operators.components import labelled
-from orewise.operators.grid import Grid, grid_for_bounds
+from orewise.operators.grid import Extent, Lattice, around, sheet
 from orewise.plans import inventory as plans
 from orewise.sources import jobs, synthetic
 
@@ -34,12 +34,14 @@ def cone(n, res, radius, height):
     return np.maximum(height * (1 - np.hypot(x, y) / radius), 0)
 
 
-def test_grids_nest():
-    for res in (1.0, 1.5, 3.0, 10.0, 30.0):
-        g = grid_for_bounds(1234.5, 5678.9, 2222.2, 6789.1, res)
-        assert g.x0 % 30 == 0 and g.y1 % 30 == 0 and g.width * res % 30 == 0 and g.bounds()[0] <= 1234.5 and g.bounds()[3] >= 6789.1
-    g = Grid(0.0, 90.0, 1.0, 60, 90)
-    assert g.with_res(3.0).width == 20 and g.window(10, 5, 20, 25).offset_in(g) == (10, 5) and g.pixel_area == 1.0
+def test_grids_nest(spark):
+    for step in (1.0, 1.5, 3.0, 10.0, 30.0):
+        g = Lattice(Extent(1234.5, 5678.9, 2222.2, 6789.1).nested(), step)
+        assert all(v % 30 == 0 for v in g.extent) and g.cols * step % 30 == 0 and g.extent.west <= 1234.5 and g.extent.north >= 6789.1
+    g = sheet(90, 60)
+    assert g.stepped(3.0).cols == 20 and g.part((10, 5), (20, 25)).place_in(g) == (10, 5) and g.cell_area == 1.0
+    points = spark.createDataFrame([(1.0, 5.0), (31.0, 64.0)], "x double, y double")
+    assert around(points, 10.0) == Lattice(Extent(0.0, 0.0, 60.0, 90.0), 10.0) and around(points, 10.0, 30.0).extent == Extent(-30.0, -30.0, 90.0, 120.0)
 
 
 def test_cone_volume_and_coverage(spark):
@@ -51,7 +53,7 @@ def test_cone_volume_and_coverage(spark):
 
 def test_toe_plane_on_a_slope(spark):
     a = cone(200, 1.0, 40, 12)
-    g = Grid(0.0, 200.0, 1.0, 200, 200)
+    g = sheet(200, 200)
     y, x = np.mgrid[0:200, 0:200] + 0.5
     px = frame(spark, a + 0.05 * x, "dsm").withColumn("label", F.lit(0)).drop("label")
     lab = frame(spark, np.where(a > 0, 1.0, np.nan), "one").select("row", "col", F.lit(1).alias("label"))
@@ -130,7 +132,7 @@ def test_components_in_raster_order(spark, eight):
 def test_block_mean_round_trip(spark):
     y, x = np.mgrid[0:60, 0:60]
     a = 5 + 0.01 * x + 0.02 * y
-    fine, coarse = Grid(0.0, 60.0, 1.0, 60, 60), Grid(0.0, 60.0, 10.0, 6, 6)
+    fine, coarse = sheet(60, 60), sheet(6, 6, 10.0)
     c = resample.to_grid(frame(spark, a), "v", fine, coarse)
     back = array(resample.to_grid(c, "v", coarse, fine), "v", a.shape)
     assert np.abs(back - a)[5:-5, 5:-5].max() < 0.02
@@ -142,7 +144,7 @@ def test_block_mean_round_trip(spark):
 def test_interpolation_masks_what_it_does_not_know(spark):
     a = np.ones((8, 8))
     a[:, 4:] = np.nan
-    out = array(resample.interpolated(frame(spark, a), "v", Grid(0.0, 8.0, 1.0, 8, 8), Grid(0.0, 8.0, 0.5, 16, 16)), "v", (16, 16))
+    out = array(resample.interpolated(frame(spark, a), "v", sheet(8, 8), sheet(16, 16, 0.5)), "v", (16, 16))
     assert not np.isnan(out[:, :7]).any() and np.isnan(out[:, 9:]).all()
 
 
@@ -155,7 +157,7 @@ def test_polygons(spark):
     ]
     polys = vector.polygons(spark.createDataFrame(rows, "feature_id int, geom_json string"))
     assert polys.count() == 3
-    got = array(vector.rasterized(vector.edges(polys), Grid(0.0, 20.0, 1.0, 20, 20)), "label", (20, 20))
+    got = array(vector.rasterized(vector.edges(polys), sheet(20, 20)), "label", (20, 20))
     assert np.nansum(got == 1) == 100 - 4 - 4 + 3 and np.nansum(got == 2) == 16
     with pytest.raises(Exception, match="unsupported"):
         vector.polygons(spark.createDataFrame([(1, '{"type":"Point","coordinates":[1,2]}')], "feature_id int, geom_json string")).collect()
@@ -164,7 +166,7 @@ def test_polygons(spark):
 def test_outlines_have_the_pixels_area(spark):
     a = np.full((12, 12), np.nan)
     a[2:8, 3:9], a[4, 5], a[8, 9] = 1, np.nan, 1
-    r = vector.outlines(frame(spark, a).select("row", "col", F.col("v").cast("int").alias("label")), Grid(0.0, 12.0, 1.0, 12, 12)).first()
+    r = vector.outlines(frame(spark, a).select("row", "col", F.col("v").cast("int").alias("label")), sheet(12, 12)).first()
     assert abs(sum(vector.area_of(x) for x in json.loads(r.rings))) == np.nansum(a == 1)
 
 
@@ -272,7 +274,7 @@ def test_lines(spark):
 
 
 def test_folds_are_blocks(spark):
-    g = Grid(0.0, 600.0, 1.0, 600, 600)
+    g = sheet(600, 600)
     px = spark.createDataFrame([(r, c) for r in range(0, 600, 25) for c in range(0, 600, 25)], "row int, col int")
     rows = modelling.spatial_folds(px, g).collect()
     by = {}
@@ -282,7 +284,7 @@ def test_folds_are_blocks(spark):
 
 
 def test_synthetic_yard(spark):
-    g = Grid(0.0, 450.0, 1.0, 600, 450)
+    g = sheet(450, 600)
     px = synthetic.site(spark, g).withColumns({"h": F.col("dsm") - F.col("dtm"), "ndvi": F.lit(0.0)}).cache()
     found = plans.detect_piles(px.select("row", "col", "h", "dsm", "ndvi"), g).groupBy("class").count().collect()
     assert {r["class"]: r["count"] for r in found} == {"stockpile": 8, "structure": 3}

@@ -4,11 +4,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from orewise.operators import modelling, resample, superres
-from orewise.operators.grid import Grid
+from orewise.operators.grid import sheet
 from orewise.plans import port, stages
 from orewise.sources import catalog, synthetic
 
-G = Grid(0.0, 450.0, 1.0, 600, 450)
+G = sheet(450, 600)
 
 
 @pytest.fixture(scope="module")
