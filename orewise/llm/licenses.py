@@ -124,27 +124,33 @@ TITLE = r"^(?:the )?(?:mit|isc|expat|bsd|bsd 2 clause|bsd 3 clause|new bsd|simpl
 KEPT = r"a-z0-9\x{80}-\x{10FFFF}"
 
 
+def _replaced(text: Column, words: dict[str, str]) -> Column:
+    """Words or phrases in their canonical spelling."""
+    out = text
+    for a, b in words.items():
+        out = F.replace(out, F.lit(f" {a.replace(' ', '  ')} "), F.lit(f" {b.replace(' ', '  ')} "))
+    return out
+
+
 def _lines(text: Column) -> Column:
     """The words of each line in their canonical spelling, with a space on either side of each, so that neighbours share none."""
-    out = F.when(text.rlike(r"(?i)copyright|\(c\)|©"), F.regexp_replace(text, NOTICE, "")).otherwise(text)
-    out = F.translate(out, _UPPER, _LOWER)
+    ascii_only = F.length(text) == F.octet_length(text)
+    small = F.lower(text)
+    out = F.when(small.contains("copyright") | small.contains("(c)") | text.contains("©"), F.regexp_replace(text, NOTICE, "")).otherwise(text)
+    out = F.when(ascii_only, F.lower(out)).otherwise(F.translate(out, _UPPER, _LOWER))  # the same letters, faster
     out = F.concat(F.lit(" "), F.regexp_replace(out, rf"[^{KEPT}\n]+", "  "), F.lit(" "))
     out = F.replace(out, F.lit("\n"), F.lit(" \n "))
-    for a, b in SPELLINGS.items():
-        out = F.replace(out, F.lit(f" {a} "), F.lit(f" {b.replace(' ', '  ')} "))
-    return out
+    return _replaced(_replaced(out, SPELLINGS), PHRASES)
 
 
-def _joined(words: Column) -> Column:
-    """The canonical form from the words of a text or line."""
-    out = words
-    for a, b in PHRASES.items():
-        out = F.replace(out, F.lit(f" {a.replace(' ', '  ')} "), F.lit(f" {b.replace(' ', '  ')} "))
-    return F.regexp_replace(F.trim(F.regexp_replace(out, " +", " ")), TITLE, "")
+def _plain(words: Column) -> Column:
+    return F.replace(F.trim(words), F.lit("  "), F.lit(" "))
 
 
 def _whole(lines: Column) -> Column:
-    return _joined(F.regexp_replace(lines, r" *\n *", "  "))
+    """The canonical form of the whole text; phrases may go on in the next line."""
+    out = _plain(_replaced(F.regexp_replace(lines, r" *\n[ \n]*", "  "), PHRASES))
+    return F.regexp_replace(out, TITLE, "")
 
 
 def canonical(text: Column) -> Column:
@@ -184,7 +190,7 @@ def scan(docs: DataFrame, known: list[tuple[str, str]] | DataFrame = KNOWN, dige
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     read = rows.select("doc_id", F.sha2("text", 256).alias("text"), _lines(F.col("text")).alias("lines"))
     alike = (lambda x: (x != "") & F.length(x).isin(lengths)) if len(lengths) <= LENGTHS else (lambda x: x != "")
-    each = F.filter(F.transform(F.split("lines", "\n"), _joined), alike)
+    each = F.filter(F.transform(F.split("lines", "\n"), lambda x: F.regexp_replace(_plain(x), TITLE, "")), alike)
     one = lambda whole, x: F.struct(F.lit(whole).alias("whole"), F.sha2(x, 256).alias("digest"))
     units = read.select("doc_id", "text", F.inline(F.concat(F.array(one(True, _whole(F.col("lines")))), F.coalesce(F.transform(each, lambda x: one(False, x)), F.array()))))
     found = units.join(small(catalogued.select("digest", "license")), "digest", "left").where("whole or license is not null")
