@@ -17,9 +17,9 @@ from pyspark.sql import functions as F
 
 from orewise.llm import pii
 from orewise.llm.bpe import encode
-from orewise.llm.common import small, written
+from orewise.llm.common import Scratch, small, written
 from orewise.llm.decontaminate import leaks
-from orewise.llm.quality import quality
+from orewise.llm.quality import passed
 from orewise.llm.similar import similar
 
 
@@ -39,9 +39,7 @@ def without(rows: DataFrame, key: str, gone: DataFrame, name: str) -> DataFrame:
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejected documents go."""
-    rows, key = keyed(docs, "quality-rows")
-    judged = quality(rows.select(F.col(key).alias("doc_id"), "text"))
-    return without(rows, key, judged.where("not kept").select(F.col("doc_id").alias(key)), "rejected").select(docs.columns)
+    return passed(docs)
 
 
 def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -50,8 +48,10 @@ def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     A row without a text (null) is no copy and stays.
     """
     rows, key = keyed(docs, "dedup-rows")
-    found = similar(rows.where("text is not null").select(F.col(key).alias("doc_id"), "text"))
+    scratch = Scratch()
+    found = similar(rows.where("text is not null").select(F.col(key).alias("doc_id"), "text"), scratch=scratch)
     others = written(found.where("doc_id <> component_id").select(F.col("doc_id").alias(key), "component_id"), "others")
+    scratch.clear()
     members = others.unionByName(others.select(F.col("component_id").alias(key), "component_id").distinct())
     order = F.struct(F.col("doc_id").isNull(), "doc_id", key)
     least = members.join(rows.select(key, "doc_id"), key).groupBy("component_id").agg(F.min_by(key, order).alias(key)).select(key)

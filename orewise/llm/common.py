@@ -53,6 +53,21 @@ def dropped(df: DataFrame) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+class Scratch:
+    """Tables that are needed only until a later one is written; then clear() removes their files."""
+
+    def __init__(self) -> None:
+        self.tables: list[DataFrame] = []
+
+    def written(self, df: DataFrame, name: str) -> DataFrame:
+        self.tables.append(written(df, name))
+        return self.tables[-1]
+
+    def clear(self) -> None:
+        while self.tables:
+            dropped(self.tables.pop())
+
+
 def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """df with a broadcast hint if it has few rows, else as it is (Spark then shuffles)."""
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df

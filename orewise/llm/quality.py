@@ -185,3 +185,26 @@ def quality(docs: DataFrame) -> DataFrame:
     """doc_id, the base counts, base_failed and kept (never null), then the coverages, for each row of docs."""
     base = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
     return judged(repetition(docs)).select("doc_id", *base, "base_failed", "kept", *[x for x in MEASURES if x not in base])
+
+
+def passed(docs: DataFrame) -> DataFrame:
+    """The rows of docs whose text is kept, as they are: each goes by its own verdict, and nothing is joined or copied.
+
+    docs must have a column text; a null one has no words and goes.
+    """
+    at = docs.columns.index("text")
+
+    def run(batches):
+        for batch in batches:
+            kept, texts = [], [x or "" for x in batch.column(at).to_pylist()]
+            for lo, hi in _blocks(texts):
+                found = measure(texts[lo:hi])
+                words, chars = found["n_words"], found["word_chars"]
+                bad = (words < MIN_WORDS) | (100 * found["n_repeat_words"] > BASE_PERCENT * words) | (100 * found["dup_line_chars"] > LINE_PERCENT * chars)
+                for n, p in NGRAM_PERCENT.items():
+                    bad |= 100 * found[f"dup{n}_chars"] > p * chars
+                kept.append(~bad)
+            yield batch.filter(pa.array(np.concatenate(kept) if kept else np.zeros(0, bool)))
+
+    small_batches(docs.sparkSession)
+    return docs.mapInArrow(run, docs.schema)

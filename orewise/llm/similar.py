@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import small, small_batches, written
+from .common import Scratch, small, small_batches
 from .components import connected_components
 from .simhash import links, shingle_hashes, simhash
 
@@ -70,27 +70,27 @@ def shingle_sets(docs: DataFrame, words: int, seed: int) -> DataFrame:
     return docs.mapInArrow(run, "doc_id long, shingles array<long>")
 
 
-def candidates(units: DataFrame, distance: int, segments: int) -> DataFrame:
+def candidates(units: DataFrame, distance: int, segments: int, scratch: Scratch) -> DataFrame:
     """units(unit, fp, bands) -> a, b: distinct pairs of units, a < b, that may be similar."""
-    classes = written(units.groupBy("fp").agg(F.min("unit").alias("rep")), "classes")
+    classes = scratch.written(units.groupBy("fp").agg(F.min("unit").alias("rep")), "classes")
     near = links(classes.select("fp"), distance, segments)
     ends = [classes.select(F.col("fp").alias(x), F.col("rep").alias(f"rep_{x}")) for x in "ab"]
     pairs = near.join(ends[0], "a").join(ends[1], "b").select(F.col("rep_a").alias("x"), F.col("rep_b").alias("y"))
     pairs = pairs.unionByName(units.join(classes, "fp").select(F.col("rep").alias("x"), F.col("unit").alias("y")))
     each = units.select("unit", F.posexplode("bands").alias("k", "band"))
     first = each.groupBy("k", "band").agg(F.min_by("unit", F.xxhash64("unit", "band")).alias("x"), F.count("*").alias("n")).where("n > 1").drop("n")
-    pairs = pairs.unionByName(each.join(small(written(first, "bands")), ["k", "band"]).select("x", F.col("unit").alias("y")))
+    pairs = pairs.unionByName(each.join(small(scratch.written(first, "bands")), ["k", "band"]).select("x", F.col("unit").alias("y")))
     return pairs.where("x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
 
-def similar_pairs(pairs: DataFrame, docs: DataFrame, similarity: float, words: int, seed: int) -> DataFrame:
+def similar_pairs(pairs: DataFrame, docs: DataFrame, similarity: float, words: int, seed: int, scratch: Scratch) -> DataFrame:
     """The pairs (a, b) of doc_ids whose sets of shingles have that Jaccard similarity at least.
 
     Sets are made again from the texts of the documents in question. A unit with more than PARTNERS
     partners has a copy of its set for each so many, so its pairs spread over tasks.
     """
     ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    sets = written(shingle_sets(docs.join(small(written(ids, "ids")), "doc_id", "left_semi"), words, seed), "sets")
+    sets = scratch.written(shingle_sets(docs.join(small(scratch.written(ids, "ids")), "doc_id", "left_semi"), words, seed), "sets")
     copies = pairs.groupBy("a").agg(F.ceil(F.count("*") / PARTNERS).cast("int").alias("copies"))
     left = copies.join(sets, copies.a == sets.doc_id).select("a", "copies", F.col("shingles").alias("of_a"), F.explode(F.sequence(F.lit(0), F.col("copies") - 1)).alias("copy"))
     dealt = pairs.join(copies, "a").select("a", "b", F.pmod(F.xxhash64("b"), F.col("copies")).cast("int").alias("copy"))
@@ -100,21 +100,23 @@ def similar_pairs(pairs: DataFrame, docs: DataFrame, similarity: float, words: i
     return both.where(F.col("common") >= similarity * (F.col("sizes") - F.col("common")) - 1e-9).select("a", "b")
 
 
-def similar(docs: DataFrame, words: int = 5, similarity: float = 0.8, distance: int = 4, segments: int = 3, seed: int = 42) -> DataFrame:
+def similar(docs: DataFrame, words: int = 5, similarity: float = 0.8, distance: int = 4, segments: int = 3, seed: int = 42, scratch: Scratch | None = None) -> DataFrame:
     """docs(doc_id, text) -> doc_id, component_id: the least doc_id reachable over pairs of that similarity.
 
     doc_ids are unique and not null (a caller numbers its rows). Shingles are of lower-cased
     words (ASCII letters), fewer words being one shingle; texts without a word, null ones too,
     have equal, empty sets and are one component. Other columns aren't read. An empty
     table gives none. What the bands may miss is stated at BANDS; nothing that isn't
-    similar is ever linked directly.
+    similar is ever linked directly. scratch gets the tables that the result reads, for a
+    caller to clear once it has written that.
     """
+    scratch = scratch or Scratch()
     small_batches(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    found = written(signatures(docs, words, seed), "signatures")
-    units = written(found.groupBy("digest").agg(F.min("doc_id").alias("unit"), F.min("fp").alias("fp"), F.first("bands").alias("bands")), "units")
-    pairs = written(candidates(units, distance, segments), "pairs")
-    linked = written(similar_pairs(pairs, docs, similarity, words, seed), "similar")
+    found = scratch.written(signatures(docs, words, seed), "signatures")
+    units = scratch.written(found.groupBy("digest").agg(F.min("doc_id").alias("unit"), F.min("fp").alias("fp"), F.first("bands").alias("bands")), "units")
+    pairs = scratch.written(candidates(units, distance, segments, scratch), "pairs")
+    linked = scratch.written(similar_pairs(pairs, docs, similarity, words, seed, scratch), "similar")
     nodes = connected_components(linked.select(F.col("a").alias("u"), F.col("b").alias("v")))
     named = units.join(nodes, units.unit == nodes.node, "left").select("digest", F.coalesce("component", "unit").alias("component_id"))
     return found.select("doc_id", "digest").join(named, "digest").select("doc_id", "component_id")

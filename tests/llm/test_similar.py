@@ -70,6 +70,7 @@ def test_table_recall(spark):
 
 def test_a_large_group_makes_few_pairs(spark):
     """A thousand near copies of one text: pairs follow the units, and one component comes of them."""
+    from orewise.llm.common import Scratch
     from orewise.llm.similar import candidates, signatures
 
     rng = random.Random(2)
@@ -78,7 +79,7 @@ def test_a_large_group_makes_few_pairs(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     units = signatures(docs, 5, 42).select(F.col("doc_id").alias("unit"), "fp", "bands")
     assert set(run(spark, rows).values()) == {0}
-    assert candidates(units.select("unit", F.lit(0).alias("fp").cast("long"), "bands"), 4, 3).count() <= 20 * len(rows)
+    assert candidates(units.select("unit", F.lit(0).alias("fp").cast("long"), "bands"), 4, 3, Scratch()).count() <= 20 * len(rows)
 
 
 def test_empty(spark):
