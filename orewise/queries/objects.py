@@ -121,7 +121,7 @@ def toe_volume(i):
     own = i.lpx.where("label > 0")
     around = focal.spread(own.select("row", "col", "label"), focal.offsets("cross", 2)).select("row", "col", "label").distinct()
     ring = around.join(own.select("row", "col", "label"), ["row", "col", "label"], "left_anti").join(i.px.select("row", "col", "dsm"), ["row", "col"])
-    x, y = G.xy(F.col("row"), F.col("col"))
+    x, y = G.centre(F.col("row"), F.col("col"))
     fits = zonal.toe_planes(ring.select("label", x.alias("x"), y.alias("y"), F.col("dsm").alias("z")))
     out = zonal.toe_volumes(own.withColumns({"x": x, "y": y}), fits, 1.0)
     return out.select("label", r4("volume_m3").alias("volume_m3"), r4("max_height_m").alias("max_height_m"))

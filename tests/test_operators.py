@@ -58,7 +58,7 @@ def test_toe_plane_on_a_slope(spark):
     px = frame(spark, a + 0.05 * x, "dsm").withColumn("label", F.lit(0)).drop("label")
     lab = frame(spark, np.where(a > 0, 1.0, np.nan), "one").select("row", "col", F.lit(1).alias("label"))
     ring = focal.spread(lab, focal.offsets("cross", 2)).select("row", "col", "label").distinct().join(lab, ["row", "col", "label"], "left_anti").join(px, ["row", "col"])
-    gx, gy = g.xy(F.col("row"), F.col("col"))
+    gx, gy = g.centre(F.col("row"), F.col("col"))
     fits = zonal.toe_planes(ring.select("label", gx.alias("x"), gy.alias("y"), F.col("dsm").alias("z")))
     out = zonal.toe_volumes(lab.join(px, ["row", "col"]).withColumns({"x": gx, "y": gy}), fits, 1.0).first()
     assert abs(out.volume_m3 / (math.pi * 40**2 * 12 / 3) - 1) < 0.05
