@@ -92,9 +92,9 @@ def stencil(px: DataFrame, value: str, weights: dict[tuple[int, int], float], ou
 LAPLACIAN = {(0, 0): -4, (0, 1): 1, (0, -1): 1, (1, 0): 1, (-1, 0): 1}
 
 
-def gaussian(px: DataFrame, value: str, sigma: float, grid: tuple[int, int], out: str = "smooth") -> DataFrame:
-    """Gaussian blur; missing pixels count as zero."""
-    return tiles.by_tile(px, lambda a: tiles.gauss(tiles.filled(a), sigma), [value], {out: "double"}, grid, tiles.gauss_radius(sigma))
+def gaussian(px: DataFrame, value: str, sigma: float, grid: tuple[int, int], out: str = "smooth", by: tuple[str, ...] = ()) -> DataFrame:
+    """Gaussian blur, of each layer (by) apart; missing pixels count as zero."""
+    return tiles.by_tile(px, lambda a: tiles.gauss(tiles.filled(a), sigma), [value], {out: "double"}, grid, tiles.gauss_radius(sigma), by=by)
 
 
 def box(px: DataFrame, value: str, size: int, grid: tuple[int, int]) -> DataFrame:
@@ -136,11 +136,11 @@ def median5(px: DataFrame, value: str, grid: tuple[int, int]) -> DataFrame:
     return tiles.by_tile(px, lambda a: tiles.median_filter(tiles.filled(a), 5), [value], {"median": "double"}, grid, 3)
 
 
-def coverage(mask: DataFrame, native_m: float, res: float, grid: tuple[int, int], block: int) -> DataFrame:
-    """Share of each coarse pixel's measured footprint that the mask covers: blurred, then averaged."""
+def coverage(mask: DataFrame, native_m: float, res: float, grid: tuple[int, int], block: int, by: tuple[str, ...] = ()) -> DataFrame:
+    """Share of each coarse pixel's measured footprint that the mask covers: blurred, then averaged; for each value of by apart."""
     sigma = native_m / res / 2.355
-    smooth = gaussian(mask.withColumn("set", F.lit(1.0)), "set", sigma, grid)
-    return smooth.groupBy(F.floor(F.col("row") / block).cast("int").alias("row"), F.floor(F.col("col") / block).cast("int").alias("col")).agg(F.avg("smooth").alias("cover"))
+    smooth = gaussian(mask.withColumn("set", F.lit(1.0)), "set", sigma, grid, by=by)
+    return smooth.groupBy(*by, F.floor(F.col("row") / block).cast("int").alias("row"), F.floor(F.col("col") / block).cast("int").alias("col")).agg(F.avg("smooth").alias("cover"))
 
 
 def features(px: DataFrame, grid: tuple[int, int], res: float) -> DataFrame:

@@ -17,23 +17,25 @@ from pyspark.sql import functions as F
 TILE = 256
 
 
-def by_tile(px: DataFrame, kernel: Callable, inputs: list[str], outputs: dict[str, str], grid: tuple[int, int], halo: int, tile: int = TILE, edge: float | None = None) -> DataFrame:
-    """px(row, col, inputs...) -> row, col, outputs of kernel(arrays) on grid (height, width).
+def by_tile(px: DataFrame, kernel: Callable, inputs: list[str], outputs: dict[str, str], grid: tuple[int, int], halo: int, tile: int = TILE, edge: float | None = None, by: tuple[str, ...] = ()) -> DataFrame:
+    """px(by..., row, col, inputs...) -> by..., row, col, outputs of kernel(arrays) on grid (height, width).
 
     kernel gets float64 arrays of a tile with its halo (NaN: missing) and returns as many of
     that shape; rows come back for every pixel of the grid's tiles that px touches, null
-    for NaN. edge None mirrors at the grid's border, a number stands for all outside it.
+    for NaN. edge None mirrors at the grid's border, a number stands for all outside it. Each
+    value of the columns by is a layer of its own, on the tiles that its pixels touch.
     """
     height, width = grid
     low = lambda x: F.floor((x - halo) / tile)
     high = lambda x: F.floor((x + halo) / tile)
     dealt = (
         px.where(F.col("row").between(0, height - 1) & F.col("col").between(0, width - 1))
-        .select("row", "col", *[F.col(c).cast("double") for c in inputs], F.explode(F.sequence(low(F.col("row")), high(F.col("row")))).alias("tr"))
+        .select(*by, "row", "col", *[F.col(c).cast("double") for c in inputs], F.explode(F.sequence(low(F.col("row")), high(F.col("row")))).alias("tr"))
         .select("*", F.explode(F.sequence(low(F.col("col")), high(F.col("col")))).alias("tc"))
         .where((F.col("tr") >= 0) & (F.col("tc") >= 0) & (F.col("tr") * tile < height) & (F.col("tc") * tile < width))
     )
-    schema = ", ".join(["row int", "col int", *(f"{k} {v}" for k, v in outputs.items())])
+    kinds = {k: px.schema[k].dataType.simpleString() for k in by}
+    schema = ", ".join([*(f"{k} {v}" for k, v in kinds.items()), "row int", "col int", *(f"{k} {v}" for k, v in outputs.items())])
 
     def run(table: pa.Table) -> pa.Table:
         tr, tc = table.column("tr")[0].as_py(), table.column("tc")[0].as_py()
@@ -51,14 +53,15 @@ def by_tile(px: DataFrame, kernel: Callable, inputs: list[str], outputs: dict[st
         found = found if isinstance(found, tuple) else (found,)
         h, w = min(tile, height - tr * tile), min(tile, width - tc * tile)
         rr, cc = np.mgrid[tr * tile : tr * tile + h, tc * tile : tc * tile + w]
-        columns = [pa.array(rr.ravel(), pa.int32()), pa.array(cc.ravel(), pa.int32())]
+        columns = [pa.repeat(table.column(k)[0], h * w) for k in by]
+        columns += [pa.array(rr.ravel(), pa.int32()), pa.array(cc.ravel(), pa.int32())]
         for a, kind in zip(found, outputs.values()):
             core = np.asarray(a, float)[halo : halo + h, halo : halo + w].ravel()
             column = pa.array(core, pa.float64(), mask=np.isnan(core))
             columns.append(column if kind == "double" else column.cast(pa.int32() if kind == "int" else pa.int64()))
-        return pa.table(columns, names=["row", "col", *outputs])
+        return pa.table(columns, names=[*by, "row", "col", *outputs])
 
-    return dealt.groupBy("tr", "tc").applyInArrow(run, schema)
+    return dealt.groupBy(*by, "tr", "tc").applyInArrow(run, schema)
 
 
 def filled(a: np.ndarray, value: float = 0.0) -> np.ndarray:

@@ -19,12 +19,7 @@ def thermal_stage(scenes: DataFrame, labels: DataFrame, block: int, res: float,
     own = labels.where("label > 0").select("row", "col", "label")
     native = scenes.agg(F.max("native_m")).first()[0] or block * res
     cell = [F.floor(F.col(c) / block).cast("int").alias(c) for c in ("row", "col")]
-    cover = None
-    reach = int(4 * native / res / 2.355 + 0.5)
-    for (k,) in own.select("label").distinct().orderBy("label").collect():  # a site's objects
-        part = focal.coverage(own.where(F.col("label") == k).select("row", "col"), native, res, grid, block).where("cover > 0").withColumn("label", F.lit(k))
-        cover = part if cover is None else cover.unionByName(part)
-    cover = written(cover)
+    cover = written(focal.coverage(own, native, res, grid, block, by=("label",)).where("cover > 0"))
     covered = cover.groupBy("row", "col").agg(F.max("cover").alias("most")).where("most >= 0.05").select("row", "col")
     coarse = own.select(*cell, "label").distinct()
     inner, outer = max(int(s.ring_inner_m / res / block), 0), max(int(s.ring_outer_m / res / block), 2)
@@ -40,7 +35,6 @@ def thermal_stage(scenes: DataFrame, labels: DataFrame, block: int, res: float,
     pooled = thermal.pooled(hits, neighbours.neighbours(own, max(round(s.pool_m / res), 1)))
     counted = pooled.select("label", "swir_dates", F.size("swir_dates").alias("swir"))
     out = summary.join(counted, "label", "left").withColumn("swir", F.coalesce("swir", F.lit(0)))
-    assert reach >= 0
     return thermal.alerts(out, s)
 
 

@@ -363,3 +363,17 @@ def test_shared_rings(spark):
     one = thermal.contrasts(obs, rings.join(shared, ["scene_id", "ring"]).drop("ring"))
     two = thermal.contrasts(obs, shared, rings=rings)
     assert sorted(map(tuple, one.collect())) == sorted(map(tuple, two.select(*one.columns).collect())) and one.count() == 12
+
+
+def test_coverage_of_each_label_by_itself(spark):
+    """Layers in one pass: overlapping footprints don't take from each other, and each equals its own mask's coverage."""
+    px = spark.range(60 * 300).select((F.col("id") / 300).cast("int").alias("row"), (F.col("id") % 300).cast("int").alias("col"))
+    label = F.when(F.col("row").between(10, 30) & F.col("col").between(240, 260), 1).when(F.col("row").between(31, 50) & F.col("col").between(240, 280), 2)
+    own = px.withColumn("label", label).where("label is not null")
+    cells = lambda d: {(r.row, r.col): round(r.cover, 9) for r in d.collect()}
+    both = focal.coverage(own, 20.0, 1.0, (60, 300), 10, by=("label",)).cache()
+    for k in (1, 2):
+        alone = cells(focal.coverage(own.where(F.col("label") == k).select("row", "col"), 20.0, 1.0, (60, 300), 10))
+        assert cells(both.where(F.col("label") == k)) == alone
+        assert sum(alone.values()) * 100 == pytest.approx({1: 21 * 21, 2: 20 * 41}[k], rel=1e-6)  # blurring keeps the area
+    assert focal.coverage(own.where("label > 9"), 20.0, 1.0, (60, 300), 10, by=("label",)).count() == 0
