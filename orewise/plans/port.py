@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import ratio
 from ..operators import focal, modelling, neighbours, validation
-from ..sources.tables import written
+from ..sources.tables import numbered, written
 
 BANDS = ["blue", "green", "red", "nir"]
 FEATURES = [*BANDS, "bright", "ndvi", "ndwi", "redness", "texture"]
@@ -55,18 +55,21 @@ class PortModel:
         return out.select("zone", F.col("pred").alias("area"), F.col("corrected").alias("volume"))
 
 
-def fit(px: DataFrame, labels: DataFrame, piles: DataFrame, radius: int, pixel_area: float, rounds: int = 10) -> PortModel:
+def fit(px: DataFrame, labels: DataFrame, piles: DataFrame, radius: int, pixel_area: float, rounds: int = 10, groups: int = 24) -> PortModel:
     """px(row, col, bands, occupied), labels(row, col, label), piles(label, volume) -> the model.
 
     Each pile's area comes from a classifier that has not seen its zone; these areas and the
-    surveyed volumes give the leave-one-out accuracy. A fit per pile: for the few of a port.
+    surveyed volumes give the leave-one-out accuracy. Piles are dealt to at most `groups` held-out
+    groups, whatever their number: up to that many, each is left out by itself.
     """
     zone = written(zones(px, labels, radius))
     train = written(features(px).join(zone, ["row", "col"]).withColumn("y", (F.col("occupied") > 0.5).cast("double")))
+    dealt = written(numbered(piles, "label", "n").select(F.col("label").alias("zone"), F.pmod("n", F.lit(groups)).alias("held")))
+    parts = train.join(dealt, "zone", "left")
     held = None
-    for (k,) in piles.select("label").orderBy("label").collect():  # the port's piles, a few dozen
-        score = modelling.footprint_probability(train.where(F.col("zone") != k), FEATURES, "y", rounds)
-        part = areas(score(train.where(F.col("zone") == k)), pixel_area)
+    for k in range(min(groups, dealt.count())):
+        score = modelling.footprint_probability(parts.where(F.coalesce(F.col("held") != k, F.lit(True))), FEATURES, "y", rounds)
+        part = areas(score(parts.where(F.col("held") == k)), pixel_area)
         held = part if held is None else held.unionByName(part)
     loo = written(piles.join(held, piles.label == held.zone).select("label", F.col("volume").alias("actual"), F.col("area").alias("pred")))
     accuracy = validation.metrics(validation.leave_one_out(loo, "label"), "actual", "corrected")
