@@ -10,6 +10,7 @@ from .chat import rotate, rotate_sql
 from . import pii
 from .common import table
 from .decontaminate import leaks
+from .divergence import divergence, divergence_sql
 from .licenses import scan, scan_sql
 from .quality import quality
 from .quality_sql import quality_sql
@@ -87,9 +88,17 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence(table(spark, sf_dir, "documents"))
+
+
 def queries():
-    return {"op1_licenses": op1_licenses, "op2_quality": op2_quality, "op3_ring": op3_ring, "op4_rotation": op4_rotation, "op5_warc": op5_warc, "op6_latent": op6_latent, "op7_bpe": op7_bpe, "op8_pii": op8_pii, "op9_repeats": op9_repeats, "op10_simhash": op10_simhash}
+    each = (
+        op1_licenses, op2_quality, op3_ring, op4_rotation, op5_warc, op6_latent, op7_bpe, op8_pii, op9_repeats, op10_simhash,
+        op13_divergence,
+    )
+    return {f.__name__: f for f in each}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_licenses": scan_sql(), "op4_rotation": rotate_sql(), "op5_warc": WARC_SQL, "op2_quality": quality_sql()}
+    return {"op1_licenses": scan_sql(), "op4_rotation": rotate_sql(), "op5_warc": WARC_SQL, "op2_quality": quality_sql(), "op13_divergence": divergence_sql()}
