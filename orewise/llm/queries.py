@@ -12,6 +12,7 @@ from .common import table
 from .decontaminate import leaks
 from .divergence import divergence, divergence_sql
 from .licenses import scan, scan_sql
+from .phrases import collocations, collocations_sql
 from .quality import quality
 from .quality_sql import quality_sql
 from .repeats import without_repeats
@@ -88,6 +89,10 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op12_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents"))
+
+
 def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence(table(spark, sf_dir, "documents"))
 
@@ -95,10 +100,10 @@ def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries():
     each = (
         op1_licenses, op2_quality, op3_ring, op4_rotation, op5_warc, op6_latent, op7_bpe, op8_pii, op9_repeats, op10_simhash,
-        op13_divergence,
+        op12_phrases, op13_divergence,
     )
     return {f.__name__: f for f in each}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_licenses": scan_sql(), "op4_rotation": rotate_sql(), "op5_warc": WARC_SQL, "op2_quality": quality_sql(), "op13_divergence": divergence_sql()}
+    return {"op1_licenses": scan_sql(), "op4_rotation": rotate_sql(), "op5_warc": WARC_SQL, "op2_quality": quality_sql(), "op12_phrases": collocations_sql(), "op13_divergence": divergence_sql()}
