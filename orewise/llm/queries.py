@@ -13,6 +13,7 @@ from .decontaminate import leaks
 from .divergence import divergence, divergence_sql
 from .licenses import scan, scan_sql
 from .phrases import collocations, collocations_sql
+from .prefixtree import similar_sets
 from .quality import quality
 from .quality_sql import quality_sql
 from .repeats import without_repeats
@@ -89,6 +90,10 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op11_prefixtree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return similar_sets(table(spark, sf_dir, "documents"))
+
+
 def op12_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations(table(spark, sf_dir, "documents"))
 
@@ -100,7 +105,7 @@ def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries():
     each = (
         op1_licenses, op2_quality, op3_ring, op4_rotation, op5_warc, op6_latent, op7_bpe, op8_pii, op9_repeats, op10_simhash,
-        op12_phrases, op13_divergence,
+        op11_prefixtree, op12_phrases, op13_divergence,
     )
     return {f.__name__: f for f in each}
 
