@@ -1,122 +1,57 @@
-"""Near-duplicates of a stated shingle similarity: SimHash candidates, least-hash bands, exact check.
+"""Near-duplicates of a stated shingle similarity: SimHash links first, what they leave by prefix trees.
 
-A 64-bit SimHash within a few bits finds nearly equal texts; texts of Jaccard similarity 0.8
-are about ten bits apart, further than small Hamming balls reach. So bands of least shingle
-hashes bring up what lies beyond, and every candidate pair, wherever it is from, is
-checked on the whole sets of shingles. Texts with equal sets are one unit and never pairs. A
-band's units meet one of them, drawn anew for each band, and not each other, so pairs
-follow the number of units, however many share a band.
+A 64-bit SimHash within a few bits finds nearly equal texts at once, however many there are;
+texts of Jaccard similarity 0.8 are about ten bits apart, further than small Hamming balls
+reach. So the links of multi-index hashing (checked on whole sets) make the first components,
+and the prefix-tree join compares what is still apart. The result is that of all pairs.
 """
 
 from __future__ import annotations
 
-import hashlib
-
-import numpy as np
-import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, small, small_batches
-from .components import connected_components
-from .simhash import links, shingle_hashes, simhash
-
-#: Bands, and least hashes of a band: at similarity 0.8 a pair has no band in common once in 4,000 times, at 0.9 once in 10 ** 9.
-BANDS, ROWS = 16, 4
-#: Pairs of one unit that are checked beside one copy of its set.
-PARTNERS = 1_000
-_MULTIPLY, _ADD = np.random.default_rng(23).integers(1, 1 << 63, (2, BANDS * ROWS), dtype=np.uint64)
-_MULTIPLY |= np.uint64(1)
-
-
-def _bands(hashes: np.ndarray, block: int = 4_096) -> list[int]:
-    """For each band a hash of the least values of its permutations of the shingle hashes."""
-    least = np.full(BANDS * ROWS, np.iinfo(np.uint64).max, np.uint64)
-    for k in range(0, len(hashes), block):
-        x = hashes[k : k + block, None] * _MULTIPLY + _ADD
-        x ^= x >> np.uint64(32)
-        np.minimum(least, (x * _MULTIPLY).min(0), out=least)
-    rows = least.reshape(BANDS, ROWS)
-    return [int.from_bytes(hashlib.blake2b(bytes([k]) + rows[k].tobytes(), digest_size=8).digest(), "little", signed=True) for k in range(BANDS)]
-
-
-def signatures(docs: DataFrame, words: int, seed: int) -> DataFrame:
-    """docs(doc_id, text) -> doc_id, fp, digest of the set of shingles, bands (none without a word)."""
-
-    def run(batches):
-        for batch in batches:
-            fps, digests, bands = [], [], []
-            for x in batch.column(1):
-                h = shingle_hashes(x.as_py(), words, seed)
-                own = np.unique(h)
-                fps.append(simhash(h))
-                digests.append(hashlib.blake2b(own.tobytes(), digest_size=16).digest())
-                bands.append(_bands(own) if len(own) else [])
-            columns = [batch.column(0), pa.array(np.array(fps, np.uint64).view(np.int64), pa.int64()), pa.array(digests, pa.binary()), pa.array(bands, pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "fp", "digest", "bands"])
-
-    return docs.mapInArrow(run, "doc_id long, fp long, digest binary, bands array<long>")
+from .common import Scratch, small_batches
+from .prefixtree import joined, keyed, named, signatures
+from .simhash import links
 
 
-def shingle_sets(docs: DataFrame, words: int, seed: int) -> DataFrame:
-    """docs(doc_id, text) -> doc_id, shingles: the distinct hashes."""
+def hash_links(units: DataFrame, sets: DataFrame, percent: int, distance: int, segments: int, scratch: Scratch) -> DataFrame:
+    """units(unit, fp), sets(unit, codes) -> u, v: links of similar sets whose fingerprints are at most so many bits apart.
 
-    def run(batches):
-        for batch in batches:
-            for k, x in enumerate(batch.column(1)):
-                own = np.unique(shingle_hashes(x.as_py(), words, seed)).view(np.int64)
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(k, 1), pa.array([own], pa.list_(pa.int64()))], ["doc_id", "shingles"])
-
-    return docs.mapInArrow(run, "doc_id long, shingles array<long>")
-
-
-def candidates(units: DataFrame, distance: int, segments: int, scratch: Scratch) -> DataFrame:
-    """units(unit, fp, bands) -> a, b: distinct pairs of units, a < b, that may be similar."""
-    classes = scratch.written(units.groupBy("fp").agg(F.min("unit").alias("rep")), "classes")
+    Of the units with a fingerprint one stands for all; each other meets it, and each of those the least
+    linked one. So a unit is in two links at most as the greater: enough to start from.
+    """
+    able = units.join(sets.select("unit"), "unit", "left_semi")
+    classes = scratch.written(able.groupBy("fp").agg(F.min("unit").alias("rep")), "classes")
     near = links(classes.select("fp"), distance, segments)
     ends = [classes.select(F.col("fp").alias(x), F.col("rep").alias(f"rep_{x}")) for x in "ab"]
-    pairs = near.join(ends[0], "a").join(ends[1], "b").select(F.col("rep_a").alias("x"), F.col("rep_b").alias("y"))
-    pairs = pairs.unionByName(units.join(classes, "fp").select(F.col("rep").alias("x"), F.col("unit").alias("y")))
-    each = units.select("unit", F.posexplode("bands").alias("k", "band"))
-    first = each.groupBy("k", "band").agg(F.min_by("unit", F.xxhash64("unit", "band")).alias("x"), F.count("*").alias("n")).where("n > 1").drop("n")
-    pairs = pairs.unionByName(each.join(small(scratch.written(first, "bands")), ["k", "band"]).select("x", F.col("unit").alias("y")))
-    return pairs.where("x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-
-
-def similar_pairs(pairs: DataFrame, docs: DataFrame, similarity: float, words: int, seed: int, scratch: Scratch) -> DataFrame:
-    """The pairs (a, b) of doc_ids whose sets of shingles have that Jaccard similarity at least.
-
-    Sets are made again from the texts of the documents in question. A unit with more than PARTNERS
-    partners has a copy of its set for each so many, so its pairs spread over tasks.
-    """
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    sets = scratch.written(shingle_sets(docs.join(small(scratch.written(ids, "ids")), "doc_id", "left_semi"), words, seed), "sets")
-    copies = pairs.groupBy("a").agg(F.ceil(F.count("*") / PARTNERS).cast("int").alias("copies"))
-    left = copies.join(sets, copies.a == sets.doc_id).select("a", "copies", F.col("shingles").alias("of_a"), F.explode(F.sequence(F.lit(0), F.col("copies") - 1)).alias("copy"))
-    dealt = pairs.join(copies, "a").select("a", "b", F.pmod(F.xxhash64("b"), F.col("copies")).cast("int").alias("copy"))
-    both = dealt.join(sets, dealt.b == sets.doc_id).drop("doc_id").join(left.drop("copies"), ["a", "copy"])
-    common = F.size(F.array_intersect("of_a", "shingles"))
-    both = both.select("a", "b", common.alias("common"), (F.size("of_a") + F.size("shingles")).alias("sizes"))
-    return both.where(F.col("common") >= similarity * (F.col("sizes") - F.col("common")) - 1e-9).select("a", "b")
+    named_links = near.join(ends[0], "a").join(ends[1], "b").select(F.least("rep_a", "rep_b").alias("u"), F.greatest("rep_a", "rep_b").alias("v"))
+    pairs = named_links.groupBy("v").agg(F.min("u").alias("u"))
+    pairs = pairs.unionByName(able.join(classes, "fp").where("unit <> rep").select(F.col("rep").alias("u"), F.col("unit").alias("v")))
+    one = sets.select(F.col("unit").alias("u"), F.col("codes").alias("of_u"))
+    both = scratch.written(pairs, "hash-links").join(one, "u").join(sets.withColumnRenamed("unit", "v"), "v")
+    common = F.size(F.array_intersect("of_u", "codes"))
+    return both.where((100 + percent) * common >= percent * (F.size("of_u") + F.size("codes"))).select("u", "v")
 
 
-def similar(docs: DataFrame, words: int = 5, similarity: float = 0.8, distance: int = 4, segments: int = 3, seed: int = 42, scratch: Scratch | None = None) -> DataFrame:
-    """docs(doc_id, text) -> doc_id, component_id: the least doc_id reachable over pairs of that similarity.
+def similar(docs: DataFrame, words: int = 5, percent: int = 80, distance: int = 4, segments: int = 3, seed: int = 42, scratch: Scratch | None = None) -> DataFrame:
+    """docs(doc_id, text) -> doc_id, component_id: the least doc_id reachable over pairs of that similarity (per cent).
 
     doc_ids are unique and not null (a caller numbers its rows). Shingles are of lower-cased
     words (ASCII letters), fewer words being one shingle; texts without a word, null ones too,
     have equal, empty sets and are one component. Other columns aren't read. An empty
-    table gives none. What the bands may miss is stated at BANDS; nothing that isn't
-    similar is ever linked directly. scratch gets the tables that the result reads, for a
-    caller to clear once it has written that.
+    table gives none. No similar pair is missed, and none that isn't similar is linked directly.
+    scratch gets the tables that the result reads, for a caller to clear once it has written that.
     """
     scratch = scratch or Scratch()
     small_batches(docs.sparkSession)
-    docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    found = scratch.written(signatures(docs, words, seed), "signatures")
-    units = scratch.written(found.groupBy("digest").agg(F.min("doc_id").alias("unit"), F.min("fp").alias("fp"), F.first("bands").alias("bands")), "units")
-    pairs = scratch.written(candidates(units, distance, segments, scratch), "pairs")
-    linked = scratch.written(similar_pairs(pairs, docs, similarity, words, seed, scratch), "similar")
-    nodes = connected_components(linked.select(F.col("a").alias("u"), F.col("b").alias("v")))
-    named = units.join(nodes, units.unit == nodes.node, "left").select("digest", F.coalesce("component", "unit").alias("component_id"))
-    return found.select("doc_id", "digest").join(named, "digest").select("doc_id", "component_id")
+    docs = keyed(docs)
+    found = scratch.written(signatures(docs, words, seed, fingerprint=True), "signatures")
+    known = lambda units, sets: hash_links(units, sets, percent, distance, segments, scratch)
+    components = scratch.written(joined(docs, found, percent, words, seed, scratch, known), "components")
+    names = named(found, components)
+    blank = names.where("n_shingles = 0")
+    least = blank.agg(F.min("doc_id").alias("component_id"))
+    blank = blank.select("doc_id").crossJoin(F.broadcast(least))  # one row
+    return names.where("n_shingles > 0").select("doc_id", "component_id").unionByName(blank)
