@@ -209,7 +209,8 @@ def phrase_counts(shards: DataFrame, length: int, usual: list[Filter], entries:
 
     def run(batches):
         for batch in batches:
-            for row in batch.to_pylist():
+            for k in range(batch.num_rows):  # one shard at a time is unpacked
+                row = batch.slice(k, 1).to_pylist()[0]
                 shard, names = _Shard(row, usual[0]), pa.array(row["words"], pa.string())
                 cuts = np.append(np.flatnonzero(np.diff(shard.owner, prepend=-1)), len(shard.owner))
                 at = 0
