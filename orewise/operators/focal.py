@@ -122,16 +122,6 @@ def without_thin(px: DataFrame, value: str, radius_m: float, res: float, grid: t
     return tiles.by_tile(px, kernel, [value], {"height": "double"}, grid, 2 * r)
 
 
-def distance_inside(mask: DataFrame, limit: int, grid: tuple[int, int]) -> DataFrame:
-    """Distance in pixels of each set pixel to the nearest unset one of the grid, up to limit."""
-
-    def kernel(a):
-        inside = ~np.isnan(a)
-        return np.where(inside, tiles.edt(inside, limit), 0.0)
-
-    return tiles.by_tile(mask.withColumn("set", F.lit(1.0)), kernel, ["set"], {"distance": "double"}, grid, limit, edge=1.0)
-
-
 def median5(px: DataFrame, value: str, grid: tuple[int, int]) -> DataFrame:
     return tiles.by_tile(px, lambda a: tiles.median_filter(tiles.filled(a), 5), [value], {"median": "double"}, grid, 3)
 

@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.tables import written
-from . import focal, tiles
+from . import tiles
+from .distance import distance_inside
 from .modelling import fitted, matched
 from .resample import block_mean, cubic
 
@@ -55,12 +56,12 @@ def sharpened(coarse: DataFrame, reference: DataFrame, bands: list[str], factor:
     return out
 
 
-def polygon_features(labels: DataFrame, res: float, grid: tuple[int, int], limit: int = 64) -> DataFrame:
+def polygon_features(labels: DataFrame, res: float, grid: tuple[int, int]) -> DataFrame:
     """Edge distance, the same relative to the object's deepest pixel, and log area of labelled pixels."""
     from pyspark.sql.window import Window
 
     own = labels.where("label > 0").select("row", "col", "label")
-    d = focal.distance_inside(own.select("row", "col"), limit, grid).join(own, ["row", "col"])
+    d = distance_inside(own.select("row", "col"), grid).join(own, ["row", "col"])
     w = Window.partitionBy("label")
     edge = F.col("distance") * res
     return d.select("row", "col", "label", edge.alias("edge_m"), (edge / F.greatest(F.max(edge).over(w), F.lit(res))).alias("depth"), F.ln(F.greatest(F.count("*").over(w) * res * res, F.lit(1.0))).alias("log_area"))

@@ -125,23 +125,6 @@ def gradient(a: np.ndarray, res: float) -> tuple[np.ndarray, np.ndarray]:
     return np.gradient(a, res)
 
 
-def edt(inside: np.ndarray, limit: int) -> np.ndarray:
-    """Distance to the nearest pixel that isn't inside, up to limit (farther: limit): rows, then columns."""
-    n = np.where(inside, np.inf, 0.0)
-    for axis in (0, 1):
-        best = n.copy()
-        for d in range(1, limit + 1):
-            for s in (d, -d):
-                moved = np.full_like(n, np.inf)
-                a = [slice(None), slice(None)]
-                b = [slice(None), slice(None)]
-                a[axis], b[axis] = (slice(s, None), slice(None, -s)) if s > 0 else (slice(None, s), slice(-s, None))
-                moved[tuple(a)] = n[tuple(b)] + d * d
-                best = np.minimum(best, moved)
-        n = best
-    return np.minimum(np.sqrt(n), limit)
-
-
 def cubic(a: np.ndarray, factor: int) -> np.ndarray:
     """Cubic B-spline samples of a, factor per pixel and axis: coefficients by the two-sided filter."""
     pole = np.sqrt(3.0) - 2

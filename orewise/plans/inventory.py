@@ -9,6 +9,7 @@ from ..config import DEFAULT, Settings
 from ..functions import classes
 from ..operators import focal, zonal
 from ..operators.components import labelled
+from ..operators.distance import distance_inside
 from ..operators.grid import Lattice
 from ..operators.modelling import nearest_centroid
 from ..sources.tables import numbered, written
@@ -61,7 +62,7 @@ def detect_port(px: DataFrame, ground: float, grid: Lattice, deck_m: float = 1.0
     mask = written(focal.opened(h.where(F.col("h") > deck_m).select("row", "col"), focal.offsets("square", 1), times=2))
     objects = written(labelled(mask, grid.cols))
     shape = (grid.rows, grid.cols)
-    deep = focal.distance_inside(mask, 64, shape).select("row", "col", (F.col("distance") * grid.step).alias("deep"))
+    deep = distance_inside(mask, shape).select("row", "col", (F.col("distance") * grid.step).alias("deep"))
     smooth = focal.box(h, "h", max(round(5 / grid.step), 3), shape).select("row", "col", F.col("mean").alias("smooth"))
     all_px = focal.slope_degrees(h, "dsm", grid.step).join(objects, ["row", "col"]).join(deep, ["row", "col"]).join(smooth, ["row", "col"])
     all_px = written(all_px)

@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from ..functions import classes, columns, geo
+from ..operators.distance import distance_inside
 from ..operators import focal, resample, tiles, zonal
 from ..operators.grid import sheet
 from . import query
@@ -253,7 +254,7 @@ def thin(i):
 @query("n09_distance")
 def distance(i):
     """Distance to the edge of the occupied area."""
-    return focal.distance_inside(i.lpx.where("label > 0").select("row", "col"), 12, GRID).select("row", "col", r4("distance").alias("distance"))
+    return distance_inside(i.lpx.where("label > 0").select("row", "col"), GRID).select("row", "col", r4("distance").alias("distance"))
 
 
 @query("n10_derived_ground")

@@ -89,15 +89,6 @@ def test_even_box_reaches_back():
     assert tiles.box_mean(a, 2)[3, 3] == 2.5
 
 
-def test_distance_transform(spark):
-    rng = np.random.default_rng(2)
-    m = rng.random((40, 37)) < 0.9
-    got = array(focal.distance_inside(frame(spark, np.where(m, 1.0, np.nan)).select("row", "col"), 8, m.shape), "distance", m.shape)
-    out = np.argwhere(~m)
-    want = np.array([[min(math.hypot(r - a, c - b) for a, b in out) if m[r, c] else 0.0 for c in range(37)] for r in range(40)])
-    assert np.allclose(got, np.minimum(want, 8))
-
-
 def test_morphology(spark):
     rng = np.random.default_rng(3)
     m = rng.random((30, 30)) < 0.7

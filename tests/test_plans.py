@@ -67,7 +67,7 @@ def test_super_resolution(spark, yard):
 
 
 def test_polygon_features(spark, yard):
-    f = superres.polygon_features(yard.where("row < 200 and col < 200").select("row", "col", "label"), 1.0, (200, 200), 32)
+    f = superres.polygon_features(yard.where("row < 200 and col < 200").select("row", "col", "label"), 1.0, (200, 200))
     r = f.groupBy("label").agg(F.max("depth").alias("d"), F.min("edge_m").alias("e")).collect()
     assert all(x.d == 1.0 and x.e == 1.0 for x in r)
 
