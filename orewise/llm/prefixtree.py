@@ -8,7 +8,8 @@ already known to be in the same component. So a group of thousands of near copie
 and never its pairs, while any pair in different components is still compared exactly.
 
 1. Equal sets are one unit. Very frequent shingles are counted (lossy counting over all rows) and put last.
-2. Each unit's prefix; shingles that stand in the prefixes of two units or more are kept, and the sets of these units.
+2. Each unit's prefix. Shingles that stand in the prefixes of two units or more are kept; prefixes are a little longer than
+   one common shingle needs, so similar sets share several, and a unit with fewer shared ones has no partner and goes.
 3. A first round: each unit goes to a few of its shared shingles. Most links are found here.
 4. The last round: all shingles whose units are still in different components. Units of a shingle are dealt to cells of
    bounded size, in blocks that meet pairwise; blocks of one and the same component don't meet.
@@ -22,8 +23,9 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from .common import Scratch, small, small_batches
 from .components import connected_components
@@ -33,8 +35,8 @@ from .simhash import shingle_hashes, simhash
 COUNTED, REPORTED, FREQUENT = 1 << 21, 16, 200_000
 #: Shingles of a cell's sets, and what a trie reads of an edge at a time.
 CELL, EDGE = 2_000_000, 32
-#: Shared shingles that a unit goes to in the first round.
-FIRST = 3
+#: Per cent of a set by which prefixes are longer than one common shingle needs, and which similar sets then share there.
+MEETING = 5
 _SIGNED = pa.int64()
 
 
@@ -121,9 +123,17 @@ def _coded(docs: DataFrame, words: int, seed: int, order: Order, percent: int |
     return docs.select("text").mapInArrow(run, "digest binary, codes array<long>")
 
 
+def meeting(n: int) -> int:
+    """How many shingles the prefixes of two sets of n or more share, if these are similar enough."""
+    return 1 + n * MEETING // 100
+
+
 def prefix(n: int, percent: int) -> int:
-    """How many first shingles of a set of n meet those of any set that similar."""
-    return n - (percent * n + 99) // 100 + 1
+    """A prefix of a set of n that shares meeting(m) shingles with that of any similar set, m being the smaller size.
+
+    Two sets of an overlap of o share k of their first (size - o + k) shingles, in any order common to both.
+    """
+    return n - (percent * n + 99) // 100 + meeting(n)
 
 
 class Trie:
@@ -260,8 +270,15 @@ def _cells_joined(dealt: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return dealt.join(sets, "unit").groupBy("token", "low", "high").applyInArrow(run, "u long, v long")
 
 
+def _shared(postings: DataFrame) -> DataFrame:
+    """postings(unit, n, token), each once -> those whose token has another unit too: one look at both neighbours in order."""
+    order = Window.partitionBy("token").orderBy("unit")
+    near = postings.withColumns({"before": F.lag("unit").over(order), "after": F.lead("unit").over(order)})
+    return near.where("before is not null or after is not null").select("unit", "n", "token")
+
+
 def _first_cells(shared: DataFrame, cell: int) -> DataFrame:
-    """Each unit at its FIRST shared shingles of least hash; a shingle's units in blocks that don't meet."""
+    """Each unit at three of its shared shingles, by their hashes; a shingle's units in blocks that don't meet."""
     hashed = shared.select("token", "unit", "n", F.struct(F.xxhash64("token").alias("h"), "token").alias("by"))
     parts = hashed.groupBy("unit").agg(F.min("by").alias("b1"), F.max("by").alias("b2"), F.min(F.struct(F.xxhash64("token", F.lit(1)).alias("h"), "token")).alias("b3"), F.first("n").alias("n"))
     picked = parts.select("unit", "n", F.explode(F.array_distinct(F.array("b1.token", "b2.token", "b3.token"))).alias("token"))
@@ -303,10 +320,11 @@ def joined(docs: DataFrame, found: DataFrame, percent: int, words: int, seed: in
     units = rows.groupBy("digest").agg(F.min("key").alias("key"), F.first("n").alias("n"), F.first("fp").alias("fp"))
     units = scratch.written(units.withColumn("unit", F.monotonically_increasing_id()), "units")
 
-    prefixes = _coded(docs, words, seed, order, percent).join(units.select("digest", "unit", "n"), "digest")
-    postings = scratch.written(prefixes.select("unit", "n", F.explode("codes").alias("token")), "prefixes")
-    shared = postings.groupBy("token").agg(F.min("unit").alias("a"), F.max("unit").alias("b")).where("a < b").select("token")
-    shared = scratch.written(postings.join(shared, "token", "left_semi").distinct(), "shared")
+    prefixes = _coded(docs, words, seed, order, percent).groupBy("digest").agg(F.first("codes").alias("codes")).join(units.select("digest", "unit", "n"), "digest")
+    shared = scratch.written(_shared(prefixes.select("unit", "n", F.explode("codes").alias("token"))), "shared")
+    least = F.expr(f"1 + ((n * {percent} + 99) div 100) * {MEETING} div 100")  # meeting() of the smallest partner
+    able = shared.groupBy("unit").agg(F.count("*").alias("times"), F.first("n").alias("n")).where(F.col("times") >= least).select("unit")
+    shared = scratch.written(_shared(shared.join(able, "unit", "left_semi")), "shared")
     needed = scratch.written(shared.select("unit").distinct().join(units, "unit").select("unit", "digest", "key"), "needed")
     sets = _coded(docs.join(small(needed.select("key").distinct()), "key", "left_semi"), words, seed, order, None)
     sets = scratch.written(sets.join(needed.select("unit", "digest"), "digest").dropDuplicates(["unit"]).select("unit", "codes"), "sets")

@@ -6,7 +6,7 @@ import re
 import numpy as np
 import pytest
 
-from orewise.llm.prefixtree import Trie, linked, prefix, similar_sets
+from orewise.llm.prefixtree import Trie, linked, meeting, prefix, similar_sets
 
 SCHEMA = "doc_id long, text string, component_id long, token string"
 
@@ -116,10 +116,17 @@ def test_tries_of_any_edge(edge, monkeypatch):
         assert same(got) == same(want)
 
 
-def test_prefix_meets():
-    for percent in (80, 85, 100):
-        for n in range(1, 60):
-            assert prefix(n, percent) == n - -(-percent * n // 100) + 1
+def test_prefixes_of_similar_sets_meet():
+    rng = random.Random(4)
+    for _ in range(4000):
+        percent, n = rng.choice([60, 80, 85, 100]), rng.randrange(1, 120)
+        a = set(rng.sample(range(10**6), n))
+        b = set(rng.sample(sorted(a), max(1, n - rng.randrange(1 + n // 6)))) | set(rng.sample(range(10**6), rng.randrange(1 + n // 6)))
+        if 100 * len(a & b) >= percent * len(a | b):
+            first = [sorted(x)[: prefix(len(x), percent)] for x in (a, b)]
+            shared = len(set(first[0]) & set(first[1]))
+            assert shared >= meeting(min(len(a), len(b)))
+            assert all(shared >= meeting(-(-percent * len(x) // 100)) for x in (a, b))
 
 
 def test_no_rows(spark):
