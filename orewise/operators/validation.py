@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.tables import numbered, written
 
-#: Folds of the corrections that have no closed form: each fold's fit meets the rows of all other folds.
-MOST_FOLDS = 1_000
+#: Fits and values of a block: each block of fits meets each block of values, in tasks of their own.
+FITS, VALUES = 2_048, 16_384
 
 
 def _totals(df: DataFrame, moments: dict[str, Column], fold: str) -> DataFrame:
@@ -17,11 +20,38 @@ def _totals(df: DataFrame, moments: dict[str, Column], fold: str) -> DataFrame:
     return by.crossJoin(F.broadcast(every)).select(fold, *[(F.col(f"_all{k}") - F.col(k)).alias(k) for k in moments])  # every: one row
 
 
-def _few(folds: DataFrame) -> DataFrame:
-    """A row for each fold, broadcast: counted first."""
-    if folds.limit(MOST_FOLDS + 1).count() > MOST_FOLDS:
-        raise ValueError(f"over {MOST_FOLDS} folds: group the rows into fewer")
-    return F.broadcast(folds)
+def _dealt(rows: DataFrame, most: int, key: Column, columns: list[str]) -> DataFrame:
+    """rows in blocks of about `most`, packed: a row for each block with an array for each column. The number of blocks follows the count."""
+    blocks = -(-rows.count() // most)
+    return rows.groupBy(F.pmod(key, F.lit(max(blocks, 1))).alias("_block")).agg(*[F.collect_list(c).alias(c) for c in columns])
+
+
+def power_sums(fits: DataFrame, values: DataFrame, per_block: tuple[int, int] = (FITS, VALUES)) -> DataFrame:
+    """fits(f int, e) and values(f int, x, w) -> f, s: the sum of w * exp(e * x) over the values of all other f, for each fit.
+
+    Both sides are written tables without nulls, a value once for each (f, x). Every block of fits
+    meets every block of values, both of bounded size; partial sums are added by fit. That is one
+    exponential for each fit and value, over as many tasks as there are pairs of blocks.
+    """
+    left = written(_dealt(fits, per_block[0], F.xxhash64("f"), ["f", "e"]))
+    right = _dealt(values, per_block[1], F.xxhash64("f", "x"), ["f", "x", "w"])
+    blocks = [r[0] for r in left.select("_block").collect()]  # a number for each block of fits
+    meet = right.select("f", "x", "w", F.explode(F.array(*map(F.lit, blocks)) if blocks else F.array().cast("array<bigint>")).alias("_block")).repartition("_block", F.xxhash64("x"))
+    meet = meet.join(left.select("_block", F.col("f").alias("fit"), "e"), "_block").drop("_block")
+
+    def run(batches):
+        for batch in batches:
+            for k in range(batch.num_rows):
+                f, x, w, fit, e = (batch.column(c)[k].values.to_numpy() for c in ("f", "x", "w", "fit", "e"))
+                total = np.zeros(len(fit))
+                for a in range(0, len(fit), 64):
+                    part = np.exp(e[a : a + 64, None] * x[None])
+                    part *= w
+                    part[fit[a : a + 64, None] == f[None]] = 0.0
+                    total[a : a + 64] = part.sum(1)
+                yield pa.RecordBatch.from_arrays([pa.array(fit), pa.array(total)], ["f", "s"])
+
+    return meet.mapInArrow(run, "f int, s double").groupBy("f").agg(F.sum("s").alias("s"))
 
 
 def mean_of_others(df: DataFrame, value: Column) -> DataFrame:
@@ -46,22 +76,24 @@ def power_corrected(df: DataFrame, fold: str = "fold", actual: str = "actual", p
     """Adds corrected and exponent: c * pred ** b fitted in logs on the other folds, b within 0.5 and 2.5, sums matched.
 
     Needs four usable rows in the other folds. The mean match sums c * pred ** b, which has no
-    closed form, so those sums are made once b is known, by pairs of a row and another fold's
-    fit: at most MOST_FOLDS fits, counted before they are broadcast.
+    closed form, so those sums are made once b is known, block by block (power_sums), for any number of
+    folds. A null fold is held out of nothing and gets null.
     """
     ok = F.col(actual).isNotNull() & (F.col(pred) > 0) & (F.col(actual) > 0)
     x, y = F.ln(F.when(ok, F.col(pred))), F.ln(F.when(ok, F.col(actual)))
     rest = _totals(df, {"_n": ok.cast("double"), "_x": x, "_y": y, "_xx": x * x, "_xy": x * y, "_a": F.when(ok, F.col(actual))}, fold)
     slope = (F.col("_n") * F.col("_xy") - F.col("_x") * F.col("_y")) / F.nullif(F.col("_n") * F.col("_xx") - F.col("_x") ** 2, F.lit(0.0))
-    fits = rest.where("_n >= 4").withColumn("raw", slope).select(
-        F.col(fold).alias("_f"), F.least(F.greatest("raw", F.lit(0.5)), F.lit(2.5)).alias("exponent"), ((F.col("_y") - F.col("raw") * F.col("_x")) / F.col("_n")).alias("_c"), "_a"
+    numbers = written(numbered(df.where(F.col(fold).isNotNull()), fold, "f"))
+    fits = rest.where("_n >= 4").withColumn("raw", slope).where("raw is not null").select(
+        F.col(fold), F.least(F.greatest("raw", F.lit(0.5)), F.lit(2.5)).alias("e"), ((F.col("_y") - F.col("raw") * F.col("_x")) / F.col("_n")).alias("_c"), "_a"
     )
-    used = df.where(ok).select(F.col(fold).alias("_g"), F.col(pred).alias("_v"))
-    raw = F.exp("_c") * F.pow("_v", "exponent")
-    match = used.join(_few(fits), F.col("_g") != F.col("_f")).groupBy("_f").agg((F.first("_a") / F.greatest(F.sum(raw), F.lit(1e-9))).alias("_k"))
-    fits = _few(fits.join(match, "_f"))
-    out = df.join(fits, df[fold] == fits["_f"], "left")
-    return out.withColumn("corrected", F.col("_k") * F.exp("_c") * F.pow(F.greatest(F.col(pred), F.lit(0.0)), "exponent")).drop("_f", "_c", "_a", "_k")
+    fits = written(fits.join(numbers, fold))
+    used = df.where(ok).join(numbers, fold, "left").groupBy(F.coalesce("f", F.lit(0)).alias("f"), x.alias("x")).agg(F.count("*").cast("double").alias("w"))
+    sums = power_sums(fits.select("f", "e"), written(used))
+    match = F.col("_a") / F.greatest(F.exp("_c") * F.col("s"), F.lit(1e-9))
+    fits = fits.join(sums, "f").select(F.col(fold), F.col("e").alias("exponent"), (match * F.exp("_c")).alias("_k"))
+    out = df.join(fits, fold, "left").select(*[df[c] if c != fold else F.col(fold) for c in df.columns], "exponent", "_k")
+    return out.withColumn("corrected", F.when(F.col(pred).isNotNull(), F.col("_k") * F.pow(F.greatest(F.col(pred), F.lit(0.0)), "exponent"))).drop("_k")
 
 
 def quadratic_corrected(df: DataFrame, fold: str = "fold", actual: str = "actual", pred: str = "pred") -> DataFrame:
@@ -87,7 +119,7 @@ def quadratic_corrected(df: DataFrame, fold: str = "fold", actual: str = "actual
 
 
 def leave_one_out(df: DataFrame, key: str, **how) -> DataFrame:
-    """power_corrected() with every row a fold of its own: for at most MOST_FOLDS rows, as each fit meets all other rows."""
+    """power_corrected() with every key a fold of its own, however many: each fit meets all other rows, in blocks."""
     return power_corrected(df, fold=key, **how)
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import ratio
 from ..operators import focal, modelling, neighbours, validation
-from ..sources.tables import numbered, written
+from ..sources.tables import new_path, numbered, written
 
 BANDS = ["blue", "green", "red", "nir"]
 FEATURES = [*BANDS, "bright", "ndvi", "ndwi", "redness", "texture"]
@@ -55,22 +55,27 @@ class PortModel:
         return out.select("zone", F.col("pred").alias("area"), F.col("corrected").alias("volume"))
 
 
-def fit(px: DataFrame, labels: DataFrame, piles: DataFrame, radius: int, pixel_area: float, rounds: int = 10, groups: int = 24) -> PortModel:
+def fit(px: DataFrame, labels: DataFrame, piles: DataFrame, radius: int, pixel_area: float, rounds: int = 10, groups: int | None = None) -> PortModel:
     """px(row, col, bands, occupied), labels(row, col, label), piles(label, volume) -> the model.
 
     Each pile's area comes from a classifier that has not seen its zone; these areas and the
-    surveyed volumes give the leave-one-out accuracy. Piles are dealt to at most `groups` held-out
-    groups, whatever their number: up to that many, each is left out by itself.
+    surveyed volumes give the leave-one-out accuracy. Every pile is left out by itself, one fit a pile
+    that has a volume and a zone, whatever their number. A caller may choose fewer fits: with groups=k,
+    piles are dealt to k groups that are held out whole. Each fit's areas are appended to one table, so
+    the plan doesn't grow with the fits.
     """
     zone = written(zones(px, labels, radius))
     train = written(features(px).join(zone, ["row", "col"]).withColumn("y", (F.col("occupied") > 0.5).cast("double")))
-    dealt = written(numbered(piles, "label", "n").select(F.col("label").alias("zone"), F.pmod("n", F.lit(groups)).alias("held")))
-    parts = train.join(dealt, "zone", "left")
-    held = None
-    for k in range(min(groups, dealt.count())):
+    seen = piles.where("volume is not null").join(train.select(F.col("zone").alias("label")).distinct(), "label", "left_semi")
+    n = F.col("n") - 1
+    dealt = written(numbered(seen, "label", "n").select(F.col("label").alias("zone"), (n if groups is None else F.pmod(n, F.lit(groups))).alias("held")))
+    parts = written(train.join(dealt, "zone", "left"))
+    path = new_path(px.sparkSession)
+    fits = dealt.agg(F.max("held")).first()[0]
+    for k in range(0 if fits is None else fits + 1):
         score = modelling.footprint_probability(parts.where(F.coalesce(F.col("held") != k, F.lit(True))), FEATURES, "y", rounds)
-        part = areas(score(parts.where(F.col("held") == k)), pixel_area)
-        held = part if held is None else held.unionByName(part)
+        areas(score(parts.where(F.col("held") == k)), pixel_area).write.mode("append").parquet(path)
+    held = px.sparkSession.read.schema("zone int, area double").parquet(path) if fits is not None else px.sparkSession.createDataFrame([], "zone int, area double")
     loo = written(piles.join(held, piles.label == held.zone).select("label", F.col("volume").alias("actual"), F.col("area").alias("pred")))
     accuracy = validation.metrics(validation.leave_one_out(loo, "label"), "actual", "corrected")
     score = modelling.footprint_probability(train, FEATURES, "y", rounds)

@@ -85,7 +85,7 @@ def parts(i):
 @query("s08_first_source", "SELECT row, col, red AS blue FROM px", "px")
 def first_source(i):
     """A site without its best imagery: the next source, its bands by their own names."""
-    path = f"{shared_dir(i.spark)}/orewise/sites/spot-{i.spark.sparkContext.applicationId}"
+    path = f"{shared_dir(i.spark)}/orewise/sites/spot-{uuid.uuid4().hex}"
     i.px.write.mode("overwrite").parquet(path)
     site = catalog.Site(i.spark, {"spot": path})
     assert site.read("pleiades") is None
@@ -182,7 +182,7 @@ def escaped(i):
 @query("k02_csv", f"SELECT pile_id, commodity, {R('volume')} AS volume FROM stock", "stock")
 def csv(i):
     """A table written as CSV and read back."""
-    path = f"{shared_dir(i.spark)}/orewise/sites/csv-{i.spark.sparkContext.applicationId}"
+    path = f"{shared_dir(i.spark)}/orewise/sites/csv-{uuid.uuid4().hex}"
     jobs.write_csv(i.stock.select("pile_id", "commodity", r4("volume").alias("volume")), path)
     return i.spark.read.option("header", True).schema("pile_id long, commodity string, volume double").csv(path)
 

@@ -23,9 +23,14 @@ def shared_dir(spark: SparkSession) -> str:
     return top.rstrip("/")
 
 
+def new_path(spark: SparkSession) -> str:
+    """A path in the shared folder that nothing else has."""
+    return f"{shared_dir(spark)}/orewise/tables/{uuid.uuid4().hex}"
+
+
 def written(df: DataFrame) -> DataFrame:
     """df as a Parquet table of the shared folder, read back: its lineage ends here."""
-    path = f"{shared_dir(df.sparkSession)}/orewise/tables/{uuid.uuid4().hex}"
+    path = new_path(df.sparkSession)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -100,3 +100,26 @@ def test_catalog(spark, tmp_path):
     assert catalog.landsat(l8, l8.withColumn("scene_id", F.lit(2))).count() == 2
     s2 = spark.createDataFrame([(0, 0, 4, 5000.0), (0, 1, 9, 5000.0)], "row int, col int, scl int, b11 double")
     assert [r.b11 for r in catalog.sentinel(s2).collect()] == [0.5]
+
+
+def test_every_pile_is_left_out_by_itself(spark, monkeypatch):
+    """26 piles make 26 fits, each without the pile's zone, and one more for production; groups are an explicit choice."""
+    seen = []
+
+    def fake(px, features, label, rounds, seed=42):
+        zones = {r.zone for r in px.select("zone").distinct().collect()}
+        seen.append(zones)
+        return lambda rows: rows.withColumn("p", F.lit(1.0) / len(zones))
+
+    monkeypatch.setattr(modelling, "footprint_probability", fake)
+    px = spark.range(26 * 16).select((F.col("id") / 16).cast("int").alias("row"), (F.col("id") % 16).cast("int").alias("col"))
+    px = px.select("row", "col", *[((F.col("row") + F.col("col") + k) % 7 / 10.0).alias(b) for k, b in enumerate(port.BANDS)], (F.col("col") % 2).cast("double").alias("occupied"))
+    labels = px.select("row", "col", F.when(F.col("col") < 8, F.col("row") + 1).otherwise(0).alias("label"))
+    piles = spark.range(1, 28).select(F.col("id").cast("int").alias("label"), (100.0 * F.col("id") ** 1.2).alias("volume"))  # the 27th has no zone
+    model = port.fit(px, labels, piles, 1, 100.0)
+    everything = set(range(1, 27))
+    assert sorted(map(sorted, seen[:-1])) == sorted(sorted(everything - {k}) for k in everything) and seen[-1] == everything
+    assert model.accuracy.first().n == 26
+    seen.clear()
+    port.fit(px, labels, piles, 1, 100.0, groups=3)
+    assert len(seen) == 4
