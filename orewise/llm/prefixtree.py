@@ -9,10 +9,12 @@ and never its pairs, while any pair in different components is still compared ex
 
 1. Equal sets are one unit. Very frequent shingles are counted (lossy counting over all rows) and put last.
 2. Each unit's prefix. Shingles that stand in the prefixes of two units or more are kept; prefixes are a little longer than
-   one common shingle needs, so similar sets share several, and a unit with fewer shared ones has no partner and goes.
+   one common shingle needs, so similar sets share several: a unit with fewer shared ones has no partner and goes, and of the
+   others' only the rarest are needed for two similar sets to meet once. Passages that many texts hold fall out here.
 3. A first round: each unit goes to a few of its shared shingles. Most links are found here.
-4. The last round: all shingles whose units are still in different components. Units of a shingle are dealt to cells of
-   bounded size, in blocks that meet pairwise; blocks of one and the same component don't meet.
+4. The last round: all shingles whose units are still in different components. Units that such shingles tie together are
+   one cell if they fit into it. Of larger ties each shingle's units are dealt to cells of bounded size, in blocks that meet
+   pairwise; blocks of one and the same component don't meet.
 
 The first round is for speed, the last for completeness: no link is lost, whatever the first finds.
 """
@@ -36,7 +38,7 @@ COUNTED, REPORTED, FREQUENT = 1 << 21, 16, 200_000
 #: Shingles of a cell's sets, and what a trie reads of an edge at a time.
 CELL, EDGE = 2_000_000, 32
 #: Per cent of a set by which prefixes are longer than one common shingle needs, and which similar sets then share there.
-MEETING = 5
+MEETING = 10
 _SIGNED = pa.int64()
 
 
@@ -274,7 +276,7 @@ def _shared(postings: DataFrame) -> DataFrame:
     """postings(unit, n, token), each once -> those whose token has another unit too: one look at both neighbours in order."""
     order = Window.partitionBy("token").orderBy("unit")
     near = postings.withColumns({"before": F.lag("unit").over(order), "after": F.lead("unit").over(order)})
-    return near.where("before is not null or after is not null").select("unit", "n", "token")
+    return near.where("before is not null or after is not null").drop("before", "after")
 
 
 def _first_cells(shared: DataFrame, cell: int) -> DataFrame:
@@ -291,8 +293,16 @@ def _last_cells(shared: DataFrame, nodes: DataFrame, cell: int, scratch: Scratch
     """Cells of all shingles whose units are in different components: every two of these meet in some cell."""
     at = shared.join(nodes, shared.unit == nodes.node, "left").select("token", "unit", "n", F.coalesce("component", "unit").alias("component"))
     mixed = at.groupBy("token").agg(F.min("component").alias("a"), F.max("component").alias("b"), F.count("*").alias("units"), F.sum(F.xxhash64("unit").cast("decimal(38,0)")).alias("who"), F.sum("n").alias("size")).where("a < b")
-    once = mixed.groupBy("units", "who").agg(F.min(F.struct("token", "size")).alias("t")).select("t.token", "t.size")  # shingles with the same units are one
-    at = scratch.written(at.join(once, "token"), "mixed")
+    once = mixed.groupBy("units", "who").agg(F.min(F.struct("token", "size")).alias("t")).select("t.*")  # shingles with the same units are one
+    at = scratch.written(at.join(once.select("token", "size"), "token"), "mixed")
+    # Units that shingles tie together, if they fit into a cell: each goes there once, not once a shingle.
+    first = at.groupBy("token").agg(F.min("unit").alias("hub"))
+    tied = scratch.written(connected_components(at.join(first, "token").select(F.col("unit").alias("u"), F.col("hub").alias("v"))), "tied")
+    members = at.select("unit", "n", F.col("component").alias("own")).distinct().join(tied, at.unit == tied.node).select("unit", "n", F.col("own").alias("component"), F.col("component").alias("cluster"))
+    fits = members.groupBy("cluster").agg(F.sum("n").alias("all")).where(F.col("all") <= cell).select("cluster")
+    members = scratch.written(members.join(fits, "cluster"), "clusters")
+    clusters = members.select(F.col("cluster").alias("token"), F.lit("c").alias("low"), F.lit("c").alias("high"), F.lit("c").alias("block"), "unit", "component")
+    at = scratch.written(at.join(members.select("unit"), "unit", "left_anti"), "untied")
     whole = at.where(F.col("size") <= cell).select("token", F.lit("").alias("low"), F.lit("").alias("high"), F.lit("").alias("block"), "unit", "component")
     # Beyond a cell's size: components above that size have blocks of their own, the others share blocks.
     large = at.where(F.col("size") > cell)
@@ -306,7 +316,7 @@ def _last_cells(shared: DataFrame, nodes: DataFrame, cell: int, scratch: Scratch
     blocks = named.groupBy("token", F.col("block").alias("other")).agg(F.first("alone").alias("other_alone"))
     meet = named.join(blocks, "token").where("alone is null or other_alone is null or alone <> other_alone")
     meet = meet.select("token", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "unit", "component")
-    return whole.unionByName(meet)
+    return clusters.unionByName(whole).unionByName(meet)
 
 
 def joined(docs: DataFrame, found: DataFrame, percent: int, words: int, seed: int, scratch: Scratch, known=None, cell: int = CELL) -> DataFrame:
@@ -323,8 +333,12 @@ def joined(docs: DataFrame, found: DataFrame, percent: int, words: int, seed: in
     prefixes = _coded(docs, words, seed, order, percent).groupBy("digest").agg(F.first("codes").alias("codes")).join(units.select("digest", "unit", "n"), "digest")
     shared = scratch.written(_shared(prefixes.select("unit", "n", F.explode("codes").alias("token"))), "shared")
     least = F.expr(f"1 + ((n * {percent} + 99) div 100) * {MEETING} div 100")  # meeting() of the smallest partner
-    able = shared.groupBy("unit").agg(F.count("*").alias("times"), F.first("n").alias("n")).where(F.col("times") >= least).select("unit")
-    shared = scratch.written(_shared(shared.join(able, "unit", "left_semi")), "shared")
+    able = shared.groupBy("unit").agg(F.count("*").alias("times"), F.first("n").alias("n")).where(F.col("times") >= least)
+    shared = scratch.written(_shared(shared.join(able.select("unit", (F.col("times") - least).alias("spare")), "unit")), "shared")
+    # Similar sets have `least` of these in common, so one of them is among each set's rarest but so many.
+    often = shared.groupBy("token").agg(F.count("*").alias("often"))
+    rare = shared.join(often, "token").withColumn("place", F.row_number().over(Window.partitionBy("unit").orderBy("often", "token")))
+    shared = scratch.written(_shared(rare.where(F.col("place") <= F.col("spare") + 1)), "shared")
     needed = scratch.written(shared.select("unit").distinct().join(units, "unit").select("unit", "digest", "key"), "needed")
     sets = _coded(docs.join(small(needed.select("key").distinct()), "key", "left_semi"), words, seed, order, None)
     sets = scratch.written(sets.join(needed.select("unit", "digest"), "digest").dropDuplicates(["unit"]).select("unit", "codes"), "sets")
