@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import numpy as np
-import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -63,51 +62,6 @@ def rasterized(segments: DataFrame, grid: Lattice) -> DataFrame:
     return px.groupBy("row", F.col("col").cast("int").alias("col")).agg(F.max("feature_id").cast("int").alias("label"))
 
 
-def outlines(labels: DataFrame, grid: Lattice) -> DataFrame:
-    """row, col, label -> label, rings json: the borders of each label's pixels, outer rings and holes.
-
-    Border edges come from neighbours that differ; an object's edges are chained in one task.
-    """
-    sides = F.array(*[
-        F.struct(F.lit(dr).alias("dr"), F.lit(dc).alias("dc"), *[F.lit(v).alias(k) for k, v in zip(("r0", "c0", "r1", "c1"), e)])
-        for dr, dc, e in ((-1, 0, (0, 0, 0, 1)), (0, 1, (0, 1, 1, 1)), (1, 0, (1, 1, 1, 0)), (0, -1, (1, 0, 0, 0)))
-    ])
-    own = labels.where("label > 0").select("row", "col", "label")
-    near = own.select("row", "col", "label", F.explode(sides).alias("s"))
-    near = near.select("label", (F.col("row") + F.col("s.dr")).alias("row"), (F.col("col") + F.col("s.dc")).alias("col"), *[(F.col("row" if k[0] == "r" else "col") + F.col(f"s.{k}")).alias(k) for k in ("r0", "c0", "r1", "c1")])
-    border = near.join(own, ["row", "col", "label"], "left_anti").select("label", "r0", "c0", "r1", "c1")
-
-    def chain(table: pa.Table) -> pa.Table:
-        import json
-
-        nxt: dict = {}
-        for r0, c0, r1, c1 in zip(*(table.column(k).to_pylist() for k in ("r0", "c0", "r1", "c1"))):
-            nxt.setdefault((r0, c0), []).append((r1, c1))
-        rings = []
-        while nxt:
-            start = at = min(nxt)
-            ring, way = [start], None
-            while True:
-                options = nxt[at]
-                # At a corner where two pixels touch, turn right: parts that only touch stay apart.
-                options.sort(key=lambda p: 0 if way is None else -(way[1] * (p[0] - at[0]) - way[0] * (p[1] - at[1])))  # noqa: B023
-                to = options.pop(0)
-                if not options:
-                    del nxt[at]
-                step = (to[0] - at[0], to[1] - at[1])
-                if way == step:
-                    ring[-1] = to
-                else:
-                    ring.append(to)
-                at, way = to, step
-                if at == start:
-                    break
-            rings.append([[grid.extent.west + c * grid.step, grid.extent.north - r * grid.step] for r, c in ring])
-        return pa.table({"label": table.column("label")[:1], "rings": [json.dumps(rings)]})
-
-    return border.groupBy("label").applyInArrow(chain, "label int, rings string")
-
-
 def area_of(ring: list) -> float:
     """Signed area of a closed ring."""
     p = np.array(ring)

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from ..operators import focal, neighbours, vector
 from ..operators.grid import sheet
+from ..operators.outlines import outlines as outlines_of
 from . import query
 from .inputs import r4
 
@@ -158,7 +159,7 @@ def precedence(i):
 @query("r06_outlines")
 def outlines(i):
     """Borders of the labelled objects as rings."""
-    return vector.outlines(i.lpx.select("row", "col", "label"), G)
+    return outlines_of(i.lpx.select("row", "col", "label"), G)
 
 
 @query(

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from orewise.functions import classes, columns, geo
 from orewise.operators import focal, modelling, neighbours, resample, thermal, tiles, validation, vector, zonal
 from orewise.operators.components import labelled
+from orewise.operators.outlines import outlines
 from orewise.operators.grid import Extent, Lattice, around, sheet
 from orewise.plans import inventory as plans
 from orewise.sources import jobs, synthetic
@@ -157,7 +158,7 @@ def test_polygons(spark):
 def test_outlines_have_the_pixels_area(spark):
     a = np.full((12, 12), np.nan)
     a[2:8, 3:9], a[4, 5], a[8, 9] = 1, np.nan, 1
-    r = vector.outlines(frame(spark, a).select("row", "col", F.col("v").cast("int").alias("label")), sheet(12, 12)).first()
+    r = outlines(frame(spark, a).select("row", "col", F.col("v").cast("int").alias("label")), sheet(12, 12)).first()
     assert abs(sum(vector.area_of(x) for x in json.loads(r.rings))) == np.nansum(a == 1)
 
 
