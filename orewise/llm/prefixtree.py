@@ -280,10 +280,10 @@ def _shared(postings: DataFrame) -> DataFrame:
 
 
 def _first_cells(shared: DataFrame, cell: int) -> DataFrame:
-    """Each unit at three of its shared shingles, by their hashes; a shingle's units in blocks that don't meet."""
+    """Each unit at two of its shared shingles, those of least and greatest hash; a shingle's units in blocks that don't meet."""
     hashed = shared.select("token", "unit", "n", F.struct(F.xxhash64("token").alias("h"), "token").alias("by"))
-    parts = hashed.groupBy("unit").agg(F.min("by").alias("b1"), F.max("by").alias("b2"), F.min(F.struct(F.xxhash64("token", F.lit(1)).alias("h"), "token")).alias("b3"), F.first("n").alias("n"))
-    picked = parts.select("unit", "n", F.explode(F.array_distinct(F.array("b1.token", "b2.token", "b3.token"))).alias("token"))
+    parts = hashed.groupBy("unit").agg(F.min("by").alias("b1"), F.max("by").alias("b2"), F.first("n").alias("n"))
+    picked = parts.select("unit", "n", F.explode(F.array_distinct(F.array("b1.token", "b2.token"))).alias("token"))
     blocks = picked.groupBy("token").agg(F.ceil(F.sum("n") / cell).alias("blocks"), F.count("*").alias("units")).where("units > 1")
     dealt = picked.join(blocks, "token").select("token", "unit", F.pmod(F.xxhash64("unit", "token"), F.col("blocks")).cast("string").alias("block"))
     return dealt.select("token", F.col("block").alias("low"), F.col("block").alias("high"), "block", "unit", F.col("unit").alias("component"))
