@@ -38,6 +38,11 @@ def bits_clear(qa: Column, mask: int = DEFAULT.qa_reject) -> Column:
     return qa.bitwiseAND(F.lit(mask)) == 0
 
 
+def bit_field(flags: Column, first: int, width: int) -> Column:
+    """The number in width bits of a flag word, from bit `first` on; null for null."""
+    return F.shiftrightunsigned(flags.cast("long"), first).bitwiseAND(F.lit((1 << width) - 1)).cast("int")
+
+
 def clear_class(scl: Column) -> Column:
     """Scene classes other than shadow, clouds, cirrus and snow."""
     return ~scl.isin(3, 8, 9, 10, 11)

@@ -49,6 +49,57 @@ def stratified(rows: DataFrame, by: str, most: int, keys: list[str]) -> DataFram
     return near.withColumn("_k", F.row_number().over(order)).where(F.col("_k") <= most).drop("_k", "_h", "_n")
 
 
+#: Parts in which a class's least hashes are first ranked.
+_PARTS = 64
+
+
+def least_hashes(rows: DataFrame, by: str, most: int, keys: list[str], seed: int = 42) -> DataFrame:
+    """The `most` rows of each class of least md5 of their keys: a sample that any two tasks' samples merge into.
+
+    Each task keeps the least of what it reads, parts of them are ranked apart, then the rest: no task
+    ranks a whole class. Keys are unique within a class (equal rows may otherwise stand for each
+    other); ties of hashes are in the order of the keys. A null class is a class, fewer rows are all kept.
+    """
+    import pyarrow as pa
+    import pyarrow.compute  # noqa: F401
+
+    name = F.md5(F.concat_ws(":", F.lit(seed), *[F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys]))
+    hashed = rows.withColumn("_h", name)
+
+    def run(batches):
+        held: dict = {}
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            for kind in table.column(by).unique():
+                own = table.filter(pa.compute.equal(table.column(by), kind) if kind.is_valid else pa.compute.is_null(table.column(by)))
+                both = pa.concat_tables([held[kind], own]) if kind in held else own
+                held[kind] = both.sort_by([("_h", "ascending"), *[(k, "ascending") for k in keys]]).slice(0, most)
+        for table in held.values():
+            yield from table.to_batches()
+
+    near = hashed.mapInArrow(run, hashed.schema)
+    order = ["_h", *keys]
+    ranked = lambda df, *part: df.withColumn("_n", F.row_number().over(Window.partitionBy(by, *part).orderBy(*order))).where(F.col("_n") <= most).drop("_n")
+    part = F.pmod(F.xxhash64("_h"), F.lit(_PARTS))
+    return ranked(ranked(near.withColumn("_p", part), "_p").drop("_p")).drop("_h")
+
+
+def mosaic_out_of_fold(px: DataFrame, sample: DataFrame, features: list[str], label: str, folds: int, rounds: int = 20, seed: int = 42) -> DataFrame:
+    """px(row, col, fold, features), sample of such rows with label -> row, col, fold, pred: every pixel by a model that saw none of its fold.
+
+    A model a fold is fitted on the sample without that fold. Each pixel is read once for its own
+    fold's model, predictions below 0 count as 0, and the folds' parts lie side by side. Pixels with a
+    missing feature have no prediction.
+    """
+    out = None
+    held = written(sample)
+    for k in range(folds):
+        model = fitted(held.where(F.col("fold") != k), features, label, rounds, seed)
+        part = model.transform(px.where(F.col("fold") == k)).select("row", "col", "fold", F.greatest("pred", F.lit(0.0)).alias("pred"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 def line(df: DataFrame, x: str, y: str, by: list[str] | None = None, sigmas: float = 2.5, least: int = 10) -> DataFrame:
     """Robust y = a x + b: fitted again without residuals beyond so many sigmas; below least rows a = 0 and b is the mean."""
     by = by or []

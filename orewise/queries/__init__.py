@@ -26,4 +26,4 @@ def query(name: str, sql: str | None = None, uses: str = ""):
 
 
 def load() -> None:
-    from . import fits, joins, objects, pixels, sheets, sites, sources, thermal, variants  # noqa: F401
+    from . import fits, joins, objects, pixels, sheets, sites, sources, studies, thermal, variants  # noqa: F401

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from ..operators import modelling, resample, vector
@@ -190,7 +192,6 @@ def csv(i):
 @query("k08_run_tables", "SELECT commodity, count(*) AS n, sum(volume) AS volume FROM stock WHERE pile_id % 2 = 0 GROUP BY commodity", "stock")
 def run_tables(i):
     """Runs appended to a table by day; one day is read."""
-    import uuid
 
     path = f"{shared_dir(i.spark)}/orewise/sites/runs-{uuid.uuid4().hex}"
     day = F.when(F.col("pile_id") % 2 == 0, "2025-05-01 10:00:00").otherwise("2025-05-02 10:00:00").cast("timestamp")
@@ -217,6 +218,26 @@ def forest(i):
     return modelling.downscaled(coarse, i.px, ["blue", "green", "red"], 4, kind="rf", rounds=60).select("row", "col", r4("lst").alias("lst"))
 
 
+def _app(i):
+    """Pixels of the app: bands, height, fold and class."""
+    return modelling.spatial_folds(i.lpx.where("h is not null"), sheet(96, 96, 10.0)).withColumn("class", (F.col("label") > 0).cast("int"))
+
+
+@query("g05_sample", "SELECT class, row, col FROM (SELECT *, row_number() OVER (PARTITION BY class ORDER BY md5('42:' || row || ':' || col), row, col) AS n FROM (SELECT *, (label > 0)::INT AS class FROM lpx WHERE h IS NOT NULL)) WHERE n <= 1500", "lpx")
+def app_sample(i):
+    """1,500 pixels of each class: those of least hash, merged from all tasks' least."""
+    px = i.lpx.where("h is not null").withColumn("class", (F.col("label") > 0).cast("int"))
+    return modelling.least_hashes(px, "class", 1_500, ["row", "col"]).select("class", "row", "col")
+
+
+@query("g05_mosaic")
+def app_mosaic(i):
+    """Heights of every pixel by the model that didn't see its fold."""
+    px = written(_app(i))
+    drawn = modelling.least_hashes(px, "class", 1_500, ["row", "col"])
+    return modelling.mosaic_out_of_fold(px, drawn, ["blue", "green", "red", "nir"], "h", 5, rounds=5).select("row", "col", "fold", r4("pred").alias("pred"))
+
+
 @query("g05_stratified", "SELECT label % 3 AS class, least(count(*), 1500) AS n FROM lpx GROUP BY 1", "lpx")
 def stratified(i):
     """At most 1,500 pixels a class, by hash."""

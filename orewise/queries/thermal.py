@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..operators import modelling, thermal
+from ..sources import catalog
 from . import query
 from .inputs import r4
 
@@ -147,6 +148,26 @@ def day_and_night(i):
     return e.withColumn("n", n).where("n <= 12").select("event_id", "night")
 
 
+@query(
+    "s12_station_passes",
+    f"""WITH px AS (SELECT date_trunc('hour', ts) AS scene_ts, ts, (user_id % 64)::INT AS row, (event_id % 64)::INT AS col, value + 273.15 AS kelvin, (event_id * 7) % 65536 AS qc, ((event_id // 3) % 5 = 0)::INT AS cloud FROM events),
+g AS (SELECT *, coalesce(qc % 4 <= 1 AND cloud = 0 AND kelvin IS NOT NULL, false) AS good FROM px),
+s AS (SELECT scene_ts, min(ts) AS ts, avg(good::INT) AS clear FROM g GROUP BY scene_ts HAVING avg(good::INT) > 0.3),
+k AS (SELECT *, row_number() OVER (PARTITION BY hour(ts) BETWEEN 7 AND 17 ORDER BY ts, scene_ts) AS n FROM s WHERE hour(ts) BETWEEN 7 AND 17 OR hour(ts) >= 19 OR hour(ts) <= 4)
+SELECT strftime(k.scene_ts, '%Y-%m-%d %H') AS scene, ((hour(k.ts) + 1) % 24 < 6 OR (hour(k.ts) + 1) % 24 >= 20) AS night, row, col, {R('k.clear')} AS clear, {R('kelvin - 273.15')} AS lst
+FROM g JOIN k USING (scene_ts) WHERE good AND n <= 40""",
+)
+def station_passes(i):
+    """Night and day passes in degrees C, graded by two bits of a quality word: an hour of events is a scene."""
+    e = i.table("events")
+    px = e.select(
+        F.date_trunc("hour", "ts").alias("scene_id"), "ts", (F.col("user_id") % 64).cast("int").alias("row"), (F.col("event_id") % 64).cast("int").alias("col"),
+        (F.col("value") + 273.15).alias("kelvin"), (F.col("event_id") * 7 % 65536).alias("qc"), (F.floor(F.col("event_id") / 3) % 5 == 0).cast("int").alias("cloud"),
+    )
+    out = catalog.station_passes(px, 80, 0.3)
+    return out.select(F.date_format("scene_id", "yyyy-MM-dd HH").alias("scene"), "night", "row", "col", r4("clear").alias("clear"), r4("lst").alias("lst"))
+
+
 @query("s14_clear_scenes", f"SELECT date::VARCHAR AS date, {R('avg((lst > 30)::INT)')} AS clear FROM obs GROUP BY date HAVING avg((lst > 30)::INT) > 0.6 ORDER BY date LIMIT 20", "obs")
 def clear_scenes(i):
     """The first scenes that are mostly clear."""

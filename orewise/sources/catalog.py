@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ..functions.columns import bits_clear, clear_class, known, landsat_celsius
+from ..functions.columns import bit_field, bits_clear, clear_class, known, landsat_celsius
 from .tables import ingested
 
 
@@ -50,6 +50,26 @@ def landsat(*collections: DataFrame, most: int = 24) -> DataFrame:
     return clear.withColumn("lst", known(landsat_celsius(F.col("st")))).drop("st", "qa")
 
 
+def station_passes(pixels: DataFrame, most: int = 30, least_clear: float = 0.0) -> DataFrame:
+    """pixels(scene_id, ts, row, col, kelvin, qc, cloud) -> scene_id, date, night, clear, row, col, lst in degrees C.
+
+    The two lowest bits of qc grade a pixel: 0 and 1 are used; a cloud flag other than 0, or any null
+    among these, isn't clear. Scenes of the day (7 to 17 h) and of the night (from 19 h, to 4 h) are taken
+    apart, half of `most` each by time, so that neither crowds out the other; night is by local
+    time, an hour ahead. A scene whose share of clear pixels isn't above least_clear is left out.
+    """
+    good = F.coalesce((bit_field(F.col("qc"), 0, 2) <= 1) & (F.col("cloud") == 0) & F.col("kelvin").isNotNull(), F.lit(False))
+    px = pixels.withColumn("good", good)
+    scenes = px.groupBy("scene_id").agg(F.min("ts").alias("ts"), F.avg(F.col("good").cast("double")).alias("clear")).where(F.col("clear") > least_clear)
+    hour = F.hour("ts")
+    part = F.when(hour.between(7, 17), "day").when((hour >= 19) | (hour <= 4), "night")
+    first = Window.partitionBy("part").orderBy("ts", "scene_id")
+    taken = scenes.withColumn("part", part).where("part is not null").withColumn("_n", F.row_number().over(first)).where(F.col("_n") <= most // 2)
+    local = (hour + 1) % 24
+    taken = taken.select("scene_id", F.to_date("ts").alias("date"), ((local < 6) | (local >= 20)).alias("night"), "clear")
+    return px.where("good").join(F.broadcast(taken), "scene_id").select("scene_id", "date", "night", "clear", "row", "col", (F.col("kelvin") - 273.15).alias("lst"))  # taken: at most `most` rows
+
+
 def best_scene(scenes: DataFrame, date: str, days: int, clouds: float = 20.0) -> DataFrame:
     """The nearest clear scene to a date: scenes(scene_id, date, cloud)."""
     apart = F.abs(F.datediff("date", F.lit(date)))
