@@ -116,8 +116,18 @@ NOTICE = (
     r"(?m)^[^A-Za-z0-9\n(©]*(?:(?i:copyright)[ \t:,]*(?:\((?i:c)\)|©|(?:19|20)[0-9]{2})|C(?:opyright|OPYRIGHT)[ \t:,]+(?!(?i:" + NO_HOLDER + r")(?![A-Za-z0-9]))(?=[^\n]*[A-Za-z0-9\x{80}-\x{10FFFF}])"
     r"|\((?i:c)\)[ \t]*(?=(?:19|20)[0-9]{2})|©)[^\n]*?(?=$|(?i:" + BEGINS + "))"
 )
+#: A notice's second line.
+RESERVED = r"(?mi)^[^A-Za-z0-9\n]*all[ \t]+rights[ \t]+reserved[^A-Za-z0-9\n]*$"
 #: The registered SQL's expression, which takes every line that begins with the word; they agree where all such lines are notices.
-COPYRIGHT_LINE = r"(?m)^[^a-z0-9\n]*(copyright|\(c\)|©)[^\n]*$"
+COPYRIGHT_LINE = r"(?m)^[^a-z0-9\n]*(?:(?:copyright|\(c\)|©)[^\n]*|all[ \t]+rights[ \t]+reserved[^a-z0-9\n]*)$"
+#: In canonical texts with this word: numbers of conditions go, and who is named in the third one and in the disclaimer is the holder.
+SLOTS_IN = "redistributions"
+SLOTS = [
+    (r"(^| )[0-9a-z] (redistributions (?:of|in) |neither the name of )", r"\1\2"),
+    (r"neither the name of (?:[^ ]+ ){1,12}?nor the names of its contributors", "neither the name of the copyright holder nor the names of its contributors"),
+    (r"is provided by (?:[^ ]+ ){1,12}?and contributors as is", "is provided by the copyright holders and contributors as is"),
+    (r"in no event shall (?:[^ ]+ ){1,12}?or contributors be liable", "in no event shall the copyright holder or contributors be liable"),
+]
 #: A title above a licence whose text doesn't have it.
 TITLE = r"^(?:the )?(?:mit|isc|expat|bsd|bsd 2 clause|bsd 3 clause|new bsd|simplified bsd|modified bsd)(?: (?:simplified|new|revised|or|mit|x11))* license(?: (?:mit|isc|expat|x11|bsd))? (?=permission |redistribution )"
 #: What the canonical form keeps; all else but the ends of lines is a space.
@@ -137,6 +147,7 @@ def _lines(text: Column) -> Column:
     ascii_only = F.length(text) == F.octet_length(text)
     small = F.lower(text)
     out = F.when(small.contains("copyright") | small.contains("(c)") | text.contains("©"), F.regexp_replace(text, NOTICE, "")).otherwise(text)
+    out = F.when(small.contains("reserved"), F.regexp_replace(out, RESERVED, "")).otherwise(out)
     out = F.when(ascii_only, F.lower(out)).otherwise(F.translate(out, _UPPER, _LOWER))  # the same letters, faster
     out = F.concat(F.lit(" "), F.regexp_replace(out, rf"[^{KEPT}\n]+", "  "), F.lit(" "))
     out = F.replace(out, F.lit("\n"), F.lit(" \n "))
@@ -144,7 +155,12 @@ def _lines(text: Column) -> Column:
 
 
 def _plain(words: Column) -> Column:
-    return F.replace(F.trim(words), F.lit("  "), F.lit(" "))
+    """Words one space apart, conditions and holders in their canonical form."""
+    out = F.replace(F.trim(words), F.lit("  "), F.lit(" "))
+    filled = out
+    for found, to in SLOTS:
+        filled = F.regexp_replace(filled, found, to.replace("\\", "$"))
+    return F.when(out.contains(SLOTS_IN), filled).otherwise(out)
 
 
 def _whole(lines: Column) -> Column:
@@ -157,9 +173,10 @@ def canonical(text: Column) -> Column:
     """The canonical form: '' for a text without letters and digits, null for null.
 
     ASCII letters are lower-cased and other characters kept, so that two texts in another
-    script never meet. Only copyright notices and titles of licences that are published
-    without one go: sentences of a licence stay however they are wrapped. Spellings are
-    those of whole words, each for itself.
+    script never meet. Only copyright notices ("All rights reserved" too, on a line of its own) and titles of
+    licences that are published without one go: sentences of a licence stay however they are
+    wrapped. Spellings are those of whole words, each for itself. In texts with conditions of
+    redistribution, these may be numbered, lettered or bulleted, and the holder may be named (12 words at most).
     """
     return _whole(_lines(text))
 
@@ -218,7 +235,12 @@ def _sql_canonical(text: str) -> str:
     for a, b in PHRASES.items():
         out = f"replace({out}, ' {a.replace(' ', '  ')} ', ' {b.replace(' ', '  ')} ')"
     title = TITLE.replace("(?=permission |redistribution )", "(permission |redistribution )")
-    return f"regexp_replace(trim(replace({out}, '  ', ' ')), '{title}', '\\1')"
+    out = f"trim(replace({out}, '  ', ' '))"
+    filled = "x"
+    for found, to in SLOTS:
+        filled = f"regexp_replace({filled}, '{found}', '{to}', 'g')"
+    out = f"list_transform([{out}], lambda x: CASE WHEN contains(x, '{SLOTS_IN}') THEN {filled} ELSE x END)[1]"
+    return f"regexp_replace({out}, '{title}', '\\1')"
 
 
 def scan_sql() -> str:
