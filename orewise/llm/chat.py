@@ -21,6 +21,8 @@ from .common import small, written
 PART_TURNS = 512
 SYSTEM = "system"
 START, END = "<|im_start|>", "<|im_end|>\n"
+#: How marks within a text or a name begin, and what stands for that in a rendering, so that no text ends its turn or opens another.
+MARK, BROKEN = "<|im_", "<| im_"
 
 
 def _ranked_small(turns: DataFrame) -> DataFrame:
@@ -64,13 +66,13 @@ def rotate(turns: DataFrame, part_turns: int = PART_TURNS) -> DataFrame:
     mask an array of (start, end) within the whole rendering: the texts of the speaker's own
     turns with their end marks. Turns are in the order (turn, role, text), nulls first, so
     ties and repeated rows have a place. A null role is the participant "unknown", a null
-    text is empty; rows with a null conv_id are one dialogue. A dialogue of system turns
+    text is empty; rows with a null conv_id are one dialogue. Marks within texts and roles
+    are broken (BROKEN) before anything else, so they are plain text. A dialogue of system turns
     only has no participant and gives no row. An empty table gives none.
     """
     base = turns.select(
         F.col("conv_id").cast("long"), F.col("turn").cast("long"),
-        F.coalesce(F.col("role").cast("string"), F.lit("unknown")).alias("role"),
-        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
+        *[F.replace(F.coalesce(F.col(c).cast("string"), F.lit(empty)), F.lit(MARK), F.lit(BROKEN)).alias(c) for c, empty in (("role", "unknown"), ("text", ""))],
     )
     long = base.groupBy("conv_id").agg(F.count("*").alias("n")).where(F.col("n") > part_turns).select(F.col("conv_id").alias("c"))
     same = F.col("conv_id").eqNullSafe(F.col("c"))
@@ -117,7 +119,7 @@ def rotate_sql(part_turns: int = PART_TURNS) -> str:
     header = f"'{START}' || CASE WHEN role = '{SYSTEM}' THEN role WHEN role = speaker THEN 'assistant' ELSE 'user name=' || role END || chr(10)"
     end = f"'{END[:-1]}' || chr(10)"
     return f"""
-WITH base AS (SELECT conv_id, turn, coalesce(role, 'unknown') AS role, coalesce(text, '') AS text FROM conversations),
+WITH base AS (SELECT conv_id, turn, replace(coalesce(role, 'unknown'), '{MARK}', '{BROKEN}') AS role, replace(coalesce(text, ''), '{MARK}', '{BROKEN}') AS text FROM conversations),
 ranked AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) - 1 AS seq FROM base),
 speakers AS (SELECT DISTINCT conv_id AS c, role AS speaker FROM base WHERE role <> '{SYSTEM}'),
 turned AS (
