@@ -37,6 +37,8 @@ from .simhash import shingle_hashes, simhash
 COUNTED, REPORTED, FREQUENT = 1 << 21, 16, 200_000
 #: Shingles of a cell's sets, and what a trie reads of an edge at a time.
 CELL, EDGE = 2_000_000, 32
+#: Edges of components that one task joins, counted first; more take rounds over many tasks.
+FEW = 100_000
 #: Per cent of a set by which prefixes are longer than one common shingle needs, and which similar sets then share there.
 MEETING = 10
 _SIGNED = pa.int64()
@@ -297,7 +299,7 @@ def _last_cells(shared: DataFrame, nodes: DataFrame, cell: int, scratch: Scratch
     at = scratch.written(at.join(once.select("token", "size"), "token"), "mixed")
     # Units that shingles tie together, if they fit into a cell: each goes there once, not once a shingle.
     first = at.groupBy("token").agg(F.min("unit").alias("hub"))
-    tied = scratch.written(connected_components(at.join(first, "token").select(F.col("unit").alias("u"), F.col("hub").alias("v"))), "tied")
+    tied = scratch.written(connected_components(at.join(first, "token").select(F.col("unit").alias("u"), F.col("hub").alias("v")), few=FEW), "tied")
     members = at.select("unit", "n", F.col("component").alias("own")).distinct().join(tied, at.unit == tied.node).select("unit", "n", F.col("own").alias("component"), F.col("component").alias("cluster"))
     fits = members.groupBy("cluster").agg(F.sum("n").alias("all")).where(F.col("all") <= cell).select("cluster")
     members = scratch.written(members.join(fits, "cluster"), "clusters")
@@ -347,10 +349,10 @@ def joined(docs: DataFrame, found: DataFrame, percent: int, words: int, seed: in
     if known is not None:
         links = links.unionByName(known(units, sets))
     links = scratch.written(links, "first-links")
-    nodes = scratch.written(connected_components(links), "first-components")
+    nodes = scratch.written(connected_components(links, few=FEW), "first-components")
     more = _cells_joined(_last_cells(shared, nodes, cell, scratch), sets, percent)
     links = links.unionByName(scratch.written(more, "last-links"))
-    nodes = connected_components(links)
+    nodes = connected_components(links, few=FEW)
     return units.join(nodes, units.unit == nodes.node).select("digest", "component")
 
 

@@ -53,7 +53,8 @@ def groups(seed, docs=120):
 
 
 @pytest.mark.parametrize("percent, words, cell", [(85, 4, 2_000_000), (85, 4, 700), (80, 5, 60)])
-def test_equals_all_pairs(spark, percent, words, cell):
+def test_equals_all_pairs(spark, percent, words, cell, monkeypatch):
+    monkeypatch.setattr("orewise.llm.prefixtree.FEW", 100_000 if cell != 700 else 5)
     rows = groups(percent + cell)
     found = similar_sets(spark.createDataFrame(rows, SCHEMA), percent, words, cell=cell)
     assert found.columns == ["doc_id", "n_shingles", "component_id"]
@@ -69,6 +70,16 @@ def test_three_hundred_copies_around_the_threshold(spark, cell):
     assert sorted(map(tuple, found.collect()), key=str) == brute(rows, 80, 5)
 
 
+def test_components_with_and_without_rounds(spark):
+    from orewise.llm.components import connected_components
+
+    rng = random.Random(2)
+    edges = [(rng.randrange(400), rng.randrange(400)) for _ in range(260)] + [(7, 7), (900, 901), (901, 900)]
+    df = spark.createDataFrame(edges, "u long, v long")
+    one, many = ({r.node: r.component for r in connected_components(df, few=few).collect()} for few in (1000, 10))
+    assert one == many and connected_components(df.limit(0), few=5).count() == 0
+
+
 def test_order_of_frequent_shingles(spark):
     """Results don't depend on what counts as frequent."""
     import orewise.llm.prefixtree as p
