@@ -352,7 +352,7 @@ def fit(spark: SparkSession, n: int = EXAMPLES) -> Trees:
 
 
 def _apart(base: Column, added: Column) -> Column:
-    """The added spans, by start, that overlap no base span, nor a better neighbour among themselves."""
+    """The added spans, by start, that overlap no base span and don't lie within a better neighbour; others may overlap, so nothing found is lost."""
     known = F.transform(base, lambda b: F.struct(b.start.alias("start"), b.end.alias("end"), F.lit(True).alias("base"), b.kind.alias("kind"), F.lit(1.0).alias("p"), b.start_byte.alias("start_byte"), b.end_byte.alias("end_byte")))
     new = F.transform(added, lambda x: F.struct(x.start.alias("start"), x.end.alias("end"), F.lit(False).alias("base"), x.kind.alias("kind"), x.p.alias("p"), x.start_byte.alias("start_byte"), x.end_byte.alias("end_byte")))
     low, high = F.lit(-1).cast("long"), F.lit(1 << 62)
@@ -364,7 +364,7 @@ def _apart(base: Column, added: Column) -> Column:
         return _let(both, lambda w: F.filter(v, lambda x, i: ~x.base & (w["ends"][i] <= x.start) & (w["starts"][i] >= x.end)))
 
     def best(v: Column) -> Column:
-        worse = lambda x, y: F.coalesce((x.start < y.end) & (y.start < x.end) & ((y.p > x.p) | ((y.p == x.p) & ((y.kind < x.kind) | ((y.kind == x.kind) & (y.start < x.start))))), F.lit(False))
+        worse = lambda x, y: F.coalesce((x.start >= y.start) & (x.end <= y.end) & ((y.p > x.p) | ((y.p == x.p) & ((y.kind < x.kind) | ((y.kind == x.kind) & (y.start < x.start))))), F.lit(False))
         return F.filter(v, lambda x, i: ~worse(x, F.get(v, i - 1)) & ~worse(x, F.get(v, i + 1)))
 
     return _let(_let(F.array_sort(F.concat(known, new)), free), best)
@@ -374,8 +374,8 @@ def find(docs: DataFrame, model: Trees) -> DataFrame:
     """Adds base and spans, both array<struct<kind, start, end, start_byte, end_byte>>, to docs, which must have a text column.
 
     base are the base rules' spans by kind and start; spans are those and the candidates at
-    or above their kind's threshold that overlap no base span, nor, in order of their starts, a
-    better candidate beside them. A null or empty text has none. Rows, their order and their other
+    or above their kind's threshold that overlap no base span, nor lie, in order of their starts, within a
+    better candidate beside them. Added spans that overlap only in part all stay; redact() takes such a run as one. A null or empty text has none. Rows, their order and their other
     columns stay; columns named base, spans or _added are replaced.
     """
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))

@@ -153,3 +153,19 @@ def test_redact_overlaps(spark):
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert pii.find(docs, pii.fit(spark, 300)).count() == 0
+
+
+def test_overlaps_lose_nothing(spark):
+    """What an added span covered is covered by what stays, in chains and when one span holds others."""
+    from orewise.llm.pii import _apart
+
+    span = "struct<kind:int,start:bigint,end:bigint,start_byte:bigint,end_byte:bigint"
+    chain = [(0, 0, 10, 0, 10, 0.82), (1, 8, 20, 8, 20, 0.90), (2, 18, 30, 18, 30, 0.95)]
+    long = [(0, 0, 30, 0, 30, 0.9), (1, 2, 8, 2, 8, 0.8), (2, 12, 18, 12, 18, 0.95), (2, 12, 18, 12, 18, 0.95)]
+    base = [(0, 40, 50, 40, 50)]
+    rows = [([], chain), ([], long), (base, [(1, 45, 60, 45, 60, 0.99), (1, 50, 55, 50, 55, 0.9)])]
+    df = spark.createDataFrame(rows, f"base array<{span}>>, added array<{span},p:double>>")
+    got = [[(x.start, x.end) for x in r[0]] for r in df.select(_apart(F.col("base"), F.col("added"))).collect()]
+    assert got[0] == [(0, 10), (8, 20), (18, 30)]
+    covered = lambda spans: {k for a, b in spans for k in range(a, b)}
+    assert covered(got[1]) == set(range(30)) and got[2] == [(50, 55)]
