@@ -1,4 +1,4 @@
-"""Finer bands from coarse ones: splines, or detail learned from a sharper reference of the same site."""
+"""Finer bands from coarse ones: splines, detail learned from a sharper reference of the same site, or filters trained before."""
 
 from __future__ import annotations
 
@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.tables import written
-from . import tiles
+from . import patches, tiles
 from .distance import distance_inside
 from .modelling import fitted, matched
 from .resample import block_mean, cubic
@@ -56,6 +56,28 @@ def sharpened(coarse: DataFrame, reference: DataFrame, bands: list[str], factor:
     return out
 
 
+#: What each method falls back to, in order.
+ORDER = {"patches": ["patches", "reference", "bicubic"], "reference": ["reference", "bicubic"], "bicubic": ["bicubic"]}
+
+
+def resolved(coarse: DataFrame, bands: list[str], factor: int, grid: tuple[int, int], method: str, reference: DataFrame | None = None, filters: DataFrame | None = None, rounds: int = 10) -> DataFrame:
+    """Fine row, col, bands and the mode taken: the first of the method's order that has what it needs.
+
+    patches needs filters (patches.trained) of all bands at this factor, reference a sharper
+    scene of the site with a known pixel of each band. An unknown method is bicubic.
+    """
+    for mode in ORDER.get(method, ["bicubic"]):
+        if mode == "patches" and patches.held(filters, bands, factor):
+            out = patches.patched(coarse, filters, bands, factor, grid)
+        elif mode == "reference" and reference is not None and not (set(bands) - set(reference.columns)) and all(reference.agg(*[F.count(b) for b in bands]).first()):
+            out = sharpened(coarse, reference, bands, factor, grid, rounds)
+        elif mode == "bicubic":
+            out = bicubic(coarse, bands, factor, grid)
+        else:
+            continue
+        return out.withColumn("mode", F.lit(mode))
+
+
 def polygon_features(labels: DataFrame, res: float, grid: tuple[int, int]) -> DataFrame:
     """Edge distance, the same relative to the object's deepest pixel, and log area of labelled pixels."""
     from pyspark.sql.window import Window

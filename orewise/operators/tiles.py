@@ -133,7 +133,7 @@ def cubic(a: np.ndarray, factor: int) -> np.ndarray:
         n = len(b)
         ring = np.concatenate((b, b[::-1]))  # the mirrored signal repeats
         k = np.arange(2 * n)
-        w = pole ** np.minimum(k, 2 * n - k) * (np.sqrt(3.0))
+        w = (pole**k + pole ** (2 * n - k)) / (1 - pole ** (2 * n)) * np.sqrt(3.0)  # summed over all repeats
         spectrum = np.fft.fft(ring, axis=0) * np.fft.fft(w)[:, None]
         coef = np.fft.ifft(spectrum, axis=0).real[:n]
         at = (np.arange(n * factor) + 0.5) / factor - 0.5

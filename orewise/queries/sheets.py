@@ -7,10 +7,11 @@ many tiles.
 
 from pyspark.sql import functions as F
 
-from ..operators import focal, neighbours, zonal
+from ..operators import focal, neighbours, patches, superres, zonal
 from ..operators.components import labelled
 from ..operators.distance import distance_inside
 from ..operators.outlines import ring_parts
+from ..operators.resample import block_mean
 from ..sources.tables import written
 from . import query
 from .inputs import r4
@@ -164,3 +165,29 @@ def sheet_ground(i):
 def sheet_median(i):
     px, grid = _full(i)
     return focal.median5(px, "v", grid).select("row", "col", r4("median").alias("median"))
+
+
+def _smooth(i):
+    """The sheet as a sharp scene: its values blurred by a pixel."""
+    px, grid = _full(i)
+    return written(focal.gaussian(px, "v", 1.0, grid).withColumnRenamed("smooth", "v").select("row", "col", "v")), grid
+
+
+@query("m10_sheet_patches")
+def sheet_patches(i):
+    """The sheet at a quarter of its resolution, sharpened by filters trained on the sheet itself."""
+    sharp, (n, _) = _smooth(i)
+    small = (n // 4, n // 4)
+    filters = patches.trained(sharp, ["v"], 4, small)
+    out = superres.resolved(block_mean(sharp, ["v"], 4), ["v"], 4, small, "patches", filters=filters)
+    return out.select("row", "col", "mode", r4("v").alias("v"))
+
+
+@query("m10_sheet_scores")
+def sheet_scores(i):
+    """Errors of splines and of filters that were fitted without the scored pixels' blocks of 16 coarse cells."""
+    sharp, (n, _) = _smooth(i)
+    folds = i.spark.range((n // 4) ** 2).select((F.col("id") / (n // 4)).cast("int").alias("row"), (F.col("id") % (n // 4)).cast("int").alias("col"))
+    folds = folds.withColumn("fold", ((F.floor(F.col("row") / 16) * 3 + F.floor(F.col("col") / 16)) % 5).cast("int"))
+    out = patches.scored(sharp, ["v"], 4, (n // 4, n // 4), folds)
+    return out.select("band", "n", *[r4(c).alias(c) for c in ("rmse_bicubic", "rmse_sr", "improvement_pct")])
