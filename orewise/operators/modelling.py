@@ -29,10 +29,15 @@ def hashed_fold(x: Column, y: Column, block_m: float = 150.0, folds: int = 5) ->
 
 
 def balanced(df: DataFrame, stratum: Column, each: int, keys: list[str], seed: int = 42) -> DataFrame:
-    """Up to each rows of every stratum, drawn without replacement by hash."""
+    """Up to each rows of every stratum, drawn without replacement by hash.
+
+    Parts of a stratum are ranked first and what they keep then, so no task ranks a whole one.
+    """
     h = F.xxhash64(F.lit(seed), *keys)
-    n = F.row_number().over(Window.partitionBy("_s").orderBy(h, *keys))
-    return df.withColumn("_s", stratum).withColumn("_n", n).where(F.col("_n") <= each).drop("_s", "_n")
+    df = df.withColumn("_s", stratum)
+    for group in (["_s", F.pmod(h, F.lit(_PARTS))], ["_s"]):
+        df = df.withColumn("_n", F.row_number().over(Window.partitionBy(*group).orderBy(h, *keys))).where(F.col("_n") <= each).drop("_n")
+    return df.drop("_s")
 
 
 def stratified(rows: DataFrame, by: str, most: int, keys: list[str]) -> DataFrame:

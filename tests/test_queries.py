@@ -11,6 +11,7 @@ from orewise import queries as yard
 
 yard.load()
 SF = "/root/testdata/sf0.001"
+MODELS = {"m02_spatial_folds", "m03_balanced_sample", "m04_out_of_fold", "m04_random_forest", "m20_downscaled", "g12_forest_downscaled"}
 
 
 @pytest.fixture(scope="module")
@@ -36,7 +37,7 @@ def test_sql(spark, con, name):
     assert rows(got) == rows(want)
 
 
-@pytest.mark.parametrize("name", sorted(q for q in set(yard.QUERIES) - set(yard.SQL) - {"m04_out_of_fold", "m04_random_forest"} if "_sheet_" not in q))  # those: test_sheets
+@pytest.mark.parametrize("name", sorted(q for q in set(yard.QUERIES) - set(yard.SQL) - MODELS if "_sheet_" not in q))  # those: test_models, test_sheets
 def test_runs(spark, name):
     assert yard.QUERIES[name](spark, SF).count() >= 0
 
