@@ -50,21 +50,27 @@ def majority_overlap(objects: DataFrame, covered: DataFrame, share: float = 0.5)
 
 
 def as_of(left: DataFrame, right: DataFrame, on: str, at: str, right_at: str, days: int, rank: list[Column]) -> DataFrame:
-    """For each left row the right one within days that is least by |time difference|, then rank.
+    """For each distinct left row the right one within days that is least by |time difference|, then rank (columns of right).
 
-    The interval join is by whole windows of time: a right row goes to its window and the
-    two beside it, so the join is an equi-join whatever the tables' sizes.
+    Right rows of one key and day are equally far from whatever asks, so only the first of them by rank is kept, and
+    left rows of one key and day get one answer: what meets is keys and days, however many rows
+    they have. They meet by whole windows of time: a right day goes to its window and the two beside
+    it, so that is an equi-join of at most 3 * days right days for each left one.
     """
-    span = lambda c: F.floor(F.datediff(c, F.lit("1970-01-01")) / days)
-    l = left.withColumn("_w", span(F.col(at)))  # noqa: E741
+    day = lambda c: F.datediff(c, F.lit("1970-01-01"))
+    span = lambda c: F.floor(c / days)
+    l = left.distinct().withColumns({"_on": F.col(on), "_day": day(F.col(at))})  # noqa: E741
     names = {c: f"_{c}" for c in right.columns if c in left.columns}
-    r = right.withColumns({"_on": F.col(on)}).select(*[F.col(c).alias(names.get(c, c)) for c in right.columns], "_on")
-    t = F.col(names.get(right_at, right_at))
-    r = r.withColumn("_w", F.explode(F.array(*[span(t) + k for k in (-1, 0, 1)])))
-    apart = F.abs(F.datediff(t, F.col(at)))
-    both = l.join(r, (l[on] == r["_on"]) & (l["_w"] == r["_w"])).drop("_w", "_on").withColumn("apart", apart).where(F.col("apart") <= days)
-    keys = Window.partitionBy(*left.columns).orderBy("apart", *rank)
-    return both.withColumn("_n", F.row_number().over(keys)).where("_n = 1").drop("_n")
+    r = right.withColumns({"_ron": F.col(on)}).select(*[F.col(c).alias(names.get(c, c)) for c in right.columns], "_ron")
+    r = r.withColumn("_rday", day(F.col(names.get(right_at, right_at)))).where("_ron is not null and _rday is not null")
+    first = Window.partitionBy("_ron", "_rday").orderBy(*rank)
+    r = r.withColumn("_n", F.row_number().over(first)).where("_n = 1").drop("_n")
+    r = r.withColumn("_w", F.explode(F.array(*[span(F.col("_rday")) + k for k in (-1, 0, 1)])))
+    asked = l.select("_on", "_day").distinct().withColumn("_w", span(F.col("_day")))
+    both = asked.join(r, (asked["_on"] == r["_ron"]) & (asked["_w"] == r["_w"])).drop("_w", "_ron").withColumn("apart", F.abs(F.col("_rday") - F.col("_day"))).where(F.col("apart") <= days)
+    nearest = Window.partitionBy("_on", "_day").orderBy("apart", *rank)
+    best = both.withColumn("_n", F.row_number().over(nearest)).where("_n = 1").drop("_n", "_rday")
+    return l.join(best, ["_on", "_day"]).drop("_on", "_day")
 
 
 def new_outlines(candidates: DataFrame, existing: DataFrame, most: float = 0.3) -> DataFrame:
