@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..sources.tables import written
 from . import tiles
 
 
@@ -50,27 +55,45 @@ def spread(px: DataFrame, shape: list[tuple[int, int]]) -> DataFrame:
     )
 
 
+def _moved(a: np.ndarray, shape: list[tuple[int, int]], pick: Callable) -> np.ndarray:
+    """pick over the array moved by each offset; unset outside it."""
+    n = max(max(abs(r), abs(c)) for r, c in shape)
+    b = np.pad(a, n)
+    out = None
+    for r, c in shape:
+        part = b[n - r : n - r + a.shape[0], n - c : n - c + a.shape[1]]
+        out = part.copy() if out is None else pick(out, part, out=out)
+    return out
+
+
+def _morphed(mask: DataFrame, shape: list[tuple[int, int]], steps: list[Callable]) -> DataFrame:
+    """The steps (np.logical_and erodes, np.logical_or dilates) one after another, in tiles with a halo that they don't reach across."""
+
+    def kernel(a):
+        for pick in steps:
+            a = _moved(a, shape, pick)
+        return a
+
+    return tiles.mask_by_tile(mask, kernel, len(steps) * max(max(abs(r), abs(c)) for r, c in shape))
+
+
 def dilated(mask: DataFrame, shape: list[tuple[int, int]]) -> DataFrame:
     """mask(row, col) of set pixels -> set pixels after dilation."""
-    return spread(mask.select("row", "col"), shape).select("row", "col").distinct()
+    return _morphed(mask, shape, [np.logical_or])
 
 
 def eroded(mask: DataFrame, shape: list[tuple[int, int]]) -> DataFrame:
     """Pixels whose whole neighbourhood is set; outside counts as unset."""
-    near = spread(mask.select("row", "col").distinct(), shape).groupBy("row", "col").count()
-    return near.where(F.col("count") == len(shape)).select("row", "col")
+    return _morphed(mask, shape, [np.logical_and])
 
 
 def opened(mask: DataFrame, shape: list[tuple[int, int]], times: int = 1) -> DataFrame:
     """Erosions, then as many dilations."""
-    for step in (eroded, dilated):
-        for _ in range(times):
-            mask = step(mask, shape)
-    return mask
+    return _morphed(mask, shape, [np.logical_and] * times + [np.logical_or] * times)
 
 
 def closed(mask: DataFrame, shape: list[tuple[int, int]]) -> DataFrame:
-    return eroded(dilated(mask, shape), shape)
+    return _morphed(mask, shape, [np.logical_or, np.logical_and])
 
 
 def focal(px: DataFrame, shape: list[tuple[int, int]], value: str, **aggs) -> DataFrame:
@@ -92,18 +115,18 @@ def stencil(px: DataFrame, value: str, weights: dict[tuple[int, int], float], ou
 LAPLACIAN = {(0, 0): -4, (0, 1): 1, (0, -1): 1, (1, 0): 1, (-1, 0): 1}
 
 
-def gaussian(px: DataFrame, value: str, sigma: float, grid: tuple[int, int], out: str = "smooth", by: tuple[str, ...] = ()) -> DataFrame:
-    """Gaussian blur, of each layer (by) apart; missing pixels count as zero."""
-    return tiles.by_tile(px, lambda a: tiles.gauss(tiles.filled(a), sigma), [value], {out: "double"}, grid, tiles.gauss_radius(sigma), by=by)
+def gaussian(px: DataFrame, value: str, sigma: float, grid: tuple[int, int], out: str = "smooth", by: tuple[str, ...] = (), absent: float | None = None) -> DataFrame:
+    """Gaussian blur, of each layer (by) apart; missing pixels count as zero. absent as in tiles.by_tile, here and below."""
+    return tiles.by_tile(px, lambda a: tiles.gauss(tiles.filled(a), sigma), [value], {out: "double"}, grid, tiles.gauss_radius(sigma), by=by, absent=absent)
 
 
-def box(px: DataFrame, value: str, size: int, grid: tuple[int, int]) -> DataFrame:
+def box(px: DataFrame, value: str, size: int, grid: tuple[int, int], absent: float | None = None) -> DataFrame:
     """Box mean and local standard deviation."""
 
     def kernel(a):
         return tiles.box_mean(tiles.filled(a), size), tiles.local_std(tiles.filled(a), size)
 
-    return tiles.by_tile(px, kernel, [value], {"mean": "double", "std": "double"}, grid, size)
+    return tiles.by_tile(px, kernel, [value], {"mean": "double", "std": "double"}, grid, size, absent=absent)
 
 
 def relief(px: DataFrame, value: str, window_m: float, res: float, grid: tuple[int, int]) -> DataFrame:
@@ -112,18 +135,18 @@ def relief(px: DataFrame, value: str, window_m: float, res: float, grid: tuple[i
     return tiles.by_tile(px, lambda a: a - tiles.gauss(tiles.filled(a), sigma), [value], {"relief": "double"}, grid, tiles.gauss_radius(sigma))
 
 
-def without_thin(px: DataFrame, value: str, radius_m: float, res: float, grid: tuple[int, int]) -> DataFrame:
+def without_thin(px: DataFrame, value: str, radius_m: float, res: float, grid: tuple[int, int], absent: float | None = None) -> DataFrame:
     """Heights without what is narrower than a disc: booms, posts."""
     r = max(round(radius_m / res), 1)
 
     def kernel(a):
         return np.where(np.isnan(a), np.nan, np.minimum(a, tiles.grey_opening(tiles.filled(a), tiles.disc(r))))
 
-    return tiles.by_tile(px, kernel, [value], {"height": "double"}, grid, 2 * r)
+    return tiles.by_tile(px, kernel, [value], {"height": "double"}, grid, 2 * r, absent=absent)
 
 
-def median5(px: DataFrame, value: str, grid: tuple[int, int]) -> DataFrame:
-    return tiles.by_tile(px, lambda a: tiles.median_filter(tiles.filled(a), 5), [value], {"median": "double"}, grid, 3)
+def median5(px: DataFrame, value: str, grid: tuple[int, int], absent: float | None = None) -> DataFrame:
+    return tiles.by_tile(px, lambda a: tiles.median_filter(tiles.filled(a), 5), [value], {"median": "double"}, grid, 3, absent=absent)
 
 
 def coverage(mask: DataFrame, native_m: float, res: float, grid: tuple[int, int], block: int, by: tuple[str, ...] = ()) -> DataFrame:
@@ -153,31 +176,90 @@ def features(px: DataFrame, grid: tuple[int, int], res: float) -> DataFrame:
     return tiles.by_tile(px, kernel, ["blue", "green", "red", "nir"], {n: "double" for n in names}, grid, radius)
 
 
-def derived_ground(px: DataFrame, grid: tuple[int, int], res: float, window_m: float = 80.0, coarse_m: float = 4.0) -> DataFrame:
-    """Bare ground from a surface alone: block minimum, opening with a wide disc, blur, back to pixels, never above the surface."""
+def _middle(values: DataFrame, value: str) -> float | None:
+    """Exact median of the known values: counted by value and range, so that no task holds all of them."""
+    counted = values.where(F.col(value).isNotNull()).groupBy(value).count()
+    ranged = written(counted.repartitionByRange(value).withColumn("range", F.spark_partition_id()))
+    sizes = {r.range: r.n for r in ranged.groupBy("range").agg(F.sum("count").alias("n")).collect()}  # a row for a shuffle partition
+    total, before, found = sum(sizes.values()), 0, []
+    for k in sorted(sizes):
+        wanted = [x - before for x in {(total - 1) // 2, total // 2} if before <= x < before + sizes[k]]
+        if wanted:
+            past = F.sum("count").over(Window.partitionBy("range").orderBy(value))
+            hit = [(past > x) & (past - F.col("count") <= x) for x in wanted]
+            rows = ranged.where(F.col("range") == k).select(value, *[h.alias(f"h{j}") for j, h in enumerate(hit)])
+            found += [rows.where(f"h{j}").first()[0] for j in range(len(hit))]
+        before += sizes[k]
+    return sum(found) / len(found) if found else None
+
+
+def derived_ground(px: DataFrame, grid: tuple[int, int], res: float, window_m: float = 80.0, coarse_m: float = 4.0, absent: float | None = None) -> DataFrame:
+    """Bare ground from a surface alone: block minimum, opening with a wide disc, blur, back to pixels, never above the surface.
+
+    Blocks meet pixels by tile: a block goes to the tiles whose pixels lie beside it.
+    """
     k = max(round(coarse_m / res), 1)
     height, width = -(-grid[0] // k), -(-grid[1] // k)
     r = max(round(window_m / 2 / coarse_m), 1)
-    coarse = px.groupBy(F.floor(F.col("row") / k).cast("int").alias("row"), F.floor(F.col("col") / k).cast("int").alias("col")).agg(F.min("dsm").alias("low"))
-    top = coarse.agg(F.max("low").alias("top"))
-    full = px.sparkSession.range(height * width).select((F.col("id") / width).cast("int").alias("row"), (F.col("id") % width).cast("int").alias("col"))
-    full = full.join(coarse, ["row", "col"], "left").crossJoin(F.broadcast(top)).select("row", "col", F.coalesce("low", "top").alias("low"), F.col("low").isNull().alias("gap"))
+    tile = tiles.TILE
+    block = lambda c: F.floor(F.col(c) / k).cast("int").alias(c)
+    low = F.min("dsm")
+    if absent is not None:
+        side = lambda c, n: F.least(F.lit(k), F.lit(n) - F.col(c) * k)
+    coarse = px.groupBy(block("row"), block("col")).agg(low.alias("low"), F.count("*").alias("n"))
+    if absent is not None:
+        coarse = coarse.withColumn("low", F.when(F.col("n") < side("row", grid[0]) * side("col", grid[1]), F.least("low", F.lit(float(absent)))).otherwise(F.col("low")))
+    coarse = written(coarse.select("row", "col", "low"))
+    (top,) = coarse.agg(F.max("low")).first()
 
     def kernel(a):
-        return tiles.gauss(tiles.grey_opening(tiles.filled(a, np.nanmax(a)), tiles.disc(r)), 1.0)
-
-    ground = tiles.by_tile(full, kernel, ["low"], {"ground": "double"}, (height, width), 2 * r + 4)
-    ground = ground.join(full.select("row", "col", "gap"), ["row", "col"])
-    middle = ground.where("not gap").agg(F.median("ground").alias("middle"))
-    ground = ground.crossJoin(F.broadcast(middle)).select("row", "col", F.when(F.col("gap"), F.col("middle")).otherwise(F.col("ground")).alias("ground"))
+        b = tiles.filled(a, np.nan if top is None else top)
+        return tiles.gauss(tiles.grey_opening(b, tiles.disc(r)), 1.0), np.isnan(a).astype(float)
+
+    # Blocks without a pixel count as the highest one in the opening (or as absent), and are the median of the others afterwards.
+    halo = 2 * r + 4
+    every = coarse.unionByName(tiles.every_tile(px.sparkSession, (height, width)).select((F.col("tr") * tile).alias("row"), (F.col("tc") * tile).alias("col"), F.lit(None).cast("double").alias("low"))) if absent is None else coarse
+    every = every.groupBy("row", "col").agg(F.max("low").alias("low")) if absent is None else every
+    ground = written(tiles.by_tile(every, kernel, ["low"], {"ground": "double", "gap": "int"}, (height, width), halo, absent=absent))
+    middle = _middle(ground.where("gap = 0"), "ground") if absent is None and ground.where("gap = 1").limit(1).count() else None
     # Corner to corner: pixel i of n*k lies at i * (n - 1) / (n*k - 1).
-    at = lambda c, n: F.col(c) * ((n - 1) / max(n * k - 1, 1))
-    points = px.where("dsm is not null").select("row", "col", "dsm", at("row", height).alias("y"), at("col", width).alias("x"))
-    corners = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (0, 1) for j in (0, 1)])
-    near = points.withColumn("c", F.explode(corners)).select(
-        "row", "col", "dsm",
-        F.least(F.floor("y") + F.col("c.i"), F.lit(height - 1)).cast("int").alias("gr"), F.least(F.floor("x") + F.col("c.j"), F.lit(width - 1)).cast("int").alias("gc"),
-        ((1 - F.abs(F.floor("y") + F.col("c.i") - F.col("y"))) * (1 - F.abs(F.floor("x") + F.col("c.j") - F.col("x")))).alias("w"),
-    )
-    g = ground.select(F.col("row").alias("gr"), F.col("col").alias("gc"), "ground")
-    return near.join(g, ["gr", "gc"]).groupBy("row", "col").agg(F.least(F.sum(F.col("ground") * F.col("w")) / F.sum("w"), F.max("dsm")).alias("ground"))
+    steps = [(n - 1) / max(n * k - 1, 1) for n in (height, width)]
+
+    def reach(c: str, step: float, n: int) -> Column:
+        """Tiles with a pixel between the blocks before and after this one."""
+        low, high = (F.floor((F.col(c) + d) / step) + d if step else F.lit(0 if d < 0 else n - 1) for d in (-1, 1))
+        return F.sequence(F.floor(F.greatest(low, F.lit(0)) / tile).cast("int"), F.floor(F.least(high, F.lit(n - 1)) / tile).cast("int"))
+
+    g = ground.withColumn("v", F.when(F.col("gap") == 1, F.lit(middle).cast("double")).otherwise(F.col("ground")))
+    g = g.withColumn("tr", F.explode(reach("row", steps[0], grid[0]))).withColumn("tc", F.explode(reach("col", steps[1], grid[1])))
+    both = tiles.dealt(px, [F.col("dsm").cast("double").alias("v")], grid, 0).where("v is not null")
+    both = both.select("row", "col", "v", "tr", "tc", F.lit(False).alias("coarse")).unionByName(g.select("row", "col", "v", "tr", "tc", F.lit(True).alias("coarse")))
+
+    def run(table: pa.Table) -> pa.Table:
+        r0, c0 = (table.column(x)[0].as_py() * tile for x in ("tr", "tc"))
+        own, blocks = table.filter(pc.invert(table.column("coarse"))), table.filter(table.column("coarse"))
+        row, col = (own.column(x).to_numpy() for x in ("row", "col"))
+        v = own.column("v").to_numpy(zero_copy_only=False)
+        if absent is not None:
+            a = np.full((min(tile, grid[0] - r0), min(tile, grid[1] - c0)), float(absent))
+            a[row - r0, col - c0] = v
+            row, col = (x.ravel() for x in np.mgrid[r0 : r0 + a.shape[0], c0 : c0 + a.shape[1]])
+            v = a.ravel()
+        if not len(v) or not blocks.num_rows:
+            return pa.table({"row": pa.array([], pa.int32()), "col": pa.array([], pa.int32()), "ground": pa.array([], pa.float64())})
+        br, bc = (blocks.column(x).to_numpy() for x in ("row", "col"))
+        b = np.full((br.max() - br.min() + 1, bc.max() - bc.min() + 1), np.nan)
+        b[br - br.min(), bc - bc.min()] = blocks.column("v").to_numpy(zero_copy_only=False)
+        y, x = row * steps[0], col * steps[1]
+        y0, x0 = np.floor(y).astype(int), np.floor(x).astype(int)
+        found, weight = np.zeros(len(v)), np.zeros(len(v))
+        for i in (0, 1):
+            for j in (0, 1):
+                w = (1 - np.abs(y0 + i - y)) * (1 - np.abs(x0 + j - x))
+                at = b[np.minimum(y0 + i, height - 1) - br.min(), np.minimum(x0 + j, width - 1) - bc.min()]
+                found += np.where(np.isnan(at), 0, at) * w
+                weight += w
+        out = np.minimum(found / weight, v)
+        return pa.table({"row": pa.array(row, pa.int32()), "col": pa.array(col, pa.int32()), "ground": pa.array(out, pa.float64(), mask=np.isnan(out))})
+
+    return both.groupBy("tr", "tc").applyInArrow(run, "row int, col int, ground double")

@@ -11,42 +11,66 @@ from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 TILE = 256
 
 
-def by_tile(px: DataFrame, kernel: Callable, inputs: list[str], outputs: dict[str, str], grid: tuple[int, int], halo: int, tile: int = TILE, edge: float | None = None, by: tuple[str, ...] = ()) -> DataFrame:
+def dealt(px: DataFrame, columns: list, grid: tuple[int, int] | None, halo: int, tile: int = TILE) -> DataFrame:
+    """px(row, col, ...) -> columns, row, col, and tr, tc of each tile whose halo holds the pixel; without a grid tiles go on in all directions."""
+    rows = px.where(F.col("row").isNotNull() & F.col("col").isNotNull())
+    if grid is not None:
+        rows = rows.where(F.col("row").between(0, grid[0] - 1) & F.col("col").between(0, grid[1] - 1))
+    low = lambda c: F.floor((F.col(c) - halo) / tile).cast("int")
+    high = lambda c: F.floor((F.col(c) + halo) / tile).cast("int")
+    if grid is not None:
+        last = [-(-n // tile) - 1 for n in grid]
+        span = lambda c, n: F.sequence(F.greatest(low(c), F.lit(0)), F.least(high(c), F.lit(n)))
+    else:
+        last = [0, 0]
+        span = lambda c, n: F.sequence(low(c), high(c))
+    named = [F.col("row").cast("int").alias("row"), F.col("col").cast("int").alias("col")]
+    return rows.select(*columns, *named, F.explode(span("row", last[0])).alias("tr")).select("*", F.explode(span("col", last[1])).alias("tc"))
+
+
+def every_tile(spark: SparkSession, grid: tuple[int, int], tile: int = TILE) -> DataFrame:
+    """tr, tc of the grid's tiles."""
+    down, across = -(-grid[0] // tile), -(-grid[1] // tile)
+    return spark.range(down * across).select((F.col("id") / across).cast("int").alias("tr"), (F.col("id") % across).cast("int").alias("tc"))
+
+
+def by_tile(px: DataFrame, kernel: Callable, inputs: list[str], outputs: dict[str, str], grid: tuple[int, int], halo: int, tile: int = TILE, edge: float | None = None, by: tuple[str, ...] = (), absent: float | None = None) -> DataFrame:
     """px(by..., row, col, inputs...) -> by..., row, col, outputs of kernel(arrays) on grid (height, width).
 
     kernel gets float64 arrays of a tile with its halo (NaN: missing) and returns as many of
     that shape; rows come back for every pixel of the grid's tiles that px touches, null
     for NaN. edge None mirrors at the grid's border, a number stands for all outside it. Each
-    value of the columns by is a layer of its own, on the tiles that its pixels touch.
+    value of the columns by is a layer of its own, on the tiles that its pixels touch. With absent
+    (and without by) all tiles of the grid come back, and pixels that px has no row for count as that
+    number: they are filled in by tile, so a sparse px needn't be joined with all pixels of the grid.
     """
     height, width = grid
-    low = lambda x: F.floor((x - halo) / tile)
-    high = lambda x: F.floor((x + halo) / tile)
-    dealt = (
-        px.where(F.col("row").between(0, height - 1) & F.col("col").between(0, width - 1))
-        .select(*by, "row", "col", *[F.col(c).cast("double") for c in inputs], F.explode(F.sequence(low(F.col("row")), high(F.col("row")))).alias("tr"))
-        .select("*", F.explode(F.sequence(low(F.col("col")), high(F.col("col")))).alias("tc"))
-        .where((F.col("tr") >= 0) & (F.col("tc") >= 0) & (F.col("tr") * tile < height) & (F.col("tc") * tile < width))
-    )
+    rows = dealt(px, [*by, *[F.col(c).cast("double").alias(c) for c in inputs]], grid, halo, tile)
+    if absent is not None:
+        if by:
+            raise ValueError("absent pixels of layers")
+        rows = rows.unionByName(every_tile(px.sparkSession, grid, tile), allowMissingColumns=True)
     kinds = {k: px.schema[k].dataType.simpleString() for k in by}
     schema = ", ".join([*(f"{k} {v}" for k, v in kinds.items()), "row int", "col int", *(f"{k} {v}" for k, v in outputs.items())])
+    around = np.nan if absent is None else absent
 
     def run(table: pa.Table) -> pa.Table:
         tr, tc = table.column("tr")[0].as_py(), table.column("tc")[0].as_py()
         # The part of the tile and its halo that lies in the grid.
         r0, r1 = max(tr * tile - halo, 0), min((tr + 1) * tile + halo, height)
         c0, c1 = max(tc * tile - halo, 0), min((tc + 1) * tile + halo, width)
-        row, col = (table.column(k).to_numpy() for k in ("row", "col"))
+        own = table if absent is None else table.filter(table.column("row").is_valid())
+        row, col = (own.column(k).to_numpy() for k in ("row", "col"))
         arrays = []
         for name in inputs:
-            a = np.full((r1 - r0, c1 - c0), np.nan)
-            a[row - r0, col - c0] = table.column(name).to_numpy(zero_copy_only=False).astype(float)
+            a = np.full((r1 - r0, c1 - c0), around)
+            a[row - r0, col - c0] = own.column(name).to_numpy(zero_copy_only=False).astype(float)
             pad = ((halo - (tr * tile - r0), halo - (r1 - min((tr + 1) * tile, height))), (halo - (tc * tile - c0), halo - (c1 - min((tc + 1) * tile, width))))
             arrays.append(np.pad(a, pad, mode="symmetric") if edge is None else np.pad(a, pad, constant_values=edge))
         found = kernel(*arrays)
@@ -61,7 +85,43 @@ def by_tile(px: DataFrame, kernel: Callable, inputs: list[str], outputs: dict[st
             columns.append(column if kind == "double" else column.cast(pa.int32() if kind == "int" else pa.int64()))
         return pa.table(columns, names=[*by, "row", "col", *outputs])
 
-    return dealt.groupBy(*by, "tr", "tc").applyInArrow(run, schema)
+    return rows.groupBy(*by, "tr", "tc").applyInArrow(run, schema)
+
+
+def mask_by_tile(mask: DataFrame, kernel: Callable, halo: int, tile: int = TILE) -> DataFrame:
+    """mask(row, col) of set pixels -> those that kernel (booleans of a tile with its halo, unset outside the mask) sets, on a grid without borders."""
+    kind = mask.schema["row"].dataType.simpleString()
+
+    def run(table: pa.Table) -> pa.Table:
+        r0, c0 = (table.column(k)[0].as_py() * tile for k in ("tr", "tc"))
+        a = np.zeros((tile + 2 * halo,) * 2, bool)
+        a[table.column("row").to_numpy() - r0 + halo, table.column("col").to_numpy() - c0 + halo] = True
+        row, col = np.nonzero(kernel(a)[halo : halo + tile, halo : halo + tile])
+        return pa.table({"row": pa.array(row + r0, pa.int32()), "col": pa.array(col + c0, pa.int32())})
+
+    out = dealt(mask, [], None, halo, tile).groupBy("tr", "tc").applyInArrow(run, "row int, col int")
+    return out.select(F.col("row").cast(kind).alias("row"), F.col("col").cast(kind).alias("col"))
+
+
+def painted(boxes: DataFrame, grid: tuple[int, int], tile: int = TILE) -> DataFrame:
+    """boxes(row, col, high, wide) -> row, col of the grid's pixels that any box covers, once each: boxes go to the tiles they touch."""
+    height, width = grid
+    span = lambda c, n, size: F.sequence(F.floor(F.greatest(F.col(c), F.lit(0)) / tile).cast("int"), F.floor(F.least(F.col(c) + F.col(n) - 1, F.lit(size - 1)) / tile).cast("int"))
+    inside = (F.col("high") > 0) & (F.col("wide") > 0) & (F.col("row") < height) & (F.col("col") < width) & (F.col("row") + F.col("high") > 0) & (F.col("col") + F.col("wide") > 0)
+    rows = boxes.where(inside).select(*[F.col(c).cast("int").alias(c) for c in ("row", "col", "high", "wide")])
+    rows = rows.withColumn("tr", F.explode(span("row", "high", height))).withColumn("tc", F.explode(span("col", "wide", width)))
+
+    def run(table: pa.Table) -> pa.Table:
+        r0, c0 = (table.column(k)[0].as_py() * tile for k in ("tr", "tc"))
+        row, col, high, wide = (table.column(k).to_numpy() for k in ("row", "col", "high", "wide"))
+        top, left, past, end = (np.clip(x, 0, tile) for x in (row - r0, col - c0, row + high - r0, col + wide - c0))
+        a = np.zeros((tile + 1, tile + 1), int)  # +1 where a box begins, -1 where it is over: sums count the boxes of a pixel
+        for r, c, sign in ((top, left, 1), (past, end, 1), (top, end, -1), (past, left, -1)):
+            np.add.at(a, (r, c), sign)
+        r, c = np.nonzero(a.cumsum(0).cumsum(1)[: min(tile, height - r0), : min(tile, width - c0)])
+        return pa.table({"row": pa.array(r + r0, pa.int32()), "col": pa.array(c + c0, pa.int32())})
+
+    return rows.groupBy("tr", "tc").applyInArrow(run, "row int, col int")
 
 
 def filled(a: np.ndarray, value: float = 0.0) -> np.ndarray:
