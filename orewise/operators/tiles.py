@@ -22,16 +22,17 @@ def dealt(px: DataFrame, columns: list, grid: tuple[int, int] | None, halo: int,
     rows = px.where(F.col("row").isNotNull() & F.col("col").isNotNull())
     if grid is not None:
         rows = rows.where(F.col("row").between(0, grid[0] - 1) & F.col("col").between(0, grid[1] - 1))
-    low = lambda c: F.floor((F.col(c) - halo) / tile).cast("int")
-    high = lambda c: F.floor((F.col(c) + halo) / tile).cast("int")
-    if grid is not None:
-        last = [-(-n // tile) - 1 for n in grid]
-        span = lambda c, n: F.sequence(F.greatest(low(c), F.lit(0)), F.least(high(c), F.lit(n)))
-    else:
-        last = [0, 0]
-        span = lambda c, n: F.sequence(low(c), high(c))
-    named = [F.col("row").cast("int").alias("row"), F.col("col").cast("int").alias("col")]
-    return rows.select(*columns, *named, F.explode(span("row", last[0])).alias("tr")).select("*", F.explode(span("col", last[1])).alias("tc"))
+    rows = rows.select(*columns, F.col("row").cast("int").alias("row"), F.col("col").cast("int").alias("col"))
+    for c, out, size in (("row", "tr", 0), ("col", "tc", 1)):
+        first, most = F.floor((F.col(c) - halo) / tile).cast("int"), -(-2 * halo // tile) + 1
+        if most == 1:
+            rows = rows.withColumn(out, first)
+            continue
+        # A fixed number of candidates: sequences of each row's own length take several times as long.
+        rows = rows.withColumn(out, F.explode(F.array(*[first + k for k in range(most)]))).where(F.col(out) * tile <= F.col(c) + halo)
+        if grid is not None:
+            rows = rows.where((F.col(out) >= 0) & (F.col(out) * tile < grid[size]))
+    return rows
 
 
 def every_tile(spark: SparkSession, grid: tuple[int, int], tile: int = TILE) -> DataFrame:
