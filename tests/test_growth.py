@@ -6,7 +6,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from orewise.llm import decontaminate
-from orewise.operators import neighbours
+from orewise.operators import focal, neighbours, tiles
 
 
 def test_as_of_meets_days_not_rows(spark):
@@ -51,3 +51,24 @@ def test_latent_space_has_no_sample(spark):
         found.append({(r.doc_id, r.item_id): round(r.cosine, 4) for r in decontaminate.leaks(docs, benchmark).collect() if r.doc_id < 12})
     assert set(found[0]) == {(k, k) for k in range(12)} and min(found[0].values()) > 0.3
     assert found[0] == found[1]
+
+
+def test_boxes_go_to_tiles_whole(spark):
+    """Overlapping boxes over seams and borders: only their corners are shuffled, and each pixel comes once."""
+    boxes = [(-2, 3, 5, 4), (6, 6, 4, 9), (7, 1, 30, 8), (20, 20, 1, 1), (3, 3, 0, 5), (2, 28, 2, 9)]
+    want = np.zeros((26, 31), bool)
+    for r, c, h, w in boxes:
+        want[max(r, 0) : max(r + h, 0), max(c, 0) : max(c + w, 0)] = True
+    got = tiles.painted(spark.createDataFrame(boxes, "row int, col int, high int, wide int"), (26, 31), 8).collect()
+    assert len(got) == want.sum() and {(r.row, r.col) for r in got} == set(zip(*(x.tolist() for x in np.nonzero(want))))
+
+
+def test_absent_pixels_need_no_rows(spark):
+    """Two pixels of a grid of 600 x 300: all tiles come back, and equal the filled array's blur."""
+    px = spark.createDataFrame([(255, 255, 7.0), (599, 0, 3.0)], "row int, col int, v double")
+    a = np.zeros((600, 300))
+    a[255, 255], a[599, 0] = 7, 3
+    got = focal.gaussian(px, "v", 2.0, (600, 300), absent=0.0).toPandas()
+    out = np.full(a.shape, np.nan)
+    out[got.row, got.col] = got.smooth
+    assert np.allclose(out, tiles.gauss(a, 2.0))
