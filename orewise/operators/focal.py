@@ -66,15 +66,19 @@ def _moved(a: np.ndarray, shape: list[tuple[int, int]], pick: Callable) -> np.nd
     return out
 
 
-def _morphed(mask: DataFrame, shape: list[tuple[int, int]], steps: list[Callable]) -> DataFrame:
-    """The steps (np.logical_and erodes, np.logical_or dilates) one after another, in tiles with a halo that they don't reach across."""
+def _steps(shape: list[tuple[int, int]], steps: list[Callable]) -> tuple[Callable, int]:
+    """The steps (np.logical_and erodes, np.logical_or dilates) one after another, and the halo that they don't reach across."""
 
     def kernel(a):
         for pick in steps:
             a = _moved(a, shape, pick)
         return a
 
-    return tiles.mask_by_tile(mask, kernel, len(steps) * max(max(abs(r), abs(c)) for r, c in shape))
+    return kernel, len(steps) * max(max(abs(r), abs(c)) for r, c in shape)
+
+
+def _morphed(mask: DataFrame, shape: list[tuple[int, int]], steps: list[Callable]) -> DataFrame:
+    return tiles.mask_by_tile(mask, *_steps(shape, steps))
 
 
 def dilated(mask: DataFrame, shape: list[tuple[int, int]]) -> DataFrame:
@@ -92,6 +96,12 @@ def opened(mask: DataFrame, shape: list[tuple[int, int]], times: int = 1) -> Dat
     return _morphed(mask, shape, [np.logical_and] * times + [np.logical_or] * times)
 
 
+def opened_boxes(boxes: DataFrame, grid: tuple[int, int], shape: list[tuple[int, int]], times: int = 1) -> DataFrame:
+    """opened() of the grid's pixels that boxes(row, col, high, wide) cover, painted and opened in the same tile."""
+    kernel, halo = _steps(shape, [np.logical_and] * times + [np.logical_or] * times)
+    return tiles.painted(boxes, grid, kernel=kernel, halo=halo)
+
+
 def closed(mask: DataFrame, shape: list[tuple[int, int]]) -> DataFrame:
     return _morphed(mask, shape, [np.logical_or, np.logical_and])
 

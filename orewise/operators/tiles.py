@@ -57,6 +57,7 @@ def by_tile(px: DataFrame, kernel: Callable, inputs: list[str], outputs: dict[st
         if by:
             raise ValueError("absent pixels of layers")
         rows = rows.unionByName(every_tile(px.sparkSession, grid, tile), allowMissingColumns=True)
+        rows = apart(rows, of_grid(grid, tile))
     kinds = {k: px.schema[k].dataType.simpleString() for k in by}
     schema = ", ".join([*(f"{k} {v}" for k, v in kinds.items()), "row int", "col int", *(f"{k} {v}" for k, v in outputs.items())])
     around = np.nan if absent is None else absent
@@ -97,32 +98,101 @@ def mask_by_tile(mask: DataFrame, kernel: Callable, halo: int, tile: int = TILE)
         r0, c0 = (table.column(k)[0].as_py() * tile for k in ("tr", "tc"))
         a = np.zeros((tile + 2 * halo,) * 2, bool)
         a[table.column("row").to_numpy() - r0 + halo, table.column("col").to_numpy() - c0 + halo] = True
-        row, col = np.nonzero(kernel(a)[halo : halo + tile, halo : halo + tile])
-        return pa.table({"row": pa.array(row + r0, pa.int32()), "col": pa.array(col + c0, pa.int32())})
+        return _pixels(kernel(a)[halo : halo + tile, halo : halo + tile], r0, c0)
 
     out = dealt(mask, [], None, halo, tile).groupBy("tr", "tc").applyInArrow(run, "row int, col int")
     return out.select(F.col("row").cast(kind).alias("row"), F.col("col").cast(kind).alias("col"))
 
 
-def painted(boxes: DataFrame, grid: tuple[int, int], tile: int = TILE) -> DataFrame:
-    """boxes(row, col, high, wide) -> row, col of the grid's pixels that any box covers, once each: boxes go to the tiles they touch."""
+def tasks(tiles: int) -> int:
+    """Tasks for so many tiles: eight a task. Tiles are small as bytes, so partitions by size would leave them all to one task."""
+    return max(1, min(-(-tiles // 8), 2048))
+
+
+def apart(tiles: DataFrame, n: int) -> DataFrame:
+    """n rows of tiles (tr, tc, ...) over their tasks."""
+    return tiles.repartition(tasks(n), "tr", "tc")
+
+
+def of_grid(grid: tuple[int, int], tile: int = TILE) -> int:
+    """The grid's tiles."""
+    return -(-grid[0] // tile) * -(-grid[1] // tile)
+
+
+def _pixels(a: np.ndarray, r0: int, c0: int) -> pa.Table:
+    r, c = np.nonzero(a)
+    return pa.table({"row": pa.array(r + r0, pa.int32()), "col": pa.array(c + c0, pa.int32())})
+
+
+def _packed(a: np.ndarray, tr: int, tc: int) -> pa.Table:
+    return pa.table({"tr": pa.array([tr], pa.int32()), "tc": pa.array([tc], pa.int32()), "bits": pa.array([np.packbits(a).tobytes()], pa.binary())})
+
+
+def unpacked(bits: bytes, tile: int = TILE) -> np.ndarray:
+    return np.unpackbits(np.frombuffer(bits, np.uint8), count=tile * tile).reshape(tile, tile).astype(bool)
+
+
+PACKED = "tr int, tc int, bits binary"
+
+
+def packed(mask: DataFrame, tile: int = TILE) -> DataFrame:
+    """mask(row, col) of set pixels -> tr, tc, bits of the tiles it touches: a row for each."""
+
+    def run(table: pa.Table) -> pa.Table:
+        tr, tc = (table.column(k)[0].as_py() for k in ("tr", "tc"))
+        a = np.zeros((tile, tile), bool)
+        a[table.column("row").to_numpy() - tr * tile, table.column("col").to_numpy() - tc * tile] = True
+        return _packed(a, tr, tc)
+
+    return dealt(mask, [], None, 0, tile).groupBy("tr", "tc").applyInArrow(run, PACKED)
+
+
+def _painted(boxes: DataFrame, grid: tuple[int, int], tile: int, halo: int, out: Callable, schema: str) -> DataFrame:
+    """out(booleans of a tile with its halo, tr, tc) of the grid's tiles that boxes touch; only boxes are shuffled, to the tiles whose halo they reach."""
     height, width = grid
-    span = lambda c, n, size: F.sequence(F.floor(F.greatest(F.col(c), F.lit(0)) / tile).cast("int"), F.floor(F.least(F.col(c) + F.col(n) - 1, F.lit(size - 1)) / tile).cast("int"))
+
+    def span(c: str, n: str, size: int):
+        first, last = F.greatest(F.col(c), F.lit(0)) - halo, F.least(F.col(c) + F.col(n), F.lit(size)) - 1 + halo
+        return F.sequence(F.floor(F.greatest(first, F.lit(0)) / tile).cast("int"), F.floor(F.least(last, F.lit(size - 1)) / tile).cast("int"))
+
     inside = (F.col("high") > 0) & (F.col("wide") > 0) & (F.col("row") < height) & (F.col("col") < width) & (F.col("row") + F.col("high") > 0) & (F.col("col") + F.col("wide") > 0)
     rows = boxes.where(inside).select(*[F.col(c).cast("int").alias(c) for c in ("row", "col", "high", "wide")])
     rows = rows.withColumn("tr", F.explode(span("row", "high", height))).withColumn("tc", F.explode(span("col", "wide", width)))
+    around = tile + 2 * halo
 
     def run(table: pa.Table) -> pa.Table:
-        r0, c0 = (table.column(k)[0].as_py() * tile for k in ("tr", "tc"))
+        tr, tc = (table.column(k)[0].as_py() for k in ("tr", "tc"))
+        r0, c0 = tr * tile - halo, tc * tile - halo
         row, col, high, wide = (table.column(k).to_numpy() for k in ("row", "col", "high", "wide"))
-        top, left, past, end = (np.clip(x, 0, tile) for x in (row - r0, col - c0, row + high - r0, col + wide - c0))
-        a = np.zeros((tile + 1, tile + 1), int)  # +1 where a box begins, -1 where it is over: sums count the boxes of a pixel
+        top, left, past, end = (np.clip(x, 0, around) for x in (row - r0, col - c0, row + high - r0, col + wide - c0))
+        a = np.zeros((around + 1, around + 1), int)  # +1 where a box begins, -1 where it is over: sums count the boxes of a pixel
         for r, c, sign in ((top, left, 1), (past, end, 1), (top, end, -1), (past, left, -1)):
             np.add.at(a, (r, c), sign)
-        r, c = np.nonzero(a.cumsum(0).cumsum(1)[: min(tile, height - r0), : min(tile, width - c0)])
-        return pa.table({"row": pa.array(r + r0, pa.int32()), "col": pa.array(c + c0, pa.int32())})
+        a = a.cumsum(0).cumsum(1)[:around, :around] > 0
+        a[: max(-r0, 0)] = a[max(height - r0, 0) :] = False
+        a[:, : max(-c0, 0)] = a[:, max(width - c0, 0) :] = False
+        return out(a, tr, tc)
+
+    return apart(rows, of_grid(grid, tile)).groupBy("tr", "tc").applyInArrow(run, schema)
+
+
+def painted(boxes: DataFrame, grid: tuple[int, int], tile: int = TILE, kernel: Callable | None = None, halo: int = 0) -> DataFrame:
+    """boxes(row, col, high, wide) -> row, col of the grid's pixels that any box covers, once each: boxes go to the tiles they touch.
+
+    With a kernel (as in mask_by_tile, within halo) those that it sets.
+    """
+
+    def out(a, tr, tc):
+        a = a if kernel is None else kernel(a)
+        h, w = min(tile, grid[0] - tr * tile), min(tile, grid[1] - tc * tile)
+        return _pixels(a[halo : halo + h, halo : halo + w], tr * tile, tc * tile)
+
+    return _painted(boxes, grid, tile, halo, out, "row int, col int")
+
 
-    return rows.groupBy("tr", "tc").applyInArrow(run, "row int, col int")
+def painted_tiles(boxes: DataFrame, grid: tuple[int, int], tile: int = TILE) -> DataFrame:
+    """The same pixels as packed() has them: tr, tc, bits, no row for a pixel."""
+    return _painted(boxes, grid, tile, 0, _packed, PACKED)
 
 
 def filled(a: np.ndarray, value: float = 0.0) -> np.ndarray:

@@ -72,3 +72,25 @@ def test_absent_pixels_need_no_rows(spark):
     out = np.full(a.shape, np.nan)
     out[got.row, got.col] = got.smooth
     assert np.allclose(out, tiles.gauss(a, 2.0))
+
+
+def test_tiles_get_tasks_of_their_own(spark):
+    """A tile's rows are few bytes whatever its work is, so sizes would leave all tiles to one task (2 tasks for 256 tiles before)."""
+    boxes = spark.range(4000).select((F.col("id") % 1000 * 4).cast("int").alias("row"), (F.col("id") * 2 % 4000).cast("int").alias("col"), F.lit(2).alias("high"), F.lit(3).alias("wide"))
+    for out in (tiles.painted(boxes, (4096, 4096)), tiles.painted_tiles(boxes, (4096, 4096)), focal.opened_boxes(boxes, (4096, 4096), focal.offsets("square", 1))):
+        assert out.rdd.getNumPartitions() == 32
+    plan = focal.opened_boxes(boxes, (4096, 4096), focal.offsets("square", 1))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1  # boxes are shuffled, pixels aren't
+
+
+def test_boxes_are_opened_in_their_tiles(spark):
+    rng = np.random.default_rng(9)
+    rows = [tuple(map(int, x)) for x in zip(rng.integers(-3, 41, 60), rng.integers(-3, 53, 60), rng.integers(0, 7, 60), rng.integers(0, 7, 60))]
+    boxes, shape = spark.createDataFrame(rows, "row int, col int, high int, wide int"), focal.offsets("square", 1)
+    kernel, halo = focal._steps(shape, [np.logical_and, np.logical_or])
+    mask = tiles.painted(boxes, (40, 52), 8)
+    want = {tuple(r) for r in focal.opened(mask, shape).collect()}
+    got = tiles.painted(boxes, (40, 52), 8, kernel, halo).collect()
+    assert len(got) == len(want) > 0 and {tuple(r) for r in got} == want
+    bits = {(r.tr * 8 + y, r.tc * 8 + x) for r in tiles.painted_tiles(boxes, (40, 52), 8).collect() for y, x in np.argwhere(tiles.unpacked(r.bits, 8)).tolist()}
+    assert bits == {tuple(r) for r in mask.collect()}
