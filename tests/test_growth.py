@@ -94,3 +94,10 @@ def test_boxes_are_opened_in_their_tiles(spark):
     assert len(got) == len(want) > 0 and {tuple(r) for r in got} == want
     bits = {(r.tr * 8 + y, r.tc * 8 + x) for r in tiles.painted_tiles(boxes, (40, 52), 8).collect() for y, x in np.argwhere(tiles.unpacked(r.bits, 8)).tolist()}
     assert bits == {tuple(r) for r in mask.collect()}
+
+
+def test_filled_tiles_get_tasks_of_their_own(spark):
+    """Ten pixels of a grid of 64 tiles: eight tasks, where partitions by size had one."""
+    px = spark.range(10).select(F.col("id").cast("int").alias("row"), F.col("id").cast("int").alias("col"), F.lit(1.0).alias("v"))
+    for f in (lambda p, g: focal.gaussian(p, "v", 2.0, g, absent=0.0), lambda p, g: focal.box(p, "v", 5, g, absent=0.0), lambda p, g: focal.median5(p, "v", g, absent=0.0), lambda p, g: focal.without_thin(p, "v", 2.0, 1.0, g, absent=0.0)):
+        assert f(px, (2048, 2048)).rdd.getNumPartitions() == 8
