@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.tables import written
+from . import tiles
 
 TILE = 256
 #: Stands for "no unset pixel": larger than any squared distance, and sums of two still fit.
@@ -101,7 +102,7 @@ def _row_gap(bits: np.ndarray, before: np.ndarray, after: np.ndarray) -> np.ndar
 
 
 def distance_inside(mask: DataFrame, grid: tuple[int, int], tile: int = TILE) -> DataFrame:
-    """mask(row, col) of set pixels -> row, col, distance: to the nearest unset pixel of the grid (height, width), exactly.
+    """mask(row, col) of set pixels, or its tiles (tiles.packed) -> row, col, distance: to the nearest unset pixel of the grid (height, width), exactly.
 
     A row for each pixel of the tiles that the mask touches: 0 for unset ones, null where the
     whole grid is set. Repeated pixels are one, pixels outside the grid and null ones are left out;
@@ -110,19 +111,21 @@ def distance_inside(mask: DataFrame, grid: tuple[int, int], tile: int = TILE) ->
     height, width = grid
     if max(grid) > 1 << 20:
         raise ValueError("sides above 2 ** 20")
-    inside = mask.where(F.col("row").between(0, height - 1) & F.col("col").between(0, width - 1))
-    dealt = inside.select(F.col("row").cast("int").alias("row"), F.col("col").cast("int").alias("col")).withColumns({"tr": F.floor(F.col("row") / tile).cast("int"), "tc": F.floor(F.col("col") / tile).cast("int")})
+    inside = mask
+    if "bits" not in mask.columns:
+        inside = tiles.packed(mask.where(F.col("row").between(0, height - 1) & F.col("col").between(0, width - 1)), tile)
     shape = lambda tr, tc: (min(tile, height - tr * tile), min(tile, width - tc * tile))
 
-    def packed(table: pa.Table) -> pa.Table:
-        tr, tc = table.column("tr")[0].as_py(), table.column("tc")[0].as_py()
-        bits = np.zeros(shape(tr, tc), bool)
-        bits[table.column("row").to_numpy() - tr * tile, table.column("col").to_numpy() - tc * tile] = True
-        first, last = _beside(bits)
-        row = [[tr], [tc], [np.packbits(bits).tobytes()], [first], [last]]
-        return pa.table([pa.array(x, t) for x, t in zip(row, (pa.int32(), pa.int32(), pa.binary(), _LONGS, _LONGS))], names=["tr", "tc", "bits", "first", "last"])
+    def sides(batches):
+        for batch in batches:
+            for row in batch.to_pylist():
+                h, w = shape(row["tr"], row["tc"])
+                first, last = _beside(tiles.unpacked(row["bits"], tile)[:h, :w])
+                columns = zip(([row["tr"]], [row["tc"]], [row["bits"]], [first], [last]), (pa.int32(), pa.int32(), pa.binary(), _LONGS, _LONGS))
+                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in columns], ["tr", "tc", "bits", "first", "last"])
 
-    tiles = written(dealt.groupBy("tr", "tc").applyInArrow(packed, "tr int, tc int, bits binary, first array<long>, last array<long>"))
+    own = written(inside.mapInArrow(sides, "tr int, tc int, bits binary, first array<long>, last array<long>"))
+    n = own.count()
 
     def along_rows(table: pa.Table) -> pa.Table:
         """A strip of tiles side by side: for each row of each tile the nearest unset column before and after it, in the grid."""
@@ -142,11 +145,12 @@ def distance_inside(mask: DataFrame, grid: tuple[int, int], tile: int = TILE) ->
             sides[name] = [out[k].tolist() for k in range(len(tcs))]
         return pa.table([table.column("tr"), table.column("tc"), pa.array(sides["before"], _LONGS), pa.array(sides["after"], _LONGS)], names=["tr", "tc", "before", "after"])
 
-    carried = tiles.select("tr", "tc", "first", "last").groupBy("tr").applyInArrow(along_rows, "tr int, tc int, before array<long>, after array<long>")
+    # A task for a strip or for a few tiles: they are small as bytes, and partitions by size would leave all of them to one task.
+    carried = own.select("tr", "tc", "first", "last").repartition(-(-height // tile), "tr").groupBy("tr").applyInArrow(along_rows, "tr int, tc int, before array<long>, after array<long>")
 
     def parabolas(tr: int, tc: int, row: dict) -> np.ndarray:
         h, w = shape(tr, tc)
-        bits = np.unpackbits(np.frombuffer(row["bits"], np.uint8), count=h * w).reshape(h, w).astype(bool)
+        bits = tiles.unpacked(row["bits"], tile)[:h, :w]
         place = lambda name: np.where((x := np.array(row[name])) < _FAR, x - tc * tile, _FAR)
         return np.where(bits, _row_gap(bits, place("before"), place("after")), 0)
 
@@ -165,8 +169,8 @@ def distance_inside(mask: DataFrame, grid: tuple[int, int], tile: int = TILE) ->
                 columns = [pa.array([tr], pa.int32()), pa.array([tc], pa.int32()), *[pa.array([x], _LONGS) for x in (*up, *down)]]
                 yield pa.RecordBatch.from_arrays(columns, ["tr", "tc", *[f"{s}_{k}" for s in ("up", "down") for k in named]])
 
-    whole = written(tiles.drop("first", "last").join(carried, ["tr", "tc"]))
-    leaving = whole.mapInArrow(outward, f"tr int, tc int, {flat}")
+    whole = written(own.drop("first", "last").join(carried, ["tr", "tc"]))
+    leaving = tiles.apart(whole, n).mapInArrow(outward, f"tr int, tc int, {flat}")
 
     def along_columns(table: pa.Table) -> pa.Table:
         """A strip of tiles one above the other: what reaches each from above (in down_*) and from below (in up_*)."""
@@ -189,7 +193,7 @@ def distance_inside(mask: DataFrame, grid: tuple[int, int], tile: int = TILE) ->
         columns = [pa.array([out[s, k][j] for k in range(len(trs))], _LONGS) for s in ("up", "down") for j in range(3)]
         return pa.table([table.column("tr"), table.column("tc"), *columns], names=["tr", "tc", *[f"{s}_{k}" for s in ("up", "down") for k in named]])
 
-    arriving = leaving.groupBy("tc").applyInArrow(along_columns, f"tr int, tc int, {flat}")
+    arriving = leaving.repartition(-(-width // tile), "tc").groupBy("tc").applyInArrow(along_columns, f"tr int, tc int, {flat}")
 
     def lowest(batches):
         for batch in batches:
@@ -198,10 +202,7 @@ def distance_inside(mask: DataFrame, grid: tuple[int, int], tile: int = TILE) ->
                 g = parabolas(tr, tc, row)
                 h, w = g.shape
                 rows = np.arange(tr * tile, tr * tile + h)
-                best = np.full((h, w), _FAR)
-                for k in range(h):
-                    near = g[k] < _FAR
-                    best[:, near] = np.minimum(best[:, near], (rows - rows[k])[:, None] ** 2 + g[k][near])
+                best = g.copy()
                 for side in ("up", "down"):
                     c, r, z = (np.array(row[f"{side}_{k}"], np.int64) for k in named)
                     first = np.flatnonzero(np.diff(c, prepend=-1))
@@ -209,9 +210,15 @@ def distance_inside(mask: DataFrame, grid: tuple[int, int], tile: int = TILE) ->
                     for k in range(place.max() + 1 if len(place) else 0):
                         x = place == k
                         best[:, c[x]] = np.minimum(best[:, c[x]], (rows[:, None] - r[x]) ** 2 + z[x])
+                # Rows of the tile, nearest first; those d away add d * d at least, so from the largest distance on none is lower.
+                d = 1
+                while d < h and d * d < best.max():
+                    np.minimum(best[d:], g[:-d] + d * d, out=best[d:])
+                    np.minimum(best[:-d], g[d:] + d * d, out=best[:-d])
+                    d += 1
                 rr, cc = np.mgrid[tr * tile : tr * tile + h, tc * tile : tc * tile + w]
                 d = np.sqrt(best.ravel().astype(float))
                 columns = [pa.array(rr.ravel(), pa.int32()), pa.array(cc.ravel(), pa.int32()), pa.array(d, pa.float64(), mask=best.ravel() >= _FAR)]
                 yield pa.RecordBatch.from_arrays(columns, ["row", "col", "distance"])
 
-    return whole.join(arriving, ["tr", "tc"]).mapInArrow(lowest, "row int, col int, distance double")
+    return tiles.apart(whole.join(arriving, ["tr", "tc"]), n).mapInArrow(lowest, "row int, col int, distance double")

@@ -6,7 +6,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from orewise.llm import decontaminate
-from orewise.operators import focal, neighbours, tiles
+from orewise.operators import distance, focal, neighbours, tiles
 
 
 def test_as_of_meets_days_not_rows(spark):
@@ -101,3 +101,15 @@ def test_filled_tiles_get_tasks_of_their_own(spark):
     px = spark.range(10).select(F.col("id").cast("int").alias("row"), F.col("id").cast("int").alias("col"), F.lit(1.0).alias("v"))
     for f in (lambda p, g: focal.gaussian(p, "v", 2.0, g, absent=0.0), lambda p, g: focal.box(p, "v", 5, g, absent=0.0), lambda p, g: focal.median5(p, "v", g, absent=0.0), lambda p, g: focal.without_thin(p, "v", 2.0, 1.0, g, absent=0.0)):
         assert f(px, (2048, 2048)).rdd.getNumPartitions() == 8
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_distances_get_tasks_of_their_own(spark):
+    """64 tiles of a few bytes each: all distances were made in one task."""
+    mask = spark.range(64).select((F.floor(F.col("id") / 8) * 256 + 9).cast("int").alias("row"), (F.col("id") % 8 * 256 + 9).cast("int").alias("col"))
+    got = distance.distance_inside(mask, (2048, 2048))
+    assert got.rdd.getNumPartitions() == 8
+    assert [tuple(r) for r in got.groupBy("distance").count().orderBy("distance").collect()] == [(0.0, 2048 * 2048 - 64), (1.0, 64)]
