@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..sources.tables import numbered
+from . import tiles
 from .focal import offsets, spread
 
 
@@ -26,12 +29,46 @@ def nearest_label(px: DataFrame, labels: DataFrame, radius: int) -> DataFrame:
     return px.select("row", "col").join(best, ["row", "col"]).select("row", "col", F.col("b.label").alias("label"), F.col("b.d2").alias("d2"))
 
 
-def neighbours(labels: DataFrame, reach: int) -> DataFrame:
-    """Pairs of labels whose pixels lie within reach steps of a cross: label, other."""
-    own = labels.where("label > 0").select("row", "col", "label")
-    moved = spread(_border(labels), offsets("cross", reach)).select("row", "col", "label").distinct()
-    other = own.withColumnRenamed("label", "other")
-    return moved.join(other, ["row", "col"]).where("label <> other").select("label", "other").distinct()
+def neighbours(labels: DataFrame, reach: int, n: int | None = None) -> DataFrame:
+    """Pairs of labels whose pixels lie within reach steps of a cross: label, other.
+
+    Pixels meet in tiles with a halo of that reach; only pairs leave a tile. A pixel may have several labels.
+    n: the number of tiles, where it is known.
+    """
+    kind, tile = labels.schema["label"].dataType.simpleString(), tiles.TILE
+    shape = [s for s in offsets("cross", reach) if s != (0, 0)]
+
+    def run(table: pa.Table) -> pa.Table:
+        r0, c0 = (table.column(k)[0].as_py() * tile - reach for k in ("tr", "tc"))
+        side = tile + 2 * reach
+        # Distinct pixels and labels; those of one pixel go to layers of their own.
+        px = np.unique(np.stack(((table.column("row").to_numpy() - r0) * side + table.column("col").to_numpy() - c0, table.column("label").to_numpy())), axis=1)
+        at, label = px
+        first = np.flatnonzero(np.diff(at, prepend=-1))
+        layer = np.arange(len(at)) - np.repeat(first, np.diff(np.append(first, len(at))))
+        a = np.zeros((layer.max() + 1, side + 2, side + 2), np.int64)
+        r, c = at // side + 1, at % side + 1
+        a[layer, r, c] = label
+        # What lies nearest to others are the tile's own pixels with a neighbour of another label, or several labels of one pixel.
+        near = [(a[:, r + y, c + x] == label).any(0) for y, x in ((0, 1), (0, -1), (1, 0), (-1, 0))]
+        own = (r > reach) & (r <= reach + tile) & (c > reach) & (c <= reach + tile)
+        border = own & ~np.logical_and.reduce(near)
+        found = [np.zeros((0, 2), np.int64)]
+        for k in range(len(a)):
+            for here, steps in ((border, shape), (own, [(0, 0)] if len(a) > 1 else [])):
+                rr, cc, mine = r[here], c[here], label[here]
+                for y, x in steps:
+                    other = a[k, rr + y, cc + x]
+                    pair = np.flatnonzero((other > 0) & (other != mine))
+                    if len(pair):
+                        found.append(np.unique(np.stack((mine[pair], other[pair]), 1), axis=0))
+        pairs = np.unique(np.concatenate(found), axis=0)
+        return pa.table({"label": pa.array(pairs[:, 0]), "other": pa.array(pairs[:, 1])})
+
+    dealt = tiles.dealt(labels.where("label > 0"), [F.col("label").cast("long").alias("label")], None, reach)
+    dealt = dealt if n is None else tiles.apart(dealt, n)
+    pairs = dealt.groupBy("tr", "tc").applyInArrow(run, "label long, other long").distinct()
+    return pairs.select(F.col("label").cast(kind).alias("label"), F.col("other").cast(kind).alias("other"))
 
 
 def ring(labels: DataFrame, px: DataFrame, inner: int, outer: int) -> DataFrame:

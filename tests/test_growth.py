@@ -113,3 +113,17 @@ def test_distances_get_tasks_of_their_own(spark):
     got = distance.distance_inside(mask, (2048, 2048))
     assert got.rdd.getNumPartitions() == 8
     assert [tuple(r) for r in got.groupBy("distance").count().orderBy("distance").collect()] == [(0.0, 2048 * 2048 - 64), (1.0, 64)]
+
+
+def test_neighbours_leave_tiles_as_pairs(spark):
+    """Random labels over seams, some pixels with two: the same pairs as by loops, without a join of pixels."""
+    rng = np.random.default_rng(8)
+    rows = {(int(r), int(c), int(k)) for r, c, k in zip(rng.integers(240, 272, 260), rng.integers(-16, 16, 260), rng.integers(0, 40, 260))}
+    rows |= {(r, c, 77) for r in range(250, 256) for c in range(-3, 3)}
+    labels = spark.createDataFrame(sorted(rows), "row int, col int, label int")
+    for reach in (1, 3):
+        got = neighbours.neighbours(labels, reach)
+        assert "Join" not in _plan(got) and got.schema["label"].dataType.simpleString() == "int"
+        want = {(a[2], b[2]) for a in rows for b in rows if a[2] and b[2] and a[2] != b[2] and abs(a[0] - b[0]) + abs(a[1] - b[1]) <= reach}
+        found = [(r.label, r.other) for r in got.collect()]
+        assert len(found) == len(set(found)) and set(found) == want
