@@ -6,7 +6,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from orewise.llm import decontaminate
-from orewise.operators import distance, focal, neighbours, tiles
+from orewise.operators import components, distance, focal, neighbours, tiles
 
 
 def test_as_of_meets_days_not_rows(spark):
@@ -115,6 +115,22 @@ def test_distances_get_tasks_of_their_own(spark):
     assert [tuple(r) for r in got.groupBy("distance").count().orderBy("distance").collect()] == [(0.0, 2048 * 2048 - 64), (1.0, 64)]
 
 
+def test_labels_meet_pixels_by_tile(spark):
+    """Values meet a tile's labels, which are one row."""
+    rng = np.random.default_rng(2)
+    m = rng.random((40, 40)) < 0.5
+    mask = spark.createDataFrame([tuple(map(int, x)) for x in np.argwhere(m)], "row int, col int")
+    px = spark.createDataFrame([(r, c, float(r * 40 + c)) for r in range(-2, 42) for c in range(42) if (r + c) % 3], "row int, col int, v double")
+    table = components.label_tiles(mask, 40, tile=8)
+    assert table.count() == 25
+    got = components.inside(px, table, 25, 8)
+    want = {(r.row, r.col): r.label for r in components.labelled(mask, 40, tile=8).collect()}
+    assert len(want) == m.sum()
+    rows = got.collect()
+    assert len(rows) == sum((r + c) % 3 > 0 for r, c in want)
+    assert all(r.label == want[r.row, r.col] and r.v == r.row * 40 + r.col for r in rows)
+
+
 def test_neighbours_leave_tiles_as_pairs(spark):
     """Random labels over seams, some pixels with two: the same pairs as by loops, without a join of pixels."""
     rng = np.random.default_rng(8)
