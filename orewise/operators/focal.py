@@ -125,9 +125,9 @@ def stencil(px: DataFrame, value: str, weights: dict[tuple[int, int], float], ou
 LAPLACIAN = {(0, 0): -4, (0, 1): 1, (0, -1): 1, (1, 0): 1, (-1, 0): 1}
 
 
-def gaussian(px: DataFrame, value: str, sigma: float, grid: tuple[int, int], out: str = "smooth", by: tuple[str, ...] = (), absent: float | None = None) -> DataFrame:
-    """Gaussian blur, of each layer (by) apart; missing pixels count as zero. absent as in tiles.by_tile, here and below."""
-    return tiles.by_tile(px, lambda a: tiles.gauss(tiles.filled(a), sigma), [value], {out: "double"}, grid, tiles.gauss_radius(sigma), by=by, absent=absent)
+def gaussian(px: DataFrame, value: str, sigma: float, grid: tuple[int, int], out: str = "smooth", by: tuple[str, ...] = (), absent: float | None = None, repeated: bool = False) -> DataFrame:
+    """Gaussian blur, of each layer (by) apart; missing pixels count as zero. absent and repeated as in tiles.by_tile, here and below."""
+    return tiles.by_tile(px, lambda a: tiles.gauss(tiles.filled(a), sigma), [value], {out: "double"}, grid, tiles.gauss_radius(sigma), by=by, absent=absent, repeated=repeated)
 
 
 def box(px: DataFrame, value: str, size: int, grid: tuple[int, int], absent: float | None = None) -> DataFrame:

@@ -41,7 +41,7 @@ def every_tile(spark: SparkSession, grid: tuple[int, int], tile: int = TILE) ->
     return spark.range(down * across).select((F.col("id") / across).cast("int").alias("tr"), (F.col("id") % across).cast("int").alias("tc"))
 
 
-def by_tile(px: DataFrame, kernel: Callable, inputs: list[str], outputs: dict[str, str], grid: tuple[int, int], halo: int, tile: int = TILE, edge: float | None = None, by: tuple[str, ...] = (), absent: float | None = None) -> DataFrame:
+def by_tile(px: DataFrame, kernel: Callable, inputs: list[str], outputs: dict[str, str], grid: tuple[int, int], halo: int, tile: int = TILE, edge: float | None = None, by: tuple[str, ...] = (), absent: float | None = None, repeated: bool = False) -> DataFrame:
     """px(by..., row, col, inputs...) -> by..., row, col, outputs of kernel(arrays) on grid (height, width).
 
     kernel gets float64 arrays of a tile with its halo (NaN: missing) and returns as many of
@@ -50,6 +50,8 @@ def by_tile(px: DataFrame, kernel: Callable, inputs: list[str], outputs: dict[st
     value of the columns by is a layer of its own, on the tiles that its pixels touch. With absent
     (and without by) all tiles of the grid come back, and pixels that px has no row for count as that
     number: they are filled in by tile, so a sparse px needn't be joined with all pixels of the grid.
+    With repeated, px may have several rows for a pixel, of which the greatest value counts as in SQL's max: they
+    meet in the tile, so px needn't be grouped, and shuffled, by pixel before.
     """
     height, width = grid
     rows = dealt(px, [*by, *[F.col(c).cast("double").alias(c) for c in inputs]], grid, halo, tile)
@@ -57,13 +59,16 @@ def by_tile(px: DataFrame, kernel: Callable, inputs: list[str], outputs: dict[st
         if by:
             raise ValueError("absent pixels of layers")
         rows = rows.unionByName(every_tile(px.sparkSession, grid, tile), allowMissingColumns=True)
-        rows = apart(rows, of_grid(grid, tile))
+    # One key of eight bytes: rows of a task are sorted by it without comparing them.
+    rows = rows.withColumn("tile", F.shiftleft(F.col("tr").cast("long"), 32) + F.col("tc")).drop("tr", "tc")
+    if absent is not None:
+        rows = rows.repartition(tasks(of_grid(grid, tile)), "tile")
     kinds = {k: px.schema[k].dataType.simpleString() for k in by}
     schema = ", ".join([*(f"{k} {v}" for k, v in kinds.items()), "row int", "col int", *(f"{k} {v}" for k, v in outputs.items())])
     around = np.nan if absent is None else absent
 
     def run(table: pa.Table) -> pa.Table:
-        tr, tc = table.column("tr")[0].as_py(), table.column("tc")[0].as_py()
+        tr, tc = divmod(table.column("tile")[0].as_py(), 1 << 32)
         # The part of the tile and its halo that lies in the grid.
         r0, r1 = max(tr * tile - halo, 0), min((tr + 1) * tile + halo, height)
         c0, c1 = max(tc * tile - halo, 0), min((tc + 1) * tile + halo, width)
@@ -72,7 +77,12 @@ def by_tile(px: DataFrame, kernel: Callable, inputs: list[str], outputs: dict[st
         arrays = []
         for name in inputs:
             a = np.full((r1 - r0, c1 - c0), around)
-            a[row - r0, col - c0] = own.column(name).to_numpy(zero_copy_only=False).astype(float)
+            v = own.column(name).to_numpy(zero_copy_only=False).astype(float)
+            if repeated:  # the last of a pixel's rows stays
+                order = np.argsort(np.where(own.column(name).is_null().to_numpy(), -np.inf, v), kind="stable")
+                a[row[order] - r0, col[order] - c0] = v[order]
+            else:
+                a[row - r0, col - c0] = v
             pad = ((halo - (tr * tile - r0), halo - (r1 - min((tr + 1) * tile, height))), (halo - (tc * tile - c0), halo - (c1 - min((tc + 1) * tile, width))))
             arrays.append(np.pad(a, pad, mode="symmetric") if edge is None else np.pad(a, pad, constant_values=edge))
         found = kernel(*arrays)
@@ -87,7 +97,7 @@ def by_tile(px: DataFrame, kernel: Callable, inputs: list[str], outputs: dict[st
             columns.append(column if kind == "double" else column.cast(pa.int32() if kind == "int" else pa.int64()))
         return pa.table(columns, names=[*by, "row", "col", *outputs])
 
-    return rows.groupBy(*by, "tr", "tc").applyInArrow(run, schema)
+    return rows.groupBy(*by, "tile").applyInArrow(run, schema)
 
 
 def mask_by_tile(mask: DataFrame, kernel: Callable, halo: int, tile: int = TILE) -> DataFrame:

@@ -115,3 +115,19 @@ def test_ground(spark, sheet):
     rows = g[k] * (1 - t)[:, None] + g[k + 1] * t[:, None]
     want = np.minimum(rows[:, k] * (1 - t) + rows[:, k + 1] * t, v)
     assert np.allclose(array(run(spark, "n10_sheet_ground"), "ground", n), want, atol=1.1e-4)
+
+
+@pytest.mark.parametrize("name", ["n04_sheet_gaussian"])
+def test_rows_are_shuffled_once(spark, name):
+    """Rows of a cell meet in its tile: they aren't grouped by cell before, and no value is rounded by way of a decimal."""
+    plan = run(spark, name)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "HashAggregate" not in plan and "round(" not in plan
+
+
+def test_repeated_pixels(spark):
+    """Of a pixel's rows the greatest value counts, nulls don't, NaN is the greatest (and missing): SQL's max."""
+    nan = float("nan")
+    px = spark.createDataFrame([(0, 0, 5.0), (0, 0, 7.0), (0, 0, 6.0), (0, 1, None), (0, 1, -2.0), (1, 0, None), (1, 1, nan), (1, 1, 9.0)], "row int, col int, v double")
+    got = {(r.row, r.col): r.out for r in tiles.by_tile(px, lambda a: a, ["v"], {"out": "double"}, (2, 3), 0, absent=1.0, repeated=True).collect()}
+    assert got == {(0, 0): 7.0, (0, 1): -2.0, (0, 2): 1.0, (1, 0): None, (1, 1): None, (1, 2): 1.0}
+
