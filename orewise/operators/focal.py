@@ -130,13 +130,14 @@ def gaussian(px: DataFrame, value: str, sigma: float, grid: tuple[int, int], out
     return tiles.by_tile(px, lambda a: tiles.gauss(tiles.filled(a), sigma), [value], {out: "double"}, grid, tiles.gauss_radius(sigma), by=by, absent=absent, repeated=repeated)
 
 
-def box(px: DataFrame, value: str, size: int, grid: tuple[int, int], absent: float | None = None) -> DataFrame:
-    """Box mean and local standard deviation."""
+def box(px: DataFrame, value: str, size: int, grid: tuple[int, int], absent: float | None = None, repeated: bool = False, std: bool = True) -> DataFrame:
+    """Box mean and, unless a caller has no use for it, local standard deviation."""
 
     def kernel(a):
-        return tiles.box_mean(tiles.filled(a), size), tiles.local_std(tiles.filled(a), size)
+        a = tiles.filled(a)
+        return (tiles.box_mean(a, size), tiles.local_std(a, size)) if std else tiles.box_mean(a, size)
 
-    return tiles.by_tile(px, kernel, [value], {"mean": "double", "std": "double"}, grid, size, absent=absent)
+    return tiles.by_tile(px, kernel, [value], {"mean": "double"} | ({"std": "double"} if std else {}), grid, size, absent=absent, repeated=repeated)
 
 
 def relief(px: DataFrame, value: str, window_m: float, res: float, grid: tuple[int, int]) -> DataFrame:
