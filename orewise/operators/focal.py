@@ -156,8 +156,8 @@ def without_thin(px: DataFrame, value: str, radius_m: float, res: float, grid: t
     return tiles.by_tile(px, kernel, [value], {"height": "double"}, grid, 2 * r, absent=absent)
 
 
-def median5(px: DataFrame, value: str, grid: tuple[int, int], absent: float | None = None) -> DataFrame:
-    return tiles.by_tile(px, lambda a: tiles.median_filter(tiles.filled(a), 5), [value], {"median": "double"}, grid, 3, absent=absent)
+def median5(px: DataFrame, value: str, grid: tuple[int, int], absent: float | None = None, repeated: bool = False) -> DataFrame:
+    return tiles.by_tile(px, lambda a: tiles.median_filter(tiles.filled(a), 5), [value], {"median": "double"}, grid, 3, absent=absent, repeated=repeated)
 
 
 def coverage(mask: DataFrame, native_m: float, res: float, grid: tuple[int, int], block: int, by: tuple[str, ...] = ()) -> DataFrame:

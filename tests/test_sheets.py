@@ -117,7 +117,7 @@ def test_ground(spark, sheet):
     assert np.allclose(array(run(spark, "n10_sheet_ground"), "ground", n), want, atol=1.1e-4)
 
 
-@pytest.mark.parametrize("name", ["n04_sheet_gaussian", "n02_sheet_box"])
+@pytest.mark.parametrize("name", ["n04_sheet_gaussian", "n02_sheet_box", "n13_sheet_median"])
 def test_rows_are_shuffled_once(spark, name):
     """Rows of a cell meet in its tile: they aren't grouped by cell before, and no value is rounded by way of a decimal."""
     plan = run(spark, name)._jdf.queryExecution().executedPlan().toString()
@@ -131,3 +131,9 @@ def test_repeated_pixels(spark):
     got = {(r.row, r.col): r.out for r in tiles.by_tile(px, lambda a: a, ["v"], {"out": "double"}, (2, 3), 0, absent=1.0, repeated=True).collect()}
     assert got == {(0, 0): 7.0, (0, 1): -2.0, (0, 2): 1.0, (1, 0): None, (1, 1): None, (1, 2): 1.0}
 
+
+def test_median_of_odd_windows():
+    a = np.random.default_rng(3).normal(size=(40, 33))
+    b = np.pad(a, 2, mode="symmetric")
+    want = np.median(np.lib.stride_tricks.sliding_window_view(b, (5, 5)), axis=(2, 3))
+    assert np.array_equal(tiles.median_filter(a, 5), want)
