@@ -146,14 +146,14 @@ def relief(px: DataFrame, value: str, window_m: float, res: float, grid: tuple[i
     return tiles.by_tile(px, lambda a: a - tiles.gauss(tiles.filled(a), sigma), [value], {"relief": "double"}, grid, tiles.gauss_radius(sigma))
 
 
-def without_thin(px: DataFrame, value: str, radius_m: float, res: float, grid: tuple[int, int], absent: float | None = None) -> DataFrame:
+def without_thin(px: DataFrame, value: str, radius_m: float, res: float, grid: tuple[int, int], absent: float | None = None, repeated: bool = False) -> DataFrame:
     """Heights without what is narrower than a disc: booms, posts."""
     r = max(round(radius_m / res), 1)
 
     def kernel(a):
         return np.where(np.isnan(a), np.nan, np.minimum(a, tiles.grey_opening(tiles.filled(a), tiles.disc(r))))
 
-    return tiles.by_tile(px, kernel, [value], {"height": "double"}, grid, 2 * r, absent=absent)
+    return tiles.by_tile(px, kernel, [value], {"height": "double"}, grid, 2 * r, absent=absent, repeated=repeated)
 
 
 def median5(px: DataFrame, value: str, grid: tuple[int, int], absent: float | None = None, repeated: bool = False) -> DataFrame:

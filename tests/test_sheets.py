@@ -117,7 +117,7 @@ def test_ground(spark, sheet):
     assert np.allclose(array(run(spark, "n10_sheet_ground"), "ground", n), want, atol=1.1e-4)
 
 
-@pytest.mark.parametrize("name", ["n04_sheet_gaussian", "n02_sheet_box", "n13_sheet_median"])
+@pytest.mark.parametrize("name", ["n04_sheet_gaussian", "n02_sheet_box", "n13_sheet_median", "n08_sheet_thin"])
 def test_rows_are_shuffled_once(spark, name):
     """Rows of a cell meet in its tile: they aren't grouped by cell before, and no value is rounded by way of a decimal."""
     plan = run(spark, name)._jdf.queryExecution().executedPlan().toString()
