@@ -20,6 +20,9 @@ import os
 import sys
 from array import array
 from functools import lru_cache
+from itertools import compress
+from operator import not_
+from string import punctuation
 from typing import NamedTuple
 from unicodedata import category
 
@@ -75,21 +78,24 @@ def can_be_cut(path: str) -> bool:
 
 
 def _plain(run: str) -> tuple[str, str]:
-    """A run's folded body, and the stop or comma at its end."""
-    if not run.isascii() or "<|" in run:
+    """A run's body, folded if it is ASCII, and the ASCII punctuation at its end."""
+    if "<|" in run:
         return run, ""
-    run = run.lower()
-    return (run[:-1], run[-1]) if run[-1] in ".," and run[-2:-1].isalnum() else (run, "")
+    body = run.rstrip(punctuation)
+    last = body[-1:]
+    if not (last.isascii() and last.isalnum()):
+        body = run  # a letter beyond ASCII may end in a mark when normalized, which belongs to the punctuation
+    return body.lower() if body.isascii() else body, run[len(body) :]
 
 
 class Runs:
     """A tokenizer's ids by runs between white space, which no id crosses: each run is encoded
     once while it is remembered. Long runs aren't remembered, and at LIMIT runs all are forgotten.
 
-    A new run is looked up by its plain form: the tokenizer folds ASCII case, and a full stop
-    or comma after an ASCII letter or digit is a piece of its own."""
+    A new run is looked up by its plain form: the tokenizer folds ASCII case, and punctuation that
+    ends a run after an ASCII letter or digit is a piece of its own."""
 
-    LIMIT, LONGEST = 200_000, 64
+    LIMIT, LONGEST = 1_000_000, 64  # some 200 bytes a run
 
     def __init__(self, tok):
         self.tok, self.known = tok, {"": b""}
@@ -97,13 +103,17 @@ class Runs:
     def lists(self, texts: list[str]) -> list[tuple[list[str], list[bytes]]]:
         """The runs of each text, one for each white space and one more, and their ids as little-endian unsigned 32-bit integers."""
         runs = [x.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for x in texts]
-        new = {x: _plain(x) for x in set().union(*runs).difference(self.known)}
-        ask = list({x for x, _ in new.values()}.union(".,").difference(self.known))
+        ids = [list(map(self.known.get, x)) for x in runs]
+        missing: set[str] = set()
+        for x, found in zip(runs, ids):
+            missing.update(compress(x, map(not_, found)))
+        new = {x: _plain(x) for x in missing.difference([""])}
+        ask = list({part for x in new.values() for part in x}.difference(self.known))
         for run, found in zip(ask, self.tok.encode_batch_fast(ask, add_special_tokens=False)):
             self.known[run] = array("I", found.ids).tobytes()
         for run, (body, end) in new.items():
             self.known[run] = self.known[body] + self.known[end]
-        out = [(x, list(map(self.known.__getitem__, x))) for x in runs]
+        out = [(x, found if all(found) else list(map(self.known.__getitem__, x))) for x, found in zip(runs, ids)]
         for run in {*new, *ask}:
             if len(run) > self.LONGEST:
                 del self.known[run]
@@ -154,6 +164,11 @@ def spelled(tok, text: str, start: int) -> Encoded:
 def leaf(runs: Runs, text: str, start: int = 0) -> Encoded:
     """A leaf: short runs are one chunk each, long ones are spelled."""
     [(parts, ids)] = runs.lists([text])
+    chars = np.fromiter(map(len, parts), np.int64, len(parts))
+    if chars.max() <= runs.LONGEST:
+        n = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        places = start + np.cumsum(chars + 1) - (chars + 1)
+        return Encoded(start, start + len(text), np.frombuffer(b"".join(ids), "<u4"), places[n > 0], np.append(0, np.cumsum(n[n > 0])))
     at, ends, here, n = [], [0], start, 0
     for run, x in zip(parts, ids):
         if len(run) > runs.LONGEST:

@@ -1,5 +1,6 @@
 import hashlib
 import random
+from array import array
 
 import pytest
 from pyspark.sql import functions as F
@@ -95,3 +96,19 @@ def test_query_digests(spark):
     assert row.n_tokens == len(ids)
     assert row.ids_sha256 == hashlib.sha256(b"".join(x.to_bytes(4, "little") for x in ids)).hexdigest()
     assert row.decoded_sha256 == hashlib.sha256(tokenizer(PATH).decode(ids, skip_special_tokens=False).encode()).hexdigest()
+
+
+def test_runs_that_end_in_punctuation():
+    """A body is asked for once, whatever punctuation ends its runs; ids are the tokenizer's."""
+    tok = tokenizer(PATH)
+    asked = []
+
+    class Counting:
+        def encode_batch_fast(self, texts, **how):
+            asked.extend(texts)
+            return tok.encode_batch_fast(texts, **how)
+
+    bpe.Runs(Counting()).encode(["zebrate zebrate!! Zebrate?! zebrate*** ZEBRATE, éaux*** éaux"])
+    assert asked.count("zebrate") == asked.count("éaux") == 1 and not any(x[:1].isalpha() and x[-1] in "!?*," for x in asked)
+    texts = ["éaux*** İ!! क़. é! dogs' it's. x_?! SH!! 's! a\x0b! Σ! ΑΣ. 1!2? -- ... <|endoftext|>! ²! é.", "a! ́! q'!'s can't'"]
+    assert bpe.Runs(tok).encode(texts) == [array("I", tok.encode(x, add_special_tokens=False).ids).tobytes() for x in texts]
