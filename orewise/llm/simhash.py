@@ -88,7 +88,8 @@ def links(fps: DataFrame, distance: int = 4, segments: int = 3) -> DataFrame:
         F.col("fp").alias("b"), F.explode(F.array(*[key(k, part(k).bitwiseXOR(F.lit(m))) for k, _, m in flips])).alias("key")
     )
     apart = F.bit_count(F.col("a").bitwiseXOR(F.col("b")))
-    found = tables.join(probes, (tables.key == probes.key) & (F.col("a") < F.col("b")) & (apart <= distance))
+    # Merged, not broadcast: Spark takes the exploded probes for as small as fps are, and the driver would hold all of them.
+    found = tables.join(probes.hint("merge"), (tables.key == probes.key) & (F.col("a") < F.col("b")) & (apart <= distance))
     return found.select("a", "b").distinct().withColumn("distance", apart.cast("int"))
 
 

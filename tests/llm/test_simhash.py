@@ -71,3 +71,10 @@ def test_components_of_a_path_and_a_hub(spark):
     got = {r.node: r.component for r in connected_components(spark.createDataFrame(edges, "u long, v long")).collect()}
     assert got == {**{k: 1 for k in range(1, 41)}, **{k: 100 for k in range(100, 200)}, 300: 300, 301: 300}
     assert connected_components(spark.range(0).select(F.col("id").alias("u"), F.col("id").alias("v"))).count() == 0
+
+
+def test_probes_are_not_broadcast(spark, tmp_path):
+    """A small table of fingerprints has 67 probes each: the driver must not gather them for a broadcast."""
+    spark.range(2000).select(F.xxhash64("id").alias("fp")).write.parquet(f"{tmp_path}/fps")
+    plan = links(spark.read.parquet(f"{tmp_path}/fps"))._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
