@@ -28,7 +28,7 @@ LEAST_DOCS = 10
 #: Ranks of the part `term`.
 TOP = 10
 #: Distinct (group, term) entries that a worker holds before it hands its sums on.
-ENTRIES = 300_000
+ENTRIES = 700_000
 _LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 #: In UTF-8 every byte of a character beyond ASCII is 0x80 at least, so terms can be cut in bytes.
 _TERM = re.compile(rb"[a-z\x80-\xff]+")
@@ -37,26 +37,33 @@ _TERM = re.compile(rb"[a-z\x80-\xff]+")
 def term_counts(docs: DataFrame, entries: int = ENTRIES) -> DataFrame:
     """docs(lang, source, text), no nulls -> lang, source, term, n, docs: partial sums of occurrences and documents."""
 
-    def rows(sums: dict) -> pa.RecordBatch:
-        keys = [(lang, source, term, n, own[1][term]) for (lang, source), own in sums.items() for term, n in own[0].items()]
-        lang, source, term, n, d = zip(*keys)
-        columns = [pa.array(lang, pa.string()), pa.array(source, pa.string()), pa.array(term, pa.binary()).cast(pa.string()), pa.array(n, pa.int64()), pa.array(d, pa.int64())]
-        return pa.RecordBatch.from_arrays(columns, ["lang", "source", "term", "n", "docs"])
+    def rows(sums: dict):
+        """A batch for each group, which goes once it is told."""
+        while sums:
+            (lang, source), (n, d) = sums.popitem()
+            terms = list(n)
+            columns = [
+                pa.repeat(pa.scalar(lang, pa.string()), len(terms)), pa.repeat(pa.scalar(source, pa.string()), len(terms)), pa.array(terms, pa.binary()).cast(pa.string()),
+                pa.array(n.values(), pa.int64(), size=len(terms)), pa.array(map(d.__getitem__, terms), pa.int64(), size=len(terms)),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, ["lang", "source", "term", "n", "docs"])
 
     def run(batches):
         sums: dict = {}
+        size = 0
         for batch in batches:
             for lang, source, text in zip(*(c.to_pylist() for c in batch.columns)):
                 terms = _TERM.findall(text.encode().translate(_LOWER))
                 if terms:
                     n, d = sums.setdefault((lang, source), (Counter(), Counter()))
+                    size -= len(n)
                     n.update(terms)
                     d.update(set(terms))
-                    if sum(len(x) for x, _ in sums.values()) > entries:
-                        yield rows(sums)
-                        sums = {}
-        if sums:
-            yield rows(sums)
+                    size += len(n)
+                    if size > entries:
+                        yield from rows(sums)
+                        size = 0
+        yield from rows(sums)
 
     return docs.select("lang", "source", "text").mapInArrow(run, "lang string, source string, term string, n long, docs long")
 

@@ -4,7 +4,7 @@ from collections import Counter, defaultdict
 
 import pytest
 
-from orewise.llm.divergence import divergence
+from orewise.llm.divergence import divergence, term_counts
 
 SCHEMA = "doc_id long, text string, lang string, source string, n long, term string"
 
@@ -74,3 +74,11 @@ def test_terms_beyond_the_tenth(spark):
 
 def test_no_rows(spark):
     assert divergence(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_a_task_sums_before_it_tells(spark):
+    """Two texts of the same 350,000 terms in one task: each term is told once."""
+    term = "translate(cast(x as string), '0123456789', 'abcdefghij')"
+    docs = spark.range(2).coalesce(1).selectExpr("'en' as lang", "'a' as source", f"array_join(transform(sequence(0, 349999), x -> {term}), ' ') as text")
+    got = term_counts(docs).selectExpr("count(*) as rows", "sum(n) as n", "sum(docs) as docs").first()
+    assert tuple(got) == (350_000, 700_000, 700_000)
