@@ -77,7 +77,7 @@ def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def bpe_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Ids of each document, with a digest of what they decode to."""
-    out = encode(docs, public_tokenizers.path("word_bpe_49k.json"))
+    out = encode(docs, public_tokenizers.path("word_bpe_49k.json"), keep=False)
     return out.select("doc_id", "n_tokens", "ids", F.sha2(F.encode("decoded", "utf-8"), 256).alias("decoded_sha256"))
 
 

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import small_batches
+from .common import given_back, small_batches
 
 #: Characters of a leaf; longer texts are cut. Four ids a character still have 16-bit places.
 LEAF_CHARS = 16_000
@@ -237,7 +237,7 @@ def _blocks(texts: list[str]):
         yield start, len(texts)
 
 
-def encode(docs: DataFrame, tokenizer_file: str, decoded: bool = True, leaf_chars: int = LEAF_CHARS) -> DataFrame:
+def encode(docs: DataFrame, tokenizer_file: str, decoded: bool = True, leaf_chars: int = LEAF_CHARS, keep: bool = True) -> DataFrame:
     """docs(doc_id, text) -> doc_id, n_tokens long, ids binary (little-endian unsigned 32-bit), decoded.
 
     ids are those of the tokenizer on the whole text, without added special tokens; decoded
@@ -245,7 +245,8 @@ def encode(docs: DataFrame, tokenizer_file: str, decoded: bool = True, leaf_char
     for a row; a null or empty text has no ids. Only leaves of long texts are shuffled. They
     are told apart by doc_id and the text's SHA-256, so that a task which runs again finds
     the same groups; rows equal in both, null doc_ids too, are encoded once and stay as many.
-    Tokenizer files of another make (see can_be_cut) are used too, without leaves.
+    Tokenizer files of another make (see can_be_cut) are used too, without leaves. Workers keep the
+    runs that they remember for later tasks, unless keep is false: other stages then have the memory.
     """
     schema = "doc_id long, n_tokens long, ids binary, decoded string"
     rows = docs.select(F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
@@ -268,6 +269,8 @@ def encode(docs: DataFrame, tokenizer_file: str, decoded: bool = True, leaf_char
         for batch in batches:
             for lo, hi in _blocks(texts := batch.column(1).to_pylist()):
                 yield result(tok, ids(texts[lo:hi]), batch.column(0).slice(lo, hi - lo))
+        if not keep:
+            remembered.cache_clear()
 
     def leaves(batches):
         runs = remembered(tokenizer_file)
@@ -279,6 +282,8 @@ def encode(docs: DataFrame, tokenizer_file: str, decoded: bool = True, leaf_char
                     [*(x.slice(k, 1) for x in batch.columns), *(pa.array([x.tobytes()], pa.binary()) for x in found)],
                     [*batch.schema.names, "ids", "places", "counts"],
                 )
+        if not keep:
+            remembered.cache_clear()
 
     def whole(group: pa.Table) -> pa.Table:
         group = group.sort_by("part").combine_chunks()
@@ -294,7 +299,7 @@ def encode(docs: DataFrame, tokenizer_file: str, decoded: bool = True, leaf_char
 
     small_batches(docs.sparkSession)
     if not cut:
-        return rows.mapInArrow(short, schema)
+        return rows.mapInArrow(given_back(short), schema)
     is_long = F.length("text") > leaf_chars
     slices = F.regexp_extract_all("text", F.lit(rf"(?s).{{1,{leaf_chars}}}"), F.lit(0))
     parts = (
@@ -303,7 +308,7 @@ def encode(docs: DataFrame, tokenizer_file: str, decoded: bool = True, leaf_char
         .groupBy("doc_id", "digest", "part")
         .agg(F.count("*").alias("copies"), F.first("text").alias("text"))
     )
-    encoded = parts.mapInArrow(leaves, "doc_id long, digest string, part int, copies long, text string, ids binary, places binary, counts binary")
+    encoded = parts.mapInArrow(given_back(leaves), "doc_id long, digest string, part int, copies long, text string, ids binary, places binary, counts binary")
     joined = encoded.groupBy("doc_id", "digest").applyInArrow(whole, schema + ", copies long")
     each = joined.select("doc_id", "n_tokens", "ids", "decoded", F.explode(F.sequence(F.lit(1), "copies"))).drop("col")
-    return rows.where(~is_long).mapInArrow(short, schema).unionByName(each)
+    return rows.where(~is_long).mapInArrow(given_back(short), schema).unionByName(each)

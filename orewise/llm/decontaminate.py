@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import small_batches, written
+from .common import given_back, small_batches, written
 
 FEATURES, RANK, EXTRA, POWERS = 1 << 16, 224, 16, 2
 #: Words of half a passage: passages are two neighbouring halves.
@@ -145,7 +145,7 @@ def document_frequency(docs: DataFrame) -> tuple[np.ndarray, int]:
                     total += np.bincount(pair[np.concatenate(([True], np.diff(pair) != 0))] & 0xFFFF, minlength=FEATURES)
         yield _parts(total)
 
-    rows = docs.select("doc_id", "text").mapInArrow(run, "range int, part binary")
+    rows = docs.select("doc_id", "text").mapInArrow(given_back(run), "range int, part binary")
     return _summed(rows, (FEATURES, 1))[:, 0].astype(np.int64), docs.count()
 
 
@@ -255,7 +255,7 @@ def _fit(items: DataFrame, space: Space) -> None:
                     total += space.gram(words, q)
             yield _parts(total)
 
-        out = _summed(passages.mapInArrow(product, "range int, part binary"), q.shape)
+        out = _summed(passages.mapInArrow(given_back(product), "range int, part binary"), q.shape)
         held.unpersist()
         return out
 
@@ -442,7 +442,9 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     items, n_items = _numbered(items)
     frequency, n_docs = document_frequency(docs)
     idf = np.log((n_docs + 1) / (frequency + 1)) + 0.01
-    out = docs.sparkSession.createDataFrame([], LEAKS)
+    # Small tables are made by Arrow: rows of Python objects would go through RDDs, whose workers stay beside the others.
+    none = [pa.array([], pa.float64() if "double" in x else pa.int64()) for x in LEAKS.split(", ")]
+    out = docs.sparkSession.createDataFrame(pa.table(none, [x.split()[0] for x in LEAKS.split(", ")]))
     for lo in range(0, n_items, ITEMS):
         some = items.where((F.col("n") >= lo) & (F.col("n") < lo + ITEMS))
         part = [(r.item_id, r.text) for r in some.orderBy("n").collect()]  # ITEMS rows
@@ -465,7 +467,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                         ["doc_id", "item_id", "cosine", "common_words", "answer_words", "item_words"],
                     )
 
-        out = out.unionByName(docs.mapInArrow(run, LEAKS))
+        out = out.unionByName(docs.mapInArrow(given_back(run), LEAKS))
     return out
 
 
@@ -481,7 +483,8 @@ def _numbered(items: DataFrame) -> tuple[DataFrame, int]:
         total += counts[k]
     if not total:
         return ranged.withColumn("n", F.lit(0)), 0
-    begin = F.broadcast(items.sparkSession.createDataFrame(first, "range int, first long"))
+    at = pa.table([pa.array([x[0] for x in first], pa.int32()), pa.array([x[1] for x in first], pa.int64())], ["range", "first"])
+    begin = F.broadcast(items.sparkSession.createDataFrame(at))
     within = F.row_number().over(Window.partitionBy("range").orderBy("item_id", "text")) - 1
     return ranged.join(begin, "range").withColumn("n", F.col("first") + within), total
 

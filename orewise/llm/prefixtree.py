@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import Scratch, small, small_batches
+from .common import Scratch, given_back, small, small_batches
 from .components import connected_components
 from .simhash import shingle_hashes, simhash
 
@@ -83,7 +83,7 @@ def signatures(docs: DataFrame, words: int, seed: int, fingerprint: bool = False
         if sets:
             yield told(sets)
 
-    return docs.select("doc_id", "text", "key").mapInArrow(run, "doc_id long, key long, digest binary, n long, fp long, shingle long, times long")
+    return docs.select("doc_id", "text", "key").mapInArrow(given_back(run), "doc_id long, key long, digest binary, n long, fp long, shingle long, times long")
 
 
 class Order:
@@ -124,7 +124,7 @@ def _coded(docs: DataFrame, words: int, seed: int, order: Order, percent: int |
                     codes.append((code if percent is None else code[: prefix(len(code), percent)]).view(np.int64))
             yield pa.RecordBatch.from_arrays([pa.array(digests, pa.binary()), pa.array(codes, pa.list_(_SIGNED))], ["digest", "codes"])
 
-    return docs.select("text").mapInArrow(run, "digest binary, codes array<long>")
+    return docs.select("text").mapInArrow(given_back(run), "digest binary, codes array<long>")
 
 
 def meeting(n: int) -> int:

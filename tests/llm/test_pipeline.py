@@ -111,3 +111,46 @@ def test_rows_go_by_their_own_text(spark, documents):
     assert sorted([(r.doc_id, r.text) for r in cp.quality_stage(spark, made(rows), SF).collect()], key=str) == sorted(rows[::2], key=str)
     rows = [(7, "nothing of it here"), (7, f"before {item} after"), (None, "nor here"), (None, item)]
     assert sorted([(r.doc_id, r.text) for r in cp.decontamination_stage(spark, made(rows), SF).collect()], key=str) == sorted(rows[::2], key=str)
+
+
+def test_workers_keep_no_memory_for_later_stages(spark, documents):
+    """Runs that the tokenizer's stage remembered are gone, and so is what a task had freed below something that stays."""
+    import public_tokenizers
+    import pyarrow as pa
+
+    from orewise.llm.bpe import remembered
+    from orewise.llm.common import given_back
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+
+    def known(batches):
+        yield from (pa.RecordBatch.from_arrays([pa.array([len(remembered(path).known)] * len(x), pa.int64())], ["n"]) for x in batches)
+
+    assert cp.bpe_stage(spark, documents, SF).agg(F.sum("n_tokens")).first()[0] > 1000
+    seen = spark.range(0, 400, 1, 4).mapInArrow(known, "n long").agg(F.max("n")).first()[0]
+    assert seen == 1  # the empty run
+
+    def anonymous():
+        with open("/proc/self/smaps_rollup") as f:
+            return next(int(x.split()[1]) for x in f if x.startswith("Anonymous:")) >> 10
+
+    stays = []
+
+    def run(batches):
+        held = [b"x" * 50_000 for _ in range(4000)]  # 200 MB
+        stays.append(b"x" * 50_000)
+        yield from batches
+        del held
+
+    before = anonymous()
+    assert list(given_back(run)([1, 2])) == [1, 2]
+    assert anonymous() < before + 100
+
+
+def test_decontamination_starts_no_other_workers(spark, documents):
+    """No plan has rows of Python objects, whose workers are of another kind and stay beside the others."""
+    from orewise.llm.decontaminate import leaks
+
+    found = leaks(documents.select("doc_id", "text"), spark.read.parquet(f"{SF}/benchmark.parquet"))
+    assert "ExistingRDD" not in found._jdf.queryExecution().toString()
+    assert [x for x, _ in found.dtypes] == ["doc_id", "item_id", "cosine", "common_words", "answer_words", "item_words"]
